@@ -293,10 +293,17 @@ def q_risk_separation(spark, sf):
     return G.risk_separation(_labeled(spark, sf), N_TRAIN)
 
 
+_MODELS: dict[tuple[str, str], tuple] = {}
+
+
 def _model(spark, sf):
-    lab = _labeled(spark, sf)
-    model, scored = G.risk_scores(lab, N_TRAIN)
-    return lab, model, scored
+    """The breach-risk forest of a data set, fitted once and shared by G3, G5, G6."""
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"))
+    if key not in _MODELS:
+        lab = _labeled(spark, sf)
+        model, scored = G.risk_scores(lab, N_TRAIN)
+        _MODELS[key] = (lab, model, scored)
+    return _MODELS[key]
 
 
 def q_risk_scores(spark, sf):
