@@ -66,11 +66,12 @@ def rank_auc(df: DataFrame, score: str, label: str, keys: Sequence[str] = (),
                          F.sum(F.when(lab == 0, 1).otherwise(0)).cast("double").alias("_neg")))
     # Ordered buckets from approximate quantiles of the distinct scores; a
     # bucket is a function of the score, so equal scores share a bucket.
-    # `bounds` has one row per group (a single row when there are no keys).
+    # `bounds` has one row per group; a single group takes it as a scalar subquery.
     probs = [i / buckets for i in range(1, buckets)]
     bounds = per_score.groupBy(*keys).agg(
         F.percentile_approx("_s", probs, 10000).alias("_bounds"))
-    bucketed = per_score.join(bounds if out_keys else F.broadcast(bounds), keys, "inner")
+    bucketed = (per_score.join(bounds, keys, "inner") if out_keys
+                else per_score.withColumn("_bounds", bounds.select("_bounds").scalar()))
     bucketed = bucketed.withColumn(
         "_b", F.size(F.filter("_bounds", lambda b: b < F.col("_s")))).drop("_bounds")
     # Negatives in all lower buckets (few rows per group: at most `buckets`).

@@ -24,11 +24,10 @@ Z90 = 1.2815515655446004
 
 
 def _attach(df: DataFrame, per_series: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Join per-series values back; with no keys the single row is broadcast."""
+    """Attach per-series values: a join on the keys, or scalar subqueries for one series."""
     if keys:
         return df.join(per_series, list(keys), "inner")
-    return df.withColumn("_g", F.lit(0)).join(F.broadcast(per_series.withColumn("_g", F.lit(0))),
-                                              "_g", "inner").drop("_g")
+    return df.withColumns({c: per_series.select(c).scalar() for c in per_series.columns})
 
 
 def monthly_spend(sam: DataFrame, keys: Sequence[str] = (), value: str = "telecom_spend") -> DataFrame:
@@ -49,8 +48,7 @@ def trend_fit(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
              .groupBy(*keys)
              .agg(F.stddev_pop(F.col("spend") - (F.col("b0") + F.col("b1") * F.col("t")))
                   .alias("resid_std")))
-    return _attach(fit, resid, keys) if keys else fit.withColumn(
-        "resid_std", resid.select("resid_std").scalar())
+    return _attach(fit, resid, keys)
 
 
 def forecast_point(fit: DataFrame, horizon: int = 6, keys: Sequence[str] = ()) -> DataFrame:

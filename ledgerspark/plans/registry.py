@@ -10,6 +10,7 @@ money to cents, ratios to 6 places.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,7 @@ from ledgerspark.operators import triage as H
 from ledgerspark.plans.marts import MartSet, marts_for
 from ledgerspark.session import shared_folder
 from ledgerspark.sources import sinks
+from ledgerspark.streaming import monitor as S
 
 # Fixture parameter: the driver data spans 83 months, so train on the first 62.
 N_TRAIN = 62
@@ -359,6 +361,30 @@ def q_audit_cmdb_status(spark, sf):
     return H.audit_cmdb_status(src.invoices, src.cmdb)
 
 
+# ---- streaming ------------------------------------------------------------------
+
+def _stream_paths(spark, sf, name):
+    base = f"{shared_folder(spark)}/ledgerspark/stream/{_tag(sf)}/{name}/{uuid.uuid4().hex}"
+    return f"{base}/out", f"{base}/checkpoint"
+
+
+def _staged_invoice_stream(spark, sf):
+    ms = _ms(spark, sf)
+    staged = ms.src.invoices
+    return S.invoice_stream(spark, f"{ms.store}/stg_invoices", staged.schema)
+
+
+def q_stream_invoice_audit(spark, sf):
+    out, ck = _stream_paths(spark, sf, "audit")
+    return S.run_available(S.audit_stream(_staged_invoice_stream(spark, sf)), out, ck, "append")
+
+
+def q_stream_monthly_spend(spark, sf):
+    out, ck = _stream_paths(spark, sf, "monthly_spend")
+    stream = S.monthly_spend_stream(_staged_invoice_stream(spark, sf), lateness=None)
+    return S.run_available(stream, out, ck, "complete")
+
+
 # ---- I: quality checks -------------------------------------------------------
 
 def q_dq_checks(spark, sf):
@@ -438,6 +464,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_checks": q_dq_checks,
     "triage_gate": q_triage_gate,
     "mart_presence": q_mart_presence,
+    "stream_invoice_audit": q_stream_invoice_audit,
+    "stream_monthly_spend": q_stream_monthly_spend,
 }
 
 # Keys whose result comes from a trained model (MLlib trees): checked by rows only.

@@ -1,0 +1,189 @@
+"""SPC, ranking, AUC, bridge, chargeback, forecast and triage on small frames."""
+
+import datetime as dt
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerspark.functions.stats import average_rank, hashed_normal, rank_auc
+from ledgerspark.operators import bridge as D
+from ledgerspark.operators import chargeback as E
+from ledgerspark.operators import deviation as V
+from ledgerspark.operators import forecast as FC
+from ledgerspark.operators import risk as G
+from ledgerspark.operators import triage as H
+
+SAM = "service_area string, period date, packet_loss double, telecom_spend double"
+
+
+def months(n, start=2025):
+    return [dt.date(start + (i // 12), i % 12 + 1, 1) for i in range(n)]
+
+
+def test_spc_std_zero_missing_baseline_and_one_sided(spark):
+    m = months(5)
+    rows = ([("Flat", d, 1.0, 1.0) for d in m[:4]] + [("Flat", m[4], 2.0, 1.0)]
+            + [("Down", d, v, 1.0) for d, v in zip(m, [1.0, 2.0, 3.0, 2.0, -50.0])]
+            + [("Up", d, v, 1.0) for d, v in zip(m, [1.0, 2.0, 3.0, 2.0, 50.0])]
+            + [("Late", m[4], 9.0, 1.0)])               # no rows in the baseline window
+    sam = spark.createDataFrame(rows, SAM)
+    out = {r.service_area: r for r in V.spc_deviation(sam).collect()}
+    assert "Late" not in out                            # areas come from the baseline
+    assert out["Flat"].z is None and out["Flat"].breach is True    # std 0, latest above mean
+    assert out["Down"].z < -3 and out["Down"].breach is False      # one-sided
+    assert out["Up"].z == pytest.approx((50 - 2) / 1.0) and out["Up"].breach is True
+    chart = V.control_chart(sam).collect()
+    assert {r.service_area for r in chart} == {"Up"} and len(chart) == 5
+
+
+def test_latest_per_area(spark):
+    m = months(3)
+    sam = spark.createDataFrame([("A", m[0], 1.0, 1.0), ("A", m[2], 3.0, 3.0),
+                                 ("A", m[1], 2.0, 2.0), ("B", m[0], 5.0, 5.0)], SAM)
+    got = {r.service_area: (r.period, r.packet_loss) for r in V.latest_per_area(sam).collect()}
+    assert got == {"A": (m[2], 3.0), "B": (m[0], 5.0)}
+
+
+def test_average_rank_matches_pandas(spark):
+    import pandas as pd
+    vals = [5.0, 3.0, 5.0, 1.0, 3.0, 3.0, None]
+    df = spark.createDataFrame([(f"v{i}", v) for i, v in enumerate(vals)], "vendor string, s double")
+    got = {r.vendor: r.rank for r in df.select("vendor", average_rank("s").alias("rank")).collect()}
+    want = pd.Series(vals, index=[f"v{i}" for i in range(len(vals))]).rank(ascending=False)
+    for k, v in want.items():
+        assert (got[k] is None and math.isnan(v)) or got[k] == v
+
+
+def _brute_auc(scores, labels):
+    pos = [s for s, y in zip(scores, labels) if y == 1]
+    neg = [s for s, y in zip(scores, labels) if y == 0]
+    if not pos or not neg:
+        return None
+    wins = sum(1.0 if p > n else 0.5 if p == n else 0.0 for p in pos for n in neg)
+    return wins / (len(pos) * len(neg))
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_rank_auc_equals_brute_force_with_ties(spark, seed):
+    rnd = random.Random(seed)
+    rows = [(rnd.choice(["a", "b"]), float(rnd.randint(0, 30)), rnd.randint(0, 1)) for _ in range(400)]
+    df = spark.createDataFrame(rows, "g string, s double, y int")
+    got = {r.g: r.auc for r in rank_auc(df, "s", "y", keys=["g"], buckets=8).collect()}
+    for g in ("a", "b"):
+        sub = [(s, y) for gg, s, y in rows if gg == g]
+        assert got[g] == pytest.approx(_brute_auc(*zip(*sub)), abs=1e-12)
+    whole = rank_auc(df, "s", "y").collect()[0]
+    assert whole.auc == pytest.approx(_brute_auc([r[1] for r in rows], [r[2] for r in rows]))
+
+
+def test_rank_auc_single_class_is_null(spark):
+    df = spark.createDataFrame([(1.0, 1), (2.0, 1)], "s double, y int")
+    r = rank_auc(df, "s", "y").collect()[0]
+    assert r.auc is None and r.positives == 2 and r.negatives == 0
+
+
+def test_hashed_normal_is_standard_normal(spark):
+    z = spark.range(20000).select(hashed_normal(F.col("id").cast("string")).alias("z"))
+    m = z.agg(F.avg("z"), F.stddev("z")).collect()[0]
+    assert abs(m[0]) < 0.03 and abs(m[1] - 1) < 0.03
+
+
+def test_time_split_and_too_few_months(spark):
+    m = months(12)
+    lab = spark.createDataFrame([("A", d, i % 2) for i, d in enumerate(m)],
+                                "service_area string, period date, high_risk int")
+    s = {r.split: r for r in G.risk_time_split(lab, 9).collect()}
+    assert s["train"].rows == 9 and s["test"].rows == 3 and s["test"].cut == m[9]
+    s = {r.split: r.rows for r in G.risk_time_split(lab, 20).collect()}
+    assert s == {"train": 12}
+
+
+def test_bridge_total_is_last_bar(spark):
+    audit = spark.createDataFrame([
+        ("OK", 100.0, 100.0, 0.0), ("Rate overcharge", 100.0, 120.0, 20.0),
+        ("Duplicate charge", 50.0, 100.0, 50.0), ("Ghost circuit", 40.0, 40.0, 0.0)],
+        "finding string, contracted_rate double, billed_amount double, variance double")
+    inc = spark.createDataFrame([(7.5,), (2.5,)], "cost_to_resolve double")
+    rows = D.cost_bridge(audit, inc).orderBy("step_no").collect()
+    assert [r.amount for r in rows] == [250.0, 20.0, 50.0, 40.0, 10.0, 370.0]
+    assert rows[4].bar_end == rows[5].bar_end == 370.0
+    assert rows[0].bar_start == rows[5].bar_start == 0.0
+    u = D.bridge_unexplained(audit, inc).collect()[0]
+    assert u.unexplained == 360.0 + 10.0 - 370.0
+
+
+def test_chargeback_conserves_cost_when_weights_sum_to_one(spark):
+    w = spark.createDataFrame([("A", "X", 0.25), ("A", "Y", 0.75), ("B", "X", 0.5), ("B", "Y", 0.499)],
+                              "service_area string, business_unit string, weight double")
+    cost = spark.createDataFrame([("A", 1000.0), ("B", 2000.0)], "service_area string, total_cost double")
+    alloc = E.chargeback_allocation(w, cost)
+    leak = {r.service_area: r.leakage for r in E.allocation_leakage(alloc).collect()}
+    assert leak["A"] == 0.0 and leak["B"] == pytest.approx(2.0)
+    sb = {r.business_unit: r for r in E.showback(alloc).collect()}
+    assert sb["TOTAL"].allocated == pytest.approx(2998.0) and sb["TOTAL"].share == 1.0
+    st = {r.business_unit: r for r in E.chargeback_statement(alloc).collect()}
+    assert st["Y"].TOTAL == round(750 + 998)
+
+
+def test_trend_fit_matches_numpy(spark):
+    import numpy as np
+    y = [100.0, 103.0, 101.0, 110.0, 112.0, 111.0, 120.0]
+    m = months(len(y))
+    series = spark.createDataFrame([(d, v, i) for i, (d, v) in enumerate(zip(m, y))],
+                                   "period date, spend double, t int")
+    fit = FC.trend_fit(series).collect()[0]
+    b1, b0 = np.polyfit(np.arange(len(y)), y, 1)
+    resid = (np.array(y) - (b0 + b1 * np.arange(len(y)))).std()
+    assert fit.b1 == pytest.approx(b1) and fit.b0 == pytest.approx(b0)
+    assert fit.resid_std == pytest.approx(resid)
+    pts = FC.forecast_point(FC.trend_fit(series), 6).orderBy("h").collect()
+    assert pts[0].period == dt.date(2025, 8, 1) and pts[0].point == pytest.approx(b0 + b1 * 7)
+
+
+def test_monte_carlo_band_close_to_closed_form(spark):
+    m = months(24)
+    series = spark.createDataFrame([(d, 1000.0 + 10 * i + (37.0 if i % 3 else -60.0), i)
+                                    for i, d in enumerate(m)], "period date, spend double, t int")
+    pts = FC.forecast_point(FC.trend_fit(series), 6)
+    mc = {r.h: r for r in FC.forecast_monte_carlo(pts, sims=5000).collect()}
+    cf = {r.h: r for r in FC.forecast_closed_form(pts).where("span = 'month'").collect()}
+    for h in range(1, 7):
+        width_cf = cf[h].p90 - cf[h].p10
+        assert abs((mc[h].p90 - mc[h].p10) - width_cf) / width_cf < 0.05
+        assert mc[h].p50 == pytest.approx(cf[h].point, abs=0.05 * width_cf)
+    q = FC.next_quarter(pts).collect()[0]
+    qcf = FC.forecast_closed_form(pts).where("span = 'next_quarter'").collect()[0]
+    assert abs((q.p90 - q.p10) - (qcf.p90 - qcf.p10)) / (qcf.p90 - qcf.p10) < 0.05
+
+
+def test_triage_eval_truth_normalisation_and_absent_label(spark):
+    df = spark.createDataFrame([
+        ("i1", "c", 100.0, 100.0, "Active", ""),            # '' -> none
+        ("i2", "c", 100.0, 100.0, "Active", None),          # NULL -> none
+        ("i3", "c", 100.0, 150.0, "Active", "rate_overcharge"),
+        ("i4", "c", 100.0, 100.0, "Active", "ghost_circuit")],
+        "invoice_id string, ci_id string, contracted_rate double, billed_amount double, "
+        "ci_status string, planted_error string")
+    c = H.with_truth(H.classify(df))
+    ev = {r.label: r for r in H.triage_eval(c).collect()}
+    assert set(ev) == {"rate_overcharge", "duplicate", "ghost_circuit", "none"}
+    assert (ev["duplicate"].tp, ev["duplicate"].f1) == (0, 0.0)          # never predicted
+    assert (ev["none"].tp, ev["none"].fp, ev["none"].precision) == (2, 1, 2 / 3)
+    assert ev["ghost_circuit"].fn == 1 and ev["ghost_circuit"].recall == 0.0
+    assert H.triage_accuracy(c).collect()[0].accuracy == 0.75
+
+
+def test_triage_notes_match_python_format(spark):
+    df = spark.createDataFrame([
+        ("i1", "C-1", 1000.4, 2500.5, "Decommissioned"), ("i2", "C-2", 1000.0, 2000.0, "Active"),
+        ("i3", "C-3", 1234.5, 1500.25, "Active"), ("i4", "C-4", 10.0, 10.0, "Active")],
+        "invoice_id string, ci_id string, contracted_rate double, billed_amount double, ci_status string")
+    got = {r.invoice_id: r.note for r in H.triage_notes(H.classify(df)).collect()}
+    assert got["i1"] == ("Circuit C-1 is decommissioned but billed $2,500. Action: dispute as a "
+                         "ghost circuit and reclaim $2,500.")
+    assert got["i2"] == f"Billed ${2000.0:,.0f} vs contracted ${1000.0:,.0f} (~2x). Action: flag duplicate charge; recover ${1000.0:,.0f}."
+    assert got["i3"] == (f"Billed ${1500.25:,.0f} exceeds contracted ${1234.5:,.0f} by "
+                         f"${1500.25 - 1234.5:,.0f}. Action: request rate correction and credit.")
+    assert got["i4"] == "Within contract terms; no action."
