@@ -30,9 +30,9 @@ MART_NAMES = ("fct_invoice_audit", "fct_service_area_monthly", "fct_budget_varia
 class MartSet:
     """Staged invoices plus the four marts of one data set.
 
-    The invoice source (for the fixtures a four-way join plus an id window)
-    is staged once: every mart and every triage query then reads the staged
-    columns instead of repeating the joins. `derive` rebuilds the sources that
+    The invoice and incident sources (for the fixtures four-way joins, plus an
+    id window for invoices) are staged once: every mart, the bridge and every
+    triage query then read the staged columns instead of repeating the joins. `derive` rebuilds the sources that
     are themselves functions of the invoices (the fixture budget) on top of
     the staged copy.
     """
@@ -54,7 +54,9 @@ class MartSet:
     @cached_property
     def src(self) -> Sources:
         inv = self._mat("stg_invoices", self.raw.invoices)
-        over = {"invoices": inv, **(self.derive(inv) if self.derive else {})}
+        over = {"invoices": inv, **(self.derive(inv) if self.derive else {}),
+                # read by the scorecards, the bridge and the weekly volume: staged once
+                "incidents": self._mat("stg_incidents", self.raw.incidents)}
         if self.raw.consumption is not None:   # aggregated (area x unit): tiny, reused by E1-E6
             over["consumption"] = self._mat("stg_consumption", self.raw.consumption)
         return replace(self.raw, **over)
