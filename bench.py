@@ -31,7 +31,10 @@ def main() -> None:
     scratch = tempfile.mkdtemp(prefix="ledgerspark-bench-")
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus * 2, app_name="ledgerspark-bench",
                           extra={"spark.checkpoint.dir": f"{scratch}/ckpt",
-                                 "spark.eventLog.enabled": "false"})
+                                 "spark.eventLog.enabled": "false",
+                                 # partitions sized to this data scale (tens of MB, not TB)
+                                 "spark.sql.adaptive.advisoryPartitionSizeInBytes":
+                                     os.environ.get("BENCH_ADVISORY", "4m")})
     spark.sparkContext.setCheckpointDir(f"{scratch}/ckpt")
     spark.range(1).count()   # JVM warm-up (session start, not a query)
     times: dict[str, float] = {}

@@ -79,8 +79,18 @@ def score(model: PipelineModel, df: DataFrame, name: str = "score") -> DataFrame
 
 def risk_scores(labeled: DataFrame, n_train: int = 9, features: Sequence[str] = FEATURES,
                 seed: int = 0) -> tuple[PipelineModel, DataFrame]:
+    """Fit on the train months, score the test months.
+
+    The forest makes several passes over its input; the (aggregated, one row
+    per area and month) training rows are persisted for the fit so the label
+    quantile and the split month are not recomputed on every pass.
+    """
     s = time_split(labeled, n_train)
-    model = fit_risk_model(s.where(F.col("split") == "train"), features, seed=seed)
+    train = s.where(F.col("split") == "train").select(*features, LABEL).persist()
+    try:
+        model = fit_risk_model(train, features, seed=seed)
+    finally:
+        train.unpersist()
     test = score(model, s.where(F.col("split") == "test"))
     return model, test.select("service_area", "period", LABEL, "score")
 
