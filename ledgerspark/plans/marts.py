@@ -17,6 +17,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerspark.functions import numbering
 from ledgerspark.operators import marts as M
 from ledgerspark.session import shared_folder
 from ledgerspark.sources.fixtures import budget_view, fixture_sources
@@ -54,6 +55,7 @@ class MartSet:
     @cached_property
     def src(self) -> Sources:
         inv = self._mat("stg_invoices", self.raw.invoices)
+        numbering.release()
         over = {"invoices": inv, **(self.derive(inv) if self.derive else {}),
                 # read by the scorecards, the bridge and the weekly volume: staged once
                 "incidents": self._mat("stg_incidents", self.raw.incidents)}
@@ -99,7 +101,9 @@ def marts_for(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Mar
         if materialize:
             tag = hashlib.sha1(key[1].encode()).hexdigest()[:12]
             store = f"{shared_folder(spark)}/ledgerspark/marts/{tag}"
-        ms = MartSet(spark, fixture_sources(spark, sf_dir), store,
+        # Staged invoices are numbered skew-aware (a hot (order, line) pair is range-split
+        # over tasks); without a store the lazy, prunable window is kept.
+        ms = MartSet(spark, fixture_sources(spark, sf_dir, "auto" if store else "window"), store,
                      derive=lambda inv: {"budget": budget_view(inv)})
         _CACHE[key] = ms
     return ms

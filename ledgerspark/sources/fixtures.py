@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ledgerspark.functions.numbering import row_number
 from ledgerspark.functions.rules import money_sum, round_decimal
 from ledgerspark.sources.model import Sources
 
@@ -67,7 +68,15 @@ def cmdb_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def invoices_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+INVOICE_KEY = ["l_orderkey", "l_linenumber"]
+INVOICE_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                 "l_shipdate"]
+
+
+def invoices_view(spark: SparkSession, sf_dir: str, ids: str = "window") -> DataFrame:
+    """Invoice lines. `ids="window"` numbers lines with a lazy window (pruned when the id
+    is not read); `ids="auto"` (for staging) samples the (order, line) keys first and
+    range-splits the numbering when one pair would overload a task."""
     li = read_table(spark, sf_dir, "lineitem")
     p = read_table(spark, sf_dir, "part")
     s = read_table(spark, sf_dir, "supplier")
@@ -79,13 +88,17 @@ def invoices_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     # (l_orderkey, l_linenumber) is not unique in the driver data; a row number
     # within the pair makes the id unique. Catalyst drops this window whenever
     # a query does not read invoice_id, so aggregates never pay its shuffle.
-    w = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
-        "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-        "l_shipdate")
+    if ids == "auto":
+        j = row_number(
+            j.select(*INVOICE_KEY, *INVOICE_ORDER, "l_returnflag", "l_linestatus", "p_type",
+                     "p_retailprice", "n_name"), INVOICE_KEY, INVOICE_ORDER, "_rn")
+        rn = F.col("_rn")
+    else:
+        rn = F.row_number().over(Window.partitionBy(*INVOICE_KEY).orderBy(*INVOICE_ORDER))
     return j.select(
         F.concat(F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string"), F.lit("-"),
-                 F.row_number().over(w).cast("string")).alias("invoice_id"),
+                 rn.cast("string")).alias("invoice_id"),
         F.col("l_partkey").alias("ci_id"),
         F.col("n_name").alias("vendor"),
         F.col("p_type").alias("service_area"),
@@ -158,8 +171,8 @@ def consumption_view(spark: SparkSession, sf_dir: str) -> DataFrame:
              .agg(money_sum("l_extendedprice").alias("units")))
 
 
-def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
-    inv = invoices_view(spark, sf_dir)
+def fixture_sources(spark: SparkSession, sf_dir: str, ids: str = "window") -> Sources:
+    inv = invoices_view(spark, sf_dir, ids)
     return Sources(
         cmdb=cmdb_view(spark, sf_dir),
         invoices=inv,
