@@ -25,16 +25,20 @@ LABEL = "high_risk"
 
 
 def risk_labels(sam: DataFrame, features: Sequence[str] = FEATURES, target: str = TARGET,
-                q: float = 0.75, approx: bool = False) -> DataFrame:
+                q: float = 0.75, approx: bool = False, fit_on: str = "all",
+                n_train: int = 9) -> DataFrame:
     """G1: drop rows missing a feature or the target; high_risk = target > q-quantile.
 
-    The quantile is exact (linear interpolation) over all remaining rows, as a
-    scalar subquery. The scorecard has one row per (area, month); for inputs
-    without such a bound pass ``approx=True`` (bounded-memory sketch).
+    The quantile is exact (linear interpolation), as a scalar subquery, over
+    all remaining rows (``fit_on="all"``, the reference's choice, which lets
+    test months shape the label) or over the first `n_train` months only
+    (``fit_on="train"``). The scorecard has one row per (area, month); for
+    inputs without such a bound pass ``approx=True`` (bounded-memory sketch).
     """
     df = sam.dropna(subset=list(features) + [target])
     agg = (F.percentile_approx(target, q, 100000) if approx else F.percentile(target, q))
-    thr = df.select(agg).scalar()
+    basis = df if fit_on == "all" else time_split(df, n_train).where(F.col("split") == "train")
+    thr = basis.select(agg).scalar()
     return df.select("service_area", "period", *features, target,
                      (F.col(target) > thr).cast("int").alias(LABEL))
 

@@ -187,3 +187,16 @@ def test_triage_notes_match_python_format(spark):
     assert got["i3"] == (f"Billed ${1500.25:,.0f} exceeds contracted ${1234.5:,.0f} by "
                          f"${1500.25 - 1234.5:,.0f}. Action: request rate correction and credit.")
     assert got["i4"] == "Within contract terms; no action."
+
+
+def test_risk_label_quantile_over_all_or_train_months(spark):
+    m = months(4)
+    sam = spark.createDataFrame(
+        [("A", d, 1.0, 1.0, 1.0, 1.0, c) for d, c in zip(m, [1.0, 2.0, 3.0, 100.0])]
+        + [("B", m[0], None, 1.0, 1.0, 1.0, 50.0)],            # dropped: missing a feature
+        "service_area string, period date, packet_loss double, latency double, mtbf double, "
+        "uptime double, incident_cost double")
+    all_ = {r.period: r.high_risk for r in G.risk_labels(sam).collect()}
+    assert all_ == {m[0]: 0, m[1]: 0, m[2]: 0, m[3]: 1}       # q75 of 1,2,3,100 = 27.25
+    train = {r.period: r.high_risk for r in G.risk_labels(sam, fit_on="train", n_train=3).collect()}
+    assert train == {m[0]: 0, m[1]: 0, m[2]: 1, m[3]: 1}      # q75 of 1,2,3 = 2.5
