@@ -27,7 +27,8 @@ def _attach(df: DataFrame, per_series: DataFrame, keys: Sequence[str]) -> DataFr
     """Attach per-series values: a join on the keys, or scalar subqueries for one series."""
     if keys:
         return df.join(per_series, list(keys), "inner")
-    return df.withColumns({c: per_series.select(c).scalar() for c in per_series.columns})
+    one = per_series.select(F.struct(*per_series.columns).alias("_v")).scalar()  # one subquery
+    return df.withColumn("_v", one).select(*df.columns, "_v.*")
 
 
 def monthly_spend(sam: DataFrame, keys: Sequence[str] = (), value: str = "telecom_spend") -> DataFrame:
