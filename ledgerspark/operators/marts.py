@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerspark.functions.rules import (DECOMMISSIONED, DUPLICATE_RATIO, FINDINGS,
+from ledgerspark.functions.rules import (DUPLICATE_RATIO, FINDINGS,
                                          OVERCHARGE_RATIO, exact_avg, ladder,
                                          money_sum, round_decimal, safe_div)
 
@@ -149,7 +149,3 @@ def incident_volume(incidents: DataFrame, ts: str = "opened_at", unit: str = "we
     return (incidents.groupBy("service_area", bucket)
                      .agg(F.count(F.lit(1)).alias("incidents"),
                           exact_avg("mttr_hours").alias("avg_mttr")))
-
-
-def is_ghost(status_col: str = "ci_status"):
-    return F.col(status_col) == DECOMMISSIONED

@@ -18,11 +18,6 @@ from ledgerspark.functions.numbering import row_number
 from ledgerspark.functions.rules import money_sum, round_decimal
 from ledgerspark.sources.model import Sources
 
-DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-                 "events", "documents", "embeddings", "pages", "benchmark", "labels",
-                 "conversations")
-
-
 # Declared schemas of the driver tables the views read (no footer inference job).
 DRIVER_SCHEMAS = {
     "nation": "n_nationkey int, n_name string, n_regionkey int",
