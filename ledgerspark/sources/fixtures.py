@@ -86,7 +86,8 @@ def invoices_view(spark: SparkSession, sf_dir: str, ids: str = "window") -> Data
     if ids == "auto":
         j = row_number(
             j.select(*INVOICE_KEY, *INVOICE_ORDER, "l_returnflag", "l_linestatus", "p_type",
-                     "p_retailprice", "n_name"), INVOICE_KEY, INVOICE_ORDER, "_rn")
+                     "p_retailprice", "n_name"), INVOICE_KEY, INVOICE_ORDER, "_rn",
+            sample_from=li)
         rn = F.col("_rn")
     else:
         rn = F.row_number().over(Window.partitionBy(*INVOICE_KEY).orderBy(*INVOICE_ORDER))
