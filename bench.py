@@ -29,7 +29,8 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [k for k in os.environ.get("BENCH_QUERIES", "").split(",") if k]
     scratch = tempfile.mkdtemp(prefix="ledgerspark-bench-")
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus * 2, app_name="ledgerspark-bench",
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus * 2))
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=parts, app_name="ledgerspark-bench",
                           extra={"spark.checkpoint.dir": f"{scratch}/ckpt",
                                  "spark.eventLog.enabled": "false",
                                  # partitions sized to this data scale (tens of MB, not TB)

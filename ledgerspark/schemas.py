@@ -34,6 +34,7 @@ BUDGET = _schema(("service_area", S), ("annual_budget", D), ("po_committed", D))
 
 CONSUMPTION = _schema(("service_area", S), ("business_unit", S), ("units", D))
 
+# The raw table names (file stems) of the source layout.
 # Raw table name (file stem) -> declared schema. The weight matrix is wide with
 # one column per business unit, so it is read with a header and unpivoted.
 RAW_TABLES = {
