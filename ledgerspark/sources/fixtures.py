@@ -76,9 +76,9 @@ def invoices_view(spark: SparkSession, sf_dir: str, ids: str = "window") -> Data
     p = read_table(spark, sf_dir, "part")
     s = read_table(spark, sf_dir, "supplier")
     n = read_table(spark, sf_dir, "nation")
-    j = (li.join(p, li.l_partkey == p.p_partkey)
-           .join(s, li.l_suppkey == s.s_suppkey)
-           .join(n, s.s_nationkey == n.n_nationkey))
+    # Snowflake dimension first (supplier x nation), then one join per dimension on the facts.
+    sup = s.join(n, s.s_nationkey == n.n_nationkey).select("s_suppkey", "n_name")
+    j = li.join(p, li.l_partkey == p.p_partkey).join(sup, li.l_suppkey == sup.s_suppkey)
     contracted = F.col("p_retailprice") * F.col("l_quantity")
     # (l_orderkey, l_linenumber) is not unique in the driver data; a row number
     # within the pair makes the id unique. Catalyst drops this window whenever
@@ -115,9 +115,8 @@ def incidents_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "part")
     c = read_table(spark, sf_dir, "customer")
     n = read_table(spark, sf_dir, "nation")
-    j = (o.join(p, o.o_custkey == p.p_partkey)
-          .join(c, o.o_custkey == c.c_custkey)
-          .join(n, c.c_nationkey == n.n_nationkey))
+    cust = c.join(n, c.c_nationkey == n.n_nationkey).select("c_custkey", "n_name")
+    j = o.join(p, o.o_custkey == p.p_partkey).join(cust, o.o_custkey == cust.c_custkey)
     pr = F.col("o_orderpriority")
     return j.select(
         F.col("o_orderkey").alias("incident_id"),
