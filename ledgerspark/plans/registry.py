@@ -274,8 +274,15 @@ def q_forecast_by_area(spark, sf):
 
 # ---- G: risk -------------------------------------------------------------------
 
+_LABELED: dict[tuple[str, str], DataFrame] = {}
+
+
 def _labeled(spark, sf):
-    return G.risk_labels(_ms(spark, sf).sam)
+    """Labelled scorecard months (one row per area and month), kept for the G family."""
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"))
+    if key not in _LABELED:
+        _LABELED[key] = G.risk_labels(_ms(spark, sf).sam).persist()
+    return _LABELED[key]
 
 
 def q_risk_labels(spark, sf):
