@@ -311,7 +311,7 @@ def _model(spark, sf):
     if key not in _MODELS:
         lab = _labeled(spark, sf)
         model, scored = G.risk_scores(lab, N_TRAIN)
-        _MODELS[key] = (lab, model, scored)
+        _MODELS[key] = (lab, model, scored.persist())   # test months only: small
     return _MODELS[key]
 
 

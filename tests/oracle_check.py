@@ -1,6 +1,6 @@
 """Compare each registered Spark query with its DuckDB oracle on one fixture folder.
 
-Row count, column names and an order-insensitive multiset of rows (columns
+Row count, column names and types, and an order-insensitive multiset of rows (columns
 sorted by name; dates as ISO text; floats as repr; NULL/NaN as None) must
 all agree. Run directly for a report:
 
@@ -53,6 +53,11 @@ def rows_of(cols, tuples):
     return Counter(tuple(_norm(r[i]) for i in order) for r in tuples)
 
 
+# Spark simple type name -> DuckDB type name (for the schema part of the check).
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+         "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
 def compare(spark, key: str, sf_dir: str, con=None) -> dict:
     from __spark_entry__ import oracle_sql, queries
     con = con or duck(sf_dir)
@@ -66,13 +71,20 @@ def compare(spark, key: str, sf_dir: str, con=None) -> dict:
     if sql is None:
         out["status"] = "rows-only"
         return out
+    rel = con.sql(sql)
+    d_types = dict(zip(rel.columns, (str(t) for t in rel.types)))
     res = con.execute(sql)
     d_cols = [d[0] for d in res.description]
     d_rows = res.fetchall()
+    s_types = {f.name: TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in sdf.schema.fields}
     out["oracle_rows"] = len(d_rows)
     if sorted(s_cols) != sorted(d_cols):
         out["status"] = f"COLUMNS differ: spark={sorted(s_cols)} oracle={sorted(d_cols)}"
         return out
+    if s_types != d_types:
+        out["status"] = f"TYPES differ: spark={s_types} oracle={d_types}"
+        return out
     a, b = rows_of(s_cols, s_rows), rows_of(d_cols, d_rows)
     if len(s_rows) != len(d_rows):
         out["status"] = "ROWCOUNT differs"
