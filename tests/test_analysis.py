@@ -149,6 +149,8 @@ def test_monte_carlo_band_close_to_closed_form(spark):
     pts = FC.forecast_point(FC.trend_fit(series), 6)
     mc = {r.h: r for r in FC.forecast_monte_carlo(pts, sims=5000).collect()}
     cf = {r.h: r for r in FC.forecast_closed_form(pts).where("span = 'month'").collect()}
+    # A P10-P90 width from 5000 normal draws has a standard error of about 1.3%
+    # of the width; 5% is about four standard errors.
     for h in range(1, 7):
         width_cf = cf[h].p90 - cf[h].p10
         assert abs((mc[h].p90 - mc[h].p10) - width_cf) / width_cf < 0.05

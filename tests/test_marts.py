@@ -113,3 +113,21 @@ def test_incident_volume_weekly(spark):
                                  ("n3", "c", "A", "v", D1, dt.date(2025, 1, 13), 6.0, 1.0)], INC)
     out = {r.period: (r.incidents, r.avg_mttr) for r in M.incident_volume(inc).collect()}
     assert out == {dt.date(2025, 1, 6): (2, 9.0), dt.date(2025, 1, 13): (1, 6.0)}
+
+
+def test_vendor_scorecard_equals_naive_join_on_fixture(spark, sf_small):
+    from ledgerspark.sources.fixtures import fixture_sources
+    src = fixture_sources(spark, sf_small)
+    fast = {r.vendor: r for r in M.vendor_scorecard(src.incidents, src.invoices).collect()}
+    naive = (src.incidents.join(src.invoices.select("vendor", "billed_amount"), "vendor")
+                .groupBy("vendor").agg(F.sum("billed_amount").alias("total_spend"),
+                                       F.countDistinct("incident_id").alias("incidents"),
+                                       F.avg("mttr_hours").alias("avg_mttr"),
+                                       F.count(F.lit(1)).alias("joined_rows")))
+    naive = {r.vendor: r for r in naive.collect()}
+    assert set(fast) == set(naive) and len(fast) > 5
+    assert sum(r.joined_rows for r in naive.values()) > 300_000      # the fan-out avoided
+    for v, r in naive.items():
+        assert fast[v].incidents == r.incidents
+        assert abs(fast[v].avg_mttr - r.avg_mttr) < 1e-9
+        assert abs(fast[v].total_spend - r.total_spend) <= 1e-9 * r.total_spend
