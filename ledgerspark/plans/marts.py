@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from functools import cached_property
 
@@ -54,13 +55,16 @@ class MartSet:
 
     @cached_property
     def src(self) -> Sources:
-        inv = self._mat("stg_invoices", self.raw.invoices)
-        numbering.release()
-        over = {"invoices": inv, **(self.derive(inv) if self.derive else {}),
+        # Independent stagings run as concurrent Spark jobs of the same session.
+        todo = {"invoices": ("stg_invoices", self.raw.invoices),
                 # read by the scorecards, the bridge and the weekly volume: staged once
-                "incidents": self._mat("stg_incidents", self.raw.incidents)}
+                "incidents": ("stg_incidents", self.raw.incidents)}
         if self.raw.consumption is not None:   # aggregated (area x unit): tiny, reused by E1-E6
-            over["consumption"] = self._mat("stg_consumption", self.raw.consumption)
+            todo["consumption"] = ("stg_consumption", self.raw.consumption)
+        over = _concurrently({k: (lambda n=n, d=d: self._mat(n, d)) for k, (n, d) in todo.items()})
+        numbering.release()
+        if self.derive:
+            over.update(self.derive(over["invoices"]))
         return replace(self.raw, **over)
 
     @cached_property
@@ -85,8 +89,17 @@ class MartSet:
                                                                     self.src.invoices))
 
     def all(self) -> dict[str, DataFrame]:
-        return dict(zip(MART_NAMES, (self.audit, self.sam, self.budget_variance,
-                                     self.vendor_scorecard)))
+        self.src   # staged first: every mart reads it
+        built = _concurrently({"sam": lambda: self.sam, "bv": lambda: self.budget_variance,
+                               "vsc": lambda: self.vendor_scorecard})
+        return dict(zip(MART_NAMES, (self.audit, built["sam"], built["bv"], built["vsc"])))
+
+
+def _concurrently(tasks: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Run independent builds as concurrent jobs (Spark schedules them side by side)."""
+    with ThreadPoolExecutor(max_workers=max(1, len(tasks))) as pool:
+        futures = {k: pool.submit(f) for k, f in tasks.items()}
+        return {k: f.result() for k, f in futures.items()}
 
 
 _CACHE: dict[tuple[str, str], MartSet] = {}
