@@ -25,13 +25,11 @@ def _long(sam: DataFrame, metrics: Sequence[str]) -> DataFrame:
     return wide.unpivot([AREA, "period"], list(metrics), "metric", "value")
 
 
-def _baseline_rows(df: DataFrame, days: int) -> DataFrame:
-    start = df.select(F.min("period")).scalar()
-    return df.where(F.col("period") < F.date_add(start, days))
-
-
-def spc_baseline_long(long: DataFrame, days: int = 90) -> DataFrame:
-    return (_baseline_rows(long, days)
+def spc_baseline_long(long: DataFrame, days: int = 90, start=None) -> DataFrame:
+    """Baseline per (area, metric) over rows before `start` + `days` (start: the first
+    period, as a scalar subquery over the long rows unless given)."""
+    start = start if start is not None else long.select(F.min("period")).scalar()
+    return (long.where(F.col("period") < F.date_add(start, days))
             .groupBy(AREA, "metric")
             .agg(F.avg("value").alias("baseline_mean"),
                  F.stddev_samp("value").alias("baseline_std"),
@@ -40,7 +38,7 @@ def spc_baseline_long(long: DataFrame, days: int = 90) -> DataFrame:
 
 def spc_baseline(sam: DataFrame, metric: str = "packet_loss", days: int = 90) -> DataFrame:
     """Per-area baseline over rows with period < first period + `days`."""
-    return spc_baseline_long(_long(sam, [metric]), days)
+    return spc_baseline_long(_long(sam, [metric]), days, sam.select(F.min("period")).scalar())
 
 
 def latest_per_area(sam: DataFrame, keys: Sequence[str] = (AREA,), order: str = "period") -> DataFrame:
@@ -64,7 +62,7 @@ def spc_all_metrics(sam: DataFrame, metrics: Sequence[str] = METRICS, z: float =
                     days: int = 90) -> DataFrame:
     """C6 (and C4 for one metric): baseline, latest value, z and breach per (area, metric)."""
     long = _long(sam, metrics)
-    base = spc_baseline_long(long, days)
+    base = spc_baseline_long(long, days, sam.select(F.min("period")).scalar())
     latest = long.groupBy(AREA, "metric").agg(F.max_by("value", "period").alias("latest"))
     return _score(base, latest, z)
 
