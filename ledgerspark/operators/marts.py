@@ -37,24 +37,32 @@ def monthly_spend_by_area(invoices: DataFrame) -> DataFrame:
     return invoices.groupBy(*AREA_MONTH).agg(money_sum("billed_amount").alias("telecom_spend"))
 
 
+def telemetry_monthly(telemetry: DataFrame) -> DataFrame:
+    """Telemetry averages per (area, month): the rollup B2 joins."""
+    return (telemetry.groupBy(*AREA_MONTH)
+                     .agg(exact_avg("uptime_pct").alias("uptime"),
+                          exact_avg("packet_loss_pct").alias("packet_loss"),
+                          exact_avg("latency_ms").alias("latency"),
+                          exact_avg("mtbf_hours").alias("mtbf")))
+
+
 def service_area_monthly(invoices: DataFrame, incidents: DataFrame,
-                         telemetry: DataFrame) -> DataFrame:
+                         telemetry: DataFrame | None = None,
+                         telemetry_rollup: DataFrame | None = None) -> DataFrame:
     """B2: spend LEFT JOIN incident stats LEFT JOIN telemetry at (area, month).
 
     Months without spend are dropped; incident counts and cost default to 0,
     the MTTR average and telemetry stay NULL, cost per incident is NULL when
-    a month has no incidents.
+    a month has no incidents. `telemetry_rollup` (``telemetry_monthly``
+    output, for example built while the invoices are still loading) may
+    replace the raw telemetry.
     """
     spend = monthly_spend_by_area(invoices)
     inc = (incidents.groupBy("service_area", F.col("opened").alias("period"))
                     .agg(F.count(F.lit(1)).alias("incidents"),
                          exact_avg("mttr_hours").alias("avg_mttr"),
                          money_sum("cost_to_resolve", 4).alias("incident_cost")))
-    tel = (telemetry.groupBy(*AREA_MONTH)
-                    .agg(exact_avg("uptime_pct").alias("uptime"),
-                         exact_avg("packet_loss_pct").alias("packet_loss"),
-                         exact_avg("latency_ms").alias("latency"),
-                         exact_avg("mtbf_hours").alias("mtbf")))
+    tel = telemetry_rollup if telemetry_rollup is not None else telemetry_monthly(telemetry)
     j = spend.join(inc, AREA_MONTH, "left").join(tel, AREA_MONTH, "left")
     return j.select(
         "service_area", "period", "telecom_spend",

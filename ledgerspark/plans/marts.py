@@ -45,6 +45,7 @@ class MartSet:
         self.raw = sources
         self.store = store
         self.derive = derive
+        self.telemetry_rollup: DataFrame | None = None   # set when the sources are staged
 
     def _mat(self, name: str, df: DataFrame) -> DataFrame:
         if self.store is None:
@@ -61,8 +62,11 @@ class MartSet:
                 "incidents": ("stg_incidents", self.raw.incidents)}
         if self.raw.consumption is not None:   # aggregated (area x unit): tiny, reused by E1-E6
             todo["consumption"] = ("stg_consumption", self.raw.consumption)
+        # The telemetry rollup does not need the invoices: built in the same wave.
+        todo["_telemetry_rollup"] = ("stg_telemetry_monthly", M.telemetry_monthly(self.raw.telemetry))
         over = _concurrently({k: (lambda n=n, d=d: self._mat(n, d)) for k, (n, d) in todo.items()})
         numbering.release()
+        self.telemetry_rollup = over.pop("_telemetry_rollup")
         if self.derive:
             over.update(self.derive(over["invoices"]))
         return replace(self.raw, **over)
@@ -75,8 +79,9 @@ class MartSet:
 
     @cached_property
     def sam(self) -> DataFrame:
+        src = self.src   # builds the staged sources and the telemetry rollup
         return self._mat("fct_service_area_monthly", M.service_area_monthly(
-            self.src.invoices, self.src.incidents, self.src.telemetry)).persist()
+            src.invoices, src.incidents, telemetry_rollup=self.telemetry_rollup)).persist()
 
     @cached_property
     def budget_variance(self) -> DataFrame:
