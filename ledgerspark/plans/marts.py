@@ -52,7 +52,7 @@ class MartSet:
             return df
         path = f"{self.store}/{name}"
         write_mart(df, path)
-        return read_mart(self.spark, path, df.columns)
+        return read_mart(self.spark, path, df.schema)
 
     @cached_property
     def src(self) -> Sources:

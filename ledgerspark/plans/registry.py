@@ -378,7 +378,7 @@ def _stream_paths(spark, sf, name):
 def _staged_invoice_stream(spark, sf):
     ms = _ms(spark, sf)
     staged = ms.src.invoices
-    return S.invoice_stream(spark, f"{ms.store}/stg_invoices", staged.schema, files_per_trigger=8)
+    return S.invoice_stream(spark, f"{ms.store}/stg_invoices", staged.schema, files_per_trigger=32)
 
 
 def q_stream_invoice_audit(spark, sf):

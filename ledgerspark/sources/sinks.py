@@ -23,17 +23,17 @@ def write_mart(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> st
     return path
 
 
-def read_mart(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
-    return df.select(*columns) if columns else df
+def read_mart(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """Read a written mart; with its schema no footer-inference job is needed."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    df = reader.parquet(path)
+    return df.select(*schema.fieldNames()) if schema is not None else df
 
 
 def mart_roundtrip(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """A2: overwrite the mart at `path`, read it back with the original column order."""
+    """A2: overwrite the mart at `path`, read it back with the original column order and types."""
     write_mart(df, path, partition_by)
-    back = read_mart(df.sparkSession, path, df.columns)
-    # Partition values come back typed by inference; restore the declared types.
-    return back.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in df.schema.fields])
+    return read_mart(df.sparkSession, path, df.schema)
 
 
 def export_csv(marts: dict[str, DataFrame], base: str) -> DataFrame:
