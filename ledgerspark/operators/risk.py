@@ -108,7 +108,10 @@ def risk_feature_importance(spark: SparkSession, model: PipelineModel,
                             features: Sequence[str] = FEATURES) -> DataFrame:
     """The forest's feature importances (one value per feature), descending."""
     imp = model.stages[-1].featureImportances.toArray().tolist()
-    df = spark.createDataFrame(list(zip(features, imp)), "feature string, importance double")
+    # One literal row per feature, built in the JVM (no Python worker round trip).
+    rows = [F.struct(F.lit(f).alias("feature"), F.lit(float(v)).alias("importance"))
+            for f, v in zip(features, imp)]
+    df = spark.range(1).select(F.inline(F.array(*rows)))
     return df.orderBy(F.col("importance").desc(), "feature")
 
 
