@@ -100,6 +100,25 @@ class MartSet:
         return dict(zip(MART_NAMES, (self.audit, built["sam"], built["bv"], built["vsc"])))
 
 
+# View names for SQL users (raw table stems and mart names of the source layout).
+SOURCE_VIEWS = {"invoices": "telecom_invoices", "incidents": "servicenow_incidents",
+                "telemetry": "itom_telemetry", "cmdb": "servicenow_cmdb", "budget": "coupa_pos",
+                "gl": "sap_gl", "consumption": "consumption", "weights": "chargeback_weights"}
+
+
+def register_views(ms: MartSet) -> list[str]:
+    """Expose the sources and the four marts as temp views, so existing SQL runs unchanged."""
+    names = []
+    for field, df in ms.src.items():
+        name = SOURCE_VIEWS.get(field, field)
+        df.createOrReplaceTempView(name)
+        names.append(name)
+    for name, df in ms.all().items():
+        df.createOrReplaceTempView(name)
+        names.append(name)
+    return names
+
+
 def _concurrently(tasks: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
     """Run independent builds as concurrent jobs (Spark schedules them side by side)."""
     with ThreadPoolExecutor(max_workers=max(1, len(tasks))) as pool:

@@ -72,3 +72,16 @@ def test_runbook_writes_results(spark, sf_small):
     rep = run(spark, sf_small, out, ["audit_headline", "cost_bridge"])
     assert set(rep) == {"audit_headline", "cost_bridge"}
     assert spark.read.parquet(rep["cost_bridge"]["path"]).count() == 6
+
+
+def test_marts_and_sources_as_sql_views(spark, sf_small):
+    from ledgerspark.plans.marts import marts_for, register_views
+    names = register_views(marts_for(spark, sf_small))
+    assert {"telecom_invoices", "servicenow_incidents", "fct_invoice_audit",
+            "fct_service_area_monthly", "fct_budget_variance", "fct_vendor_scorecard"} <= set(names)
+    top = spark.sql("SELECT vendor, spend_per_incident FROM fct_vendor_scorecard "
+                    "ORDER BY spend_per_incident DESC, vendor LIMIT 1").collect()
+    from __spark_entry__ import queries
+    assert [tuple(r) for r in top] == [tuple(r) for r in queries()["top_vendor"](spark, sf_small).collect()]
+    n = spark.sql("SELECT count(*) FROM fct_invoice_audit WHERE finding <> 'OK'").collect()[0][0]
+    assert n == queries()["audit_headline"](spark, sf_small).collect()[0].flagged
