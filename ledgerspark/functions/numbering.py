@@ -113,19 +113,24 @@ def hot_group_share(df: DataFrame, partition_cols: Sequence[str], fraction: floa
 
 def row_number(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],
                name: str = "row_number", num_partitions: int | None = None,
-               fraction: float = 1e-3, min_sample: int = 20,
+               fraction: float | None = None, sample_rows: int = 100_000, min_sample: int = 20,
                sample_from: DataFrame | None = None) -> DataFrame:
     """Exact row number; a plain window unless a sampled group exceeds one task's share.
 
     A window hash-partitions on the group key: fine while every group fits a
     task. When the sample shows a group above 1/num_partitions of the rows
     (and the sample is big enough to say so), the split row number is used.
+    The sample has about `sample_rows` rows (or `fraction` of them), so the
+    check costs the same on a laptop sample and on the full table.
     `sample_from` may give a cheaper frame with the same key distribution (for
     example the raw fact table before dimension joins).
     """
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    share, sampled = hot_group_share(sample_from if sample_from is not None else df,
-                                     partition_cols, fraction)
+    src = sample_from if sample_from is not None else df
+    if fraction is None:
+        # About `sample_rows` rows whatever the table size (a parquet count reads footers only).
+        fraction = min(1.0, sample_rows / max(1, src.count()))
+    share, sampled = hot_group_share(src, partition_cols, fraction)
     hot = sampled >= min_sample and share > 1.0 / n
     if hot:
         return row_number_split(df, partition_cols, order_cols, name, n)
