@@ -35,6 +35,7 @@ N_TRAIN = 62
 
 
 def rnd(df: DataFrame, d2=(), d4=(), d6=(), d3=()) -> DataFrame:
+    """Round the named columns to 2/4/6/3 places (output edge only)."""
     spec = {**{c: 2 for c in d2}, **{c: 4 for c in d4}, **{c: 6 for c in d6},
             **{c: 3 for c in d3}}
     return df.select(*[F.round(F.col(f"`{c}`"), spec[c]).alias(c) if c in spec
@@ -54,8 +55,6 @@ def _tag(sf: str) -> str:
     return hashlib.sha1(sf.rstrip("/").encode()).hexdigest()[:12]
 
 
-
-
 # ---- A: sources and sinks -------------------------------------------------
 
 def q_source_profile(spark, sf):
