@@ -73,8 +73,11 @@ def q_mart_roundtrip(spark, sf):
 
 
 def q_export_csv(spark, sf):
+    """The four marts, the chargeback statement and the (wide) weight matrix as CSV."""
     ms = _ms(spark, sf)
-    return sinks.export_csv(ms.all(), f"{shared_folder(spark)}/ledgerspark/export/{_tag(sf)}")
+    out = {**ms.all(), "fct_chargeback": E.chargeback_statement(_alloc(spark, sf)),
+           "chargeback_weights": E.weights_wide(_weights(spark, sf))}
+    return sinks.export_csv(out, f"{shared_folder(spark)}/ledgerspark/export/{_tag(sf)}")
 
 
 def q_kpi_summary(spark, sf):
@@ -191,10 +194,13 @@ def q_bridge_unexplained(spark, sf):
 
 # ---- E: chargeback ---------------------------------------------------------------
 
+def _weights(spark, sf):
+    src = _ms(spark, sf).src
+    return src.weights if src.weights is not None else E.consumption_weights(src.consumption)
+
+
 def _alloc(spark, sf):
-    ms = _ms(spark, sf)
-    w = ms.src.weights if ms.src.weights is not None else E.consumption_weights(ms.src.consumption)
-    return E.chargeback_allocation(w, E.area_total_cost(ms.sam))
+    return E.chargeback_allocation(_weights(spark, sf), E.area_total_cost(_ms(spark, sf).sam))
 
 
 def q_area_total_cost(spark, sf):

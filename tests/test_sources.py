@@ -85,3 +85,12 @@ def test_marts_and_sources_as_sql_views(spark, sf_small):
     assert [tuple(r) for r in top] == [tuple(r) for r in queries()["top_vendor"](spark, sf_small).collect()]
     n = spark.sql("SELECT count(*) FROM fct_invoice_audit WHERE finding <> 'OK'").collect()[0][0]
     assert n == queries()["audit_headline"](spark, sf_small).collect()[0].flagged
+
+
+def test_weight_matrix_export_reads_back(spark):
+    long = spark.createDataFrame([("A", "X", 0.25), ("A", "Y", 0.75), ("B", "X", 0.5), ("B", "Y", 0.5)],
+                                 "service_area string, business_unit string, weight double")
+    path = tempfile.mkdtemp(prefix="ls-ww-") + "/w"
+    E.weights_wide(long).coalesce(1).write.option("header", True).csv(path)
+    back = read_weights_wide(spark, path)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, long.collect()))
