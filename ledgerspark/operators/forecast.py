@@ -65,8 +65,11 @@ def simulate_paths(points: DataFrame, sims: int = 5000, seed: int = 11,
                    keys: Sequence[str] = ()) -> DataFrame:
     """(keys, h, sim, value): point + resid_std * N(0, 1), independent per month."""
     series_key = F.concat_ws("|", *[F.col(k).cast("string") for k in keys]) if keys else F.lit("")
-    # Spread the (series, month) seeds over tasks before each explodes `sims` rows.
-    p = points.repartition(*[F.col(k) for k in keys], F.col("h"))
+    # Spread the (series, month) seeds over tasks before each explodes `sims` rows. The
+    # partition count is explicit: AQE would otherwise merge this tiny frame into one
+    # task, and every path of every series would be generated there.
+    n = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    p = points.repartition(n, *[F.col(k) for k in keys], F.col("h"))
     p = p.select(*keys, "h", "period", "point", "resid_std",
                  F.explode(F.sequence(F.lit(0), F.lit(sims - 1))).alias("sim"))
     key = F.concat_ws("|", F.col("sim").cast("string"), F.col("h").cast("string"), series_key,
