@@ -35,3 +35,16 @@ def test_chargeback_and_risk_facts(spark, q):
     assert (sum(r.weight_sum == 0.999 for r in leak), sum(r.weight_sum == 1.001 for r in leak)) == (2, 1)
     lab = q["risk_labels"](spark, SF)
     assert (lab.agg(F.sum("high_risk")).first()[0], lab.count()) == (125, 498)
+
+
+def test_triage_and_cmdb_facts(spark, q):
+    from ledgerspark.plans.marts import marts_for
+    ev = {r.label: r for r in q["triage_eval"](spark, SF).collect()}
+    assert round(ev["ghost_circuit"].recall, 2) == 0.50       # the reference's own ghost gap
+    cm = {(r.truth, r.predicted) for r in q["triage_confusion"](spark, SF).collect()}
+    labels = {"rate_overcharge", "duplicate", "ghost_circuit", "none"}
+    assert {t for t, _ in cm} == labels and {p for _, p in cm} == labels
+    src = marts_for(spark, SF).src
+    mismatch = (src.invoices.join(src.cmdb.select("ci_id", "status"), "ci_id")
+                   .where("ci_status <> status").count())
+    assert mismatch == 19_212
