@@ -92,3 +92,52 @@ def rank_auc(df: DataFrame, score: str, label: str, keys: Sequence[str] = (),
     return res.select(*out_keys, auc.alias("auc"),
                       F.coalesce(F.col("positives"), F.lit(0.0)).cast("long").alias("positives"),
                       F.coalesce(F.col("negatives"), F.lit(0.0)).cast("long").alias("negatives"))
+
+
+def exact_percentile(df: DataFrame, value: str, q: float, keys: Sequence[str] = (),
+                     buckets: int = 64) -> DataFrame:
+    """Exact linear-interpolated percentile of `value` per group, without one-group buffers.
+
+    Same result as ``percentile(value, q)``: with n values the position is
+    q * (n - 1) and the answer interpolates between the values at its floor and
+    ceiling ranks. Values collapse to (value, count); ordered buckets from
+    approximate quantiles give per-bucket counts and offsets; only the rows of
+    the bucket(s) holding the two target ranks are ordered, per bucket.
+    """
+    out_keys = list(keys)
+    keys = out_keys or ["_g"]
+    src = df if out_keys else df.withColumn("_g", F.lit(0))
+    vals = (src.where(F.col(value).isNotNull())
+               .groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c")))
+    probs = [i / buckets for i in range(1, buckets)]
+    meta = vals.groupBy(*keys).agg(F.sum("_c").alias("_n"),
+                                   F.percentile_approx("_v", probs, 10000).alias("_bounds"))
+    meta = meta.withColumn("_pos", (F.col("_n") - 1) * float(q))
+    meta = meta.withColumns({"_lo": F.floor("_pos"), "_hi": F.ceil("_pos")})
+    if out_keys:
+        b = vals.join(meta, keys, "inner")
+    else:   # one group: attach its single row as a scalar subquery (no constant-key join)
+        m = meta.drop("_g")
+        b = vals.withColumn("_m", m.select(F.struct(*m.columns)).scalar()).select("*", "_m.*")
+    b = b.withColumn(
+        "_b", F.size(F.filter("_bounds", lambda x: x < F.col("_v")))).drop("_bounds", "_m")
+    # Rows before each bucket (a handful of rows per group).
+    btot = b.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
+    wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    off = btot.withColumn("_off", F.coalesce(F.sum("_bc").over(wb), F.lit(0))).withColumn(
+        "_end", F.col("_off") + F.col("_bc"))
+    b = b.join(off, keys + ["_b"], "inner")
+    # Keep the bucket(s) that contain rank _lo or _hi (0-based), then rank inside them.
+    hit = (((F.col("_lo") >= F.col("_off")) & (F.col("_lo") < F.col("_end")))
+           | ((F.col("_hi") >= F.col("_off")) & (F.col("_hi") < F.col("_end"))))
+    ws = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    r = b.where(hit).withColumn("_upto", F.col("_off") + F.sum("_c").over(ws))   # ranks < _upto
+    r = r.withColumn("_from", F.col("_upto") - F.col("_c"))
+    at = lambda rank: F.min(F.when((F.col(rank) >= F.col("_from")) & (F.col(rank) < F.col("_upto")),
+                                   F.col("_v")))
+    res = r.groupBy(*keys).agg(at("_lo").alias("_vlo"), at("_hi").alias("_vhi"),
+                               F.first("_pos").alias("_pos"), F.first("_lo").alias("_l"),
+                               F.first("_hi").alias("_h"))
+    pct = F.when(F.col("_h") == F.col("_l"), F.col("_vlo")).otherwise(
+        (F.col("_h") - F.col("_pos")) * F.col("_vlo") + (F.col("_pos") - F.col("_l")) * F.col("_vhi"))
+    return res.select(*out_keys, pct.alias("percentile"))

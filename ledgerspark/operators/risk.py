@@ -16,7 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerspark.functions.stats import rank_auc
+from ledgerspark.functions.stats import exact_percentile, rank_auc
 from ledgerspark.operators.deviation import latest_per_area
 
 FEATURES = ("packet_loss", "latency", "mtbf", "uptime")
@@ -29,16 +29,16 @@ def risk_labels(sam: DataFrame, features: Sequence[str] = FEATURES, target: str
                 n_train: int = 9) -> DataFrame:
     """G1: drop rows missing a feature or the target; high_risk = target > q-quantile.
 
-    The quantile is exact (linear interpolation), as a scalar subquery, over
-    all remaining rows (``fit_on="all"``, the reference's choice, which lets
-    test months shape the label) or over the first `n_train` months only
-    (``fit_on="train"``). The scorecard has one row per (area, month); for
-    inputs without such a bound pass ``approx=True`` (bounded-memory sketch).
+    The quantile is exact (linear interpolation, ``functions.stats.exact_percentile``:
+    no single task holds all values) and attached as a scalar subquery; it is
+    taken over all remaining rows (``fit_on="all"``, the reference's choice,
+    which lets test months shape the label) or over the first `n_train`
+    months only (``fit_on="train"``). ``approx=True`` uses a sketch instead.
     """
     df = sam.dropna(subset=list(features) + [target])
-    agg = (F.percentile_approx(target, q, 100000) if approx else F.percentile(target, q))
     basis = df if fit_on == "all" else time_split(df, n_train).where(F.col("split") == "train")
-    thr = basis.select(agg).scalar()
+    thr = (basis.select(F.percentile_approx(target, q, 100000)) if approx
+           else exact_percentile(basis, target, q)).scalar()
     return df.select("service_area", "period", *features, target,
                      (F.col(target) > thr).cast("int").alias(LABEL))
 
