@@ -11,6 +11,7 @@ everything stays a lazy DataFrame.
 from __future__ import annotations
 
 import hashlib
+import threading
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
@@ -129,8 +130,16 @@ def _concurrently(tasks: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFr
 _CACHE: dict[tuple[str, str], MartSet] = {}
 
 
+_CACHE_LOCK = threading.RLock()
+
+
 def marts_for(spark: SparkSession, sf_dir: str, materialize: bool = True) -> MartSet:
     """The (cached) mart set of a fixture folder, written under the shared folder."""
+    with _CACHE_LOCK:
+        return _marts_for(spark, sf_dir, materialize)
+
+
+def _marts_for(spark: SparkSession, sf_dir: str, materialize: bool) -> MartSet:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     ms = _CACHE.get(key)
     if ms is None:

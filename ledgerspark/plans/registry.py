@@ -10,6 +10,7 @@ money to cents, ratios to 6 places.
 from __future__ import annotations
 
 import hashlib
+import threading
 import uuid
 from collections.abc import Callable
 
@@ -280,14 +281,16 @@ def q_forecast_by_area(spark, sf):
 # ---- G: risk -------------------------------------------------------------------
 
 _LABELED: dict[tuple[str, str], DataFrame] = {}
+_LOCK = threading.RLock()   # queries may be built from several threads (runbook)
 
 
 def _labeled(spark, sf):
     """Labelled scorecard months (one row per area and month), kept for the G family."""
     key = (spark.sparkContext.applicationId, sf.rstrip("/"))
-    if key not in _LABELED:
-        _LABELED[key] = G.risk_labels(_ms(spark, sf).sam).persist()
-    return _LABELED[key]
+    with _LOCK:
+        if key not in _LABELED:
+            _LABELED[key] = G.risk_labels(_ms(spark, sf).sam).persist()
+        return _LABELED[key]
 
 
 def q_risk_labels(spark, sf):
@@ -313,11 +316,12 @@ _MODELS: dict[tuple[str, str], tuple] = {}
 def _model(spark, sf):
     """The breach-risk forest of a data set, fitted once and shared by G3, G5, G6."""
     key = (spark.sparkContext.applicationId, sf.rstrip("/"))
-    if key not in _MODELS:
-        lab = _labeled(spark, sf)
-        model, scored = G.risk_scores(lab, N_TRAIN)
-        _MODELS[key] = (lab, model, scored.persist())   # test months only: small
-    return _MODELS[key]
+    with _LOCK:
+        if key not in _MODELS:
+            lab = _labeled(spark, sf)
+            model, scored = G.risk_scores(lab, N_TRAIN)
+            _MODELS[key] = (lab, model, scored.persist())   # test months only: small
+        return _MODELS[key]
 
 
 def q_risk_scores(spark, sf):

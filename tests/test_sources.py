@@ -69,8 +69,9 @@ def test_sinks_roundtrip_and_export(spark):
 def test_runbook_writes_results(spark, sf_small):
     from ledgerspark.plans.runbook import run
     out = tempfile.mkdtemp(prefix="ls-run-")
-    rep = run(spark, sf_small, out, ["audit_headline", "cost_bridge"])
-    assert set(rep) == {"audit_headline", "cost_bridge"}
+    rep = run(spark, sf_small, out, ["audit_headline", "cost_bridge", "risk_scores", "risk_model_auc"],
+              parallel=3)
+    assert set(rep) == {"audit_headline", "cost_bridge", "risk_scores", "risk_model_auc"}
     assert spark.read.parquet(rep["cost_bridge"]["path"]).count() == 6
 
 
