@@ -20,17 +20,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _runs(pdf: pd.DataFrame, keys: list[str], prev_key, prev_count: int):
-    """1-based position within runs of equal `keys`, continuing the previous batch's run."""
-    k = pdf[keys]
-    changed = (k != k.shift()).any(axis=1)
-    if prev_key is not None and len(pdf):
-        changed.iloc[0] = tuple(k.iloc[0]) != prev_key
-    run = changed.cumsum()
-    pos = run.groupby(run).cumcount() + 1
-    if prev_key is not None and len(pdf) and not changed.iloc[0]:
-        pos[run == run.iloc[0]] += prev_count
-    return pos
+def _make_runs():
+    """The per-batch run counter, built as a closure so it travels to the Python
+    workers by value (the workers need not import this package)."""
+    def runs(pdf, keys, prev_key, prev_count):
+        """1-based position within runs of equal `keys`, continuing the previous batch's run."""
+        k = pdf[keys]
+        changed = (k != k.shift()).any(axis=1)
+        if prev_key is not None and len(pdf):
+            changed.iloc[0] = tuple(k.iloc[0]) != prev_key
+        run = changed.cumsum()
+        pos = run.groupby(run).cumcount() + 1
+        if prev_key is not None and len(pdf) and not changed.iloc[0]:
+            pos[run == run.iloc[0]] += prev_count
+        return pos
+    return runs
 
 
 _HELD: list[DataFrame] = []
@@ -52,6 +56,7 @@ def row_number_split(df: DataFrame, partition_cols: Sequence[str], order_cols: S
                 .persist(StorageLevel.MEMORY_AND_DISK))
     _HELD.append(ranged)
 
+    _runs = _make_runs()
     key_fields = [df.schema[c] for c in P]
     edge_schema = T.StructType([T.StructField("_pid", T.IntegerType())] + key_fields
                                + [T.StructField("_cnt", T.LongType())])
