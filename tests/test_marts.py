@@ -131,3 +131,18 @@ def test_vendor_scorecard_equals_naive_join_on_fixture(spark, sf_small):
         assert fast[v].incidents == r.incidents
         assert abs(fast[v].avg_mttr - r.avg_mttr) < 1e-9
         assert abs(fast[v].total_spend - r.total_spend) <= 1e-9 * r.total_spend
+
+
+def test_incident_volume_monthly_and_spend_trend_values(spark):
+    from ledgerspark.operators import descriptive as C
+    inc = spark.createDataFrame([("n1", "c", "A", "v", D1, dt.date(2025, 1, 6), 6.0, 1.0),
+                                 ("n2", "c", "A", "v", D2, dt.date(2025, 2, 8), 12.0, 1.0),
+                                 ("n3", "c", "A", "v", D2, dt.date(2025, 2, 13), 6.0, 1.0)], INC)
+    out = {r.period: r.incidents for r in M.incident_volume(inc, unit="month").collect()}
+    assert out == {D1: 1, D2: 2}
+    sam = spark.createDataFrame([("A", D1, 1.0), ("B", D1, 2.0), ("A", D2, 3.0)],
+                                "service_area string, period date, telecom_spend double")
+    wide = C.spend_trend(sam, areas=["A", "B", "C"])
+    assert wide.columns == ["period", "A", "B", "C"]
+    got = {r.period: (r.A, r.B, r.C) for r in wide.collect()}
+    assert got == {D1: (1.0, 2.0, None), D2: (3.0, None, None)}

@@ -95,3 +95,31 @@ def test_weight_matrix_export_reads_back(spark):
     E.weights_wide(long).coalesce(1).write.option("header", True).csv(path)
     back = read_weights_wide(spark, path)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, long.collect()))
+
+
+def test_martset_over_csv_layout(spark):
+    from ledgerspark.plans.marts import MartSet
+    base = tempfile.mkdtemp(prefix="ls-raw2-")
+    d1, d2 = dt.date(2025, 1, 1), dt.date(2025, 2, 1)
+    rows = {
+        "servicenow_cmdb": [("CI-1", "A", "S1", "V", "Router", d1, 100.0, "Active")],
+        "itom_telemetry": [("CI-1", "A", d1, 99.5, 30.0, 0.2, 1500), ("CI-1", "A", d2, 99.7, 32.0, 0.4, 1400)],
+        "servicenow_incidents": [("INC1", "CI-1", "A", "S1", "V", "P1", d1, 6.0, 600.0)],
+        "telecom_invoices": [("INV1", "CI-1", "V", "A", d1, 100.0, 100.0, "Active", "none"),
+                             ("INV2", "CI-1", "V", "A", d2, 100.0, 190.0, "Active", "duplicate")],
+        "sap_gl": [("A", d1, 100.0, "CC-000", "6100-Telecom"), ("A", d2, 190.0, "CC-000", "6100-Telecom")],
+        "coupa_pos": [("A", 1260.0, 1200.0)],
+    }
+    for stem, r in rows.items():
+        _write_csv(spark, spark.createDataFrame(r, schemas.RAW_TABLES[stem]), f"{base}/{stem}")
+    ms = MartSet(spark, load_sources(spark, base, "csv"), store=f"{base}/marts")
+    marts = ms.all()
+    sam = {r.period: r for r in marts["fct_service_area_monthly"].collect()}
+    assert sam[d1].incidents == 1 and sam[d1].cost_per_incident == 100.0
+    assert sam[d2].incidents == 0 and sam[d2].packet_loss == 0.4
+    vsc = marts["fct_vendor_scorecard"].collect()[0]
+    assert (vsc.total_spend, vsc.spend_per_incident) == (290.0, 290.0)
+    bv = marts["fct_budget_variance"].collect()[0]
+    assert bv.variance == 290.0 - 1260.0
+    rec = M.gl_reconciliation(ms.src.gl, ms.src.invoices).collect()
+    assert all(r.difference == 0.0 for r in rec)
