@@ -31,13 +31,14 @@ MART_NAMES = ("fct_invoice_audit", "fct_service_area_monthly", "fct_budget_varia
 
 
 class MartSet:
-    """Staged invoices plus the four marts of one data set.
-
-    The invoice and incident sources (for the fixtures four-way joins, plus an
-    id window for invoices) are staged once: every mart, the bridge and every
-    triage query then read the staged columns instead of repeating the joins. `derive` rebuilds the sources that
-    are themselves functions of the invoices (the fixture budget) on top of
-    the staged copy.
+    """Staged sources plus the four marts of one data set.
+
+    The invoice and incident sources (for the fixtures multi-way joins, plus
+    an id numbering for invoices), the consumption feed and the telemetry
+    monthly rollup are staged once, as concurrent jobs; every mart, the
+    bridge and every triage query then read the staged columns instead of
+    repeating the joins. `derive` rebuilds the sources that are themselves
+    functions of the invoices (the fixture budget) on top of the staged copy.
     """
 
     def __init__(self, spark: SparkSession, sources: Sources, store: str | None = None,
@@ -128,8 +129,6 @@ def _concurrently(tasks: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFr
 
 
 _CACHE: dict[tuple[str, str], MartSet] = {}
-
-
 _CACHE_LOCK = threading.RLock()
 
 
