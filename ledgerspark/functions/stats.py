@@ -95,15 +95,22 @@ def rank_auc(df: DataFrame, score: str, label: str, keys: Sequence[str] = (),
 
 
 def exact_percentile(df: DataFrame, value: str, q: float, keys: Sequence[str] = (),
-                     buckets: int = 64) -> DataFrame:
-    """Exact linear-interpolated percentile of `value` per group, without one-group buffers.
+                     buckets: int = 64, small: int = 1_000_000) -> DataFrame:
+    """Exact linear-interpolated percentile of `value` per group, without unbounded buffers.
 
     Same result as ``percentile(value, q)``: with n values the position is
     q * (n - 1) and the answer interpolates between the values at its floor and
-    ceiling ranks. Values collapse to (value, count); ordered buckets from
+    ceiling ranks. One count first: when no group has more than `small`
+    values, the built-in exact percentile runs (its buffer is then bounded by
+    `small`). Otherwise values collapse to (value, count); ordered buckets from
     approximate quantiles give per-bucket counts and offsets; only the rows of
     the bucket(s) holding the two target ranks are ordered, per bucket.
     """
+    largest = (df.where(F.col(value).isNotNull()).groupBy(*keys).count()
+                 .agg(F.max("count")).first()[0]) or 0
+    if largest <= small:
+        return df.groupBy(*keys).agg(F.percentile(F.col(value).cast("double"), float(q))
+                                     .alias("percentile"))
     out_keys = list(keys)
     keys = out_keys or ["_g"]
     src = df if out_keys else df.withColumn("_g", F.lit(0))

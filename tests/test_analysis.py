@@ -204,17 +204,19 @@ def test_risk_label_quantile_over_all_or_train_months(spark):
     assert train == {m[0]: 0, m[1]: 0, m[2]: 1, m[3]: 1}      # q75 of 1,2,3 = 2.5
 
 
+@pytest.mark.parametrize("small", [0, 1_000_000])      # 0 forces the bucketed, distributed path
 @pytest.mark.parametrize("q", [0.0, 0.1, 0.5, 0.75, 0.9, 1.0])
-def test_exact_percentile_equals_builtin(spark, q):
+def test_exact_percentile_equals_builtin(spark, q, small):
     from ledgerspark.functions.stats import exact_percentile
     rnd = random.Random(11)
     rows = [(rnd.choice(["a", "b", "c"]), float(rnd.randint(0, 500)) / 7) for _ in range(3000)]
     rows += [("a", 5.0)] * 1500                                   # a hot value
     df = spark.createDataFrame(rows, "g string, v double")
-    got = {r.g: r.percentile for r in exact_percentile(df, "v", q, ["g"], buckets=8).collect()}
+    got = {r.g: r.percentile
+           for r in exact_percentile(df, "v", q, ["g"], buckets=8, small=small).collect()}
     want = {r.g: r.p for r in df.groupBy("g").agg(F.percentile("v", q).alias("p")).collect()}
     assert got.keys() == want.keys()
     for g in want:
         assert got[g] == pytest.approx(want[g], rel=1e-12, abs=1e-12)
-    whole = exact_percentile(df, "v", q, buckets=8).collect()[0].percentile
+    whole = exact_percentile(df, "v", q, buckets=8, small=small).collect()[0].percentile
     assert whole == pytest.approx(df.select(F.percentile("v", q)).first()[0], rel=1e-12, abs=1e-12)
