@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, simhash
+from . import bpe, langid, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language": langid.query,
     "op2_byte_bpe": bpe.query,
+    "op3_quality": quality.query,
     "op8_simhash": simhash.query,
 }
 

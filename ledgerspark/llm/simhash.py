@@ -194,15 +194,17 @@ def _solve(cell: np.ndarray, fp: np.ndarray, side: np.ndarray, budget: int) -> t
     return np.concatenate(a), np.concatenate(b)
 
 
-def near_classes(docs: DataFrame, width: int = 4, budget: int = 4, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, fp, component, is_first): every row, its fingerprint, the smallest id that its links reach.
+def near_classes(docs: DataFrame, width: int = 4, budget: int = 4, id: str = "doc_id", text: str = "text",
+                 row: str | None = None) -> DataFrame:
+    """(id, fp, component, is_first, rid): every row, its fingerprint, the smallest id that its links reach.
 
     ``is_first`` marks one row of each class: the one with the smallest id (null ids last; of repeated
     ids any one, but always one). Every row stays, repeated ids and texts included; a null id takes part,
     and a class of null ids only has a null component. Other columns are not looked at. No rows: no rows.
+    ``row`` names a column of distinct longs to return as ``rid``; without it rows are numbered here.
     """
-    rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    rows = stage(fingerprints(with_row_id(rows), width), "simhash")
+    rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), *([F.col(row).alias("rid")] if row else []))
+    rows = stage(fingerprints(rows if row else with_row_id(rows), width), "simhash")
     nodes = stage(rows.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("null"), "id", "rid")).alias("least")), "simhash-nodes")
     comp = connected_components(links(nodes.select("fp"), budget)).withColumnRenamed("node", "fp")
     classes = nodes.join(comp, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("class"))
