@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, quality, simhash
+from . import bpe, langid, quality, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": langid.query,
     "op2_byte_bpe": bpe.query,
     "op3_quality": quality.query,
+    "op5_secrets": secrets.query,
     "op8_simhash": simhash.query,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_secrets": secrets.SQL,
+}
