@@ -6,16 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, quality, secrets, simhash
+from . import bpe, embed_dedup, langid, licenses, quality, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": langid.query,
     "op2_byte_bpe": bpe.query,
     "op3_quality": quality.query,
     "op5_secrets": secrets.query,
+    "op7_embedding_dedup": embed_dedup.query,
     "op8_simhash": simhash.query,
+    "op10_licenses": licenses.query,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_secrets": secrets.SQL,
+    "op10_licenses": licenses.SQL,
 }

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import read_table, stage, with_row_id
+from .cells import bounds, deal, forest, whole_runs
 from .components import connected_components
 
 BITS = 64
@@ -117,22 +118,6 @@ def trie_pairs(fps: np.ndarray, side: np.ndarray, budget: int, brute: int = 64,
             stack.append((depth + 1, kids))
 
 
-def forest(n: int, blocks: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """For n items, the least item that each reaches by the index pairs given in blocks."""
-    root = np.arange(n)
-    for i, j in blocks:
-        while True:
-            a, b = root[i], root[j]
-            low = np.minimum(a, b)
-            if (a == b).all():
-                break
-            np.minimum.at(root, a, low)
-            np.minimum.at(root, b, low)
-            while (root != (up := root[root])).any():
-                root = up
-    return root
-
-
 def block_masks(budget: int) -> list[int]:
     """A mask for every pair of the budget + 2 blocks; close fingerprints agree under one at least."""
     n = budget + 2
@@ -146,44 +131,18 @@ def links(nodes: DataFrame, budget: int = 4, chunk: int = 2048) -> DataFrame:
     signed = [m - (1 << BITS) if m >> (BITS - 1) else m for m in block_masks(budget)]
     parts = F.array(*[F.xxhash64(F.lit(k), F.col("fp").bitwiseAND(F.lit(m))) for k, m in enumerate(signed)])
     keyed = nodes.select("fp", F.explode(parts).alias("key"))
-    # keys of one fingerprint pair with nothing; large ones are dealt as pairs of chunks
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    keyed = keyed.join(sizes, "key").withColumn("chunks", F.ceil(F.col("n") / F.lit(chunk)).cast("int"))
-    dealt = keyed.withColumn("c", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    side = F.when(F.col("c") == F.col("other"), 2).when(F.col("c") < F.col("other"), 0).otherwise(1)
-    dealt = dealt.select(F.xxhash64("key", F.least("c", "other"), F.greatest("c", "other")).alias("cell"), "fp",
-                         side.cast("byte").alias("side"))
-    dealt = dealt.repartition("cell").sortWithinPartitions("cell")
+    dealt = deal(keyed, "key", F.xxhash64("fp"), chunk)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cells in _whole_runs(batches):
+        for cells in whole_runs(batches):
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in _solve(*cells, budget)], names=["a", "b"])
 
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def _whole_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """The columns of sorted batches, cut so that no run of the first column is divided."""
-    rest: list[np.ndarray] | None = None
-    for batch in batches:
-        cols = [np.asarray(c) for c in batch.columns]
-        if rest is not None:
-            cols = [np.concatenate(x) for x in zip(rest, cols)]
-        if not len(cols[0]):
-            continue
-        at = int(np.flatnonzero(cols[0] != cols[0][-1])[-1]) + 1 if cols[0][0] != cols[0][-1] else 0
-        if at:
-            yield [c[:at] for c in cols]
-        rest = [c[at:] for c in cols]
-    if rest is not None and len(rest[0]):
-        yield rest
-
-
-def _solve(cell: np.ndarray, fp: np.ndarray, side: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
+def _solve(cell: np.ndarray, side: np.ndarray, fp: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
     a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    cut = np.concatenate([[0], np.flatnonzero(np.diff(cell)) + 1, [len(cell)]])
-    for s, e in zip(cut[:-1], cut[1:]):
+    for s, e in bounds(cell):
         if e - s > 1:
             mine = fp[s:e].view(np.uint64)
             order = np.argsort(mine, kind="stable")
