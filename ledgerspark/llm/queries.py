@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embed_dedup, langid, licenses, quality, secrets, simhash
+from . import bpe, embed_dedup, langid, licenses, mixing, quality, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": langid.query,
@@ -15,10 +15,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_secrets": secrets.query,
     "op7_embedding_dedup": embed_dedup.query,
     "op8_simhash": simhash.query,
+    "op9_mixing": mixing.query,
     "op10_licenses": licenses.query,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_secrets": secrets.SQL,
+    "op9_mixing": mixing.query,
     "op10_licenses": licenses.SQL,
 }
