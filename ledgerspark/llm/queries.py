@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embed_dedup, langid, licenses, mixing, quality, secrets, simhash
+from . import bpe, embed_dedup, langid, licenses, mixing, order_minhash, quality, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": langid.query,
     "op2_byte_bpe": bpe.query,
     "op3_quality": quality.query,
+    "op4_order_minhash": order_minhash.query,
     "op5_secrets": secrets.query,
     "op7_embedding_dedup": embed_dedup.query,
     "op8_simhash": simhash.query,
