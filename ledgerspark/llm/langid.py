@@ -16,6 +16,7 @@ Rows map one to one; whole texts are read; other columns are not looked at.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +30,8 @@ from .common import id_mod, read_table
 TOP = 300
 BUCKETS = 16
 UNKNOWN = "und"
+SEGMENT = 1 << 20    # characters of a text, or counts of a language, that are in memory at once
+BLANK = re.compile(r"\s")
 
 
 def letter_table() -> np.ndarray:
@@ -53,6 +56,18 @@ def gram_codes(text: str, letters: np.ndarray) -> np.ndarray:
     return np.concatenate([seq[~sep], two, three[~sep[1:-1]]])
 
 
+def segments(text: str, size: int = SEGMENT) -> Iterator[str]:
+    """A long text in parts cut at white space: their n-grams are together those of the text."""
+    start = 0
+    while len(text) - start > size:
+        cut = BLANK.search(text, start + size)
+        if not cut:
+            break
+        yield text[start:cut.start()]
+        start = cut.start()
+    yield text[start:]
+
+
 def counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Different codes in order and how often each occurs."""
     codes = np.sort(codes)
@@ -60,6 +75,18 @@ def counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return codes[at], np.diff(np.append(at, len(codes)))
 
 
+def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The sum of several counts."""
+    if len(parts) == 1:
+        return parts[0]
+    codes, place = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+    return codes, np.bincount(place, weights=np.concatenate([n for _, n in parts]), minlength=len(codes)).astype(np.int64)
+
+
+def text_counts(text: str, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return merged([counted(gram_codes(part, letters)) for part in segments(text)])
+
+
 def profile(codes: np.ndarray, counts: np.ndarray, top: int) -> np.ndarray:
     """The most frequent codes, the most frequent first."""
     if len(codes) > top:   # only those that can be among the first
@@ -76,10 +103,16 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", top: int = TO
         letters = letter_table()
         for batch in batches:
             held: dict[str, list] = {}
+            size: dict[str, int] = {}
             for name, body in zip(batch.column("lang").to_pylist(), batch.column("text")):
-                held.setdefault(name, []).append(gram_codes(body.as_py(), letters))
-            for name, codes in held.items():
-                grams, n = counted(np.concatenate(codes))
+                new = text_counts(body.as_py(), letters)
+                held.setdefault(name, []).append(new)
+                size[name] = size.get(name, 0) + len(new[0])
+                if size[name] > SEGMENT:     # a bounded number of counts waits
+                    held[name] = [merged(held[name])]
+                    size[name] = 0
+            for name, parts in held.items():
+                grams, n = merged(parts)
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(grams), pa.string()), pa.array(grams.view(np.int64)),
                                                   pa.array(n, pa.int64())], names=["lang", "gram", "n"])
 
@@ -104,10 +137,10 @@ class Ranker:
         for j, p in enumerate(profiles.values()):
             self.ranks[np.searchsorted(self.grams, p), j] = np.arange(len(p))
 
-    def best(self, codes: np.ndarray) -> tuple[str, float]:
+    def best(self, codes: np.ndarray, counts: np.ndarray) -> tuple[str, float]:
         if not len(codes) or not self.names:
             return UNKNOWN, 0.0
-        own = profile(*counted(codes), self.top)
+        own = profile(codes, counts, self.top)
         at = np.searchsorted(self.grams, own)
         at[(at == len(self.grams)) | (self.grams[np.minimum(at, len(self.grams) - 1)] != own)] = len(self.grams)
         gap = np.minimum(np.abs(self.ranks[at] - np.arange(len(own))[:, None]), self.top)
@@ -126,7 +159,7 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray], text: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, ranker = letter_table(), Ranker(shared.value, top)
         for batch in batches:
-            out = [ranker.best(gram_codes(t.as_py() or "", letters)) for t in batch.column(text)]
+            out = [ranker.best(*text_counts(t.as_py() or "", letters)) for t in batch.column(text)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array([x for x, _ in out], pa.string()),
                                               pa.array([y for _, y in out], pa.float64())], names=[*rest, "lang_pred", "score"])
 
