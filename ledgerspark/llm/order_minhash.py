@@ -19,11 +19,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import blank_if_null, read_table, stage, with_row_id
+from .common import blank_if_null, read_table
 
 SKETCH_BITS = 5
 PLACE = (1 << 26) - 1      # low bits of an element: where it stands
-ROWS_PER_RANGE, MOST_RANGES = 2000, 2000
+ROWS_PER_RANGE, MOST_RANGES = 1000, 16384
 
 
 def _hash_bits(x: Column) -> Column:
@@ -83,40 +83,44 @@ def as_text(codes: Column) -> Column:
     return F.array_join(F.transform(codes, lambda c: F.lower(F.hex(c))), ",")
 
 
-def next_rows(rows: DataFrame) -> DataFrame:
-    """(r, next) for rows (r, id): the row that follows by descending id (nulls last, ties by r), cyclically.
-
-    Ranges of ids of about equal size are windows of their own; what crosses their ends goes over one row
-    per range. Ids are taken to repeat only a bounded number of times.
-    """
-    n = rows.count()
-    ranges = max(1, min(MOST_RANGES, n // ROWS_PER_RANGE))
-    cuts = rows.agg(F.percentile_approx("id", [k / ranges for k in range(1, ranges)], 20 * MOST_RANGES)).first()[0] if ranges > 1 else []
-    ranged = rows.withColumn("g", F.coalesce(F.size(F.filter(F.array(*(F.lit(c).cast("long") for c in sorted(set(cuts or [])))), lambda c: c < F.col("id"))), F.lit(-1)))
-    order = [F.col("id").desc_nulls_last(), F.col("r")]
-    led = ranged.select("r", "g", F.lead("r").over(Window.partitionBy("g").orderBy(*order)).alias("next"))
-    heads = ranged.groupBy("g").agg(F.min(F.struct((-F.col("id")).alias("minus"), "r"))["r"].alias("head"))
-    ring = heads.select("g", F.coalesce(F.lead("head").over(Window.orderBy(F.desc("g"))),
-                                        F.first("head").over(Window.orderBy(F.desc("g")))).alias("head"))   # at most MOST_RANGES rows
-    return led.join(ring, "g").select("r", F.coalesce("next", "head").alias("next"))
+def _range_of(id: Column, cuts: list[int]) -> Column:
+    """How many of the sorted cuts lie below the id (-1 for a null id), found in two steps of about the square root."""
+    step = max(1, round(len(cuts) ** 0.5))
+    below = lambda a: F.size(F.filter(a, lambda c: c < id))
+    whole = F.array(*(F.lit(c).cast("long") for c in cuts))
+    block = F.greatest(below(F.array(*(F.lit(c).cast("long") for c in cuts[::step]))) - 1, F.lit(0)) * step
+    return F.when(id.isNull(), -1).otherwise(block + below(F.slice(whole, block + 1, F.lit(step)))) if cuts else F.when(id.isNull(), -1).otherwise(0)
 
 
 def edited(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, n_chars, codes, edited, next_codes): each text with its last half replaced by the start of the next.
 
     The last floor(n_chars / 2) code points give way to as many first ones of the next text, or all of it.
-    A text keeps to its row; what moves is the half that stays and the part that is borrowed. One row
-    follows itself; no rows give no rows; repeated rows follow each other.
+    The next row is the one with the next smaller id (null ids last, equal ids in the order of their
+    texts); after the last comes the first. One row follows itself; no rows give no rows; repeated rows
+    follow each other.
+
+    Ranges of ids of about equal size are windows of their own, so texts are shuffled once. The first row
+    of every range stands behind the range before it as a guest; only the ranges' largest ids, one each,
+    pass through the driver. An id is taken to repeat a bounded number of times.
     """
-    keyed = with_row_id(docs.select(F.col(id).alias("id"), blank_if_null(F.col(text)).alias("t")), "r").withColumn("n", F.length("t"))
-    rows = stage(fingerprints(keyed, "t"), "order-minhash", compression="zstd")
-    follows = stage(next_rows(rows.select("r", F.col("id").cast("long").alias("id"))), "order-minhash-next")
-    # a row's predecessor borrows from it, as many code points as it replaces
-    asks = follows.join(rows.select("r", "n"), "r").select(F.col("next").alias("r"), F.col("r").alias("to"), F.floor(F.col("n") / 2).cast("int").alias("ask"))
-    lent = rows.select("r", "t", "codes").join(asks, "r").select(F.col("to").alias("r"), F.expr("substring(t, 1, ask)").alias("tail"), F.col("codes").alias("next_codes"))
-    heads = rows.select("r", "id", "n", F.expr("substring(t, 1, n - cast(floor(n / 2) as int))").alias("head"), "codes")
-    out = heads.join(lent.hint("shuffle_hash"), "r")
-    return out.select(F.col("id").alias(id), F.col("n").cast("long").alias("n_chars"), "codes", F.concat("head", "tail").alias("edited"), "next_codes")
+    rows = docs.select(F.col(id).cast("long").alias("key"), F.col(id).alias("id"), blank_if_null(F.col(text)).alias("t"))
+    ranges = max(1, min(MOST_RANGES, rows.count() // ROWS_PER_RANGE))
+    at = [k / ranges for k in range(1, ranges)]
+    cuts = rows.agg(F.percentile_approx("key", at, 50 * MOST_RANGES)).first()[0] if at else []
+    rows = rows.withColumn("g", _range_of(F.col("key"), sorted(set(cuts or []))).cast("int"))
+    heads = sorted(rows.groupBy("g").agg(F.max("key").alias("key")).collect(), key=lambda r: -r.g)   # at most MOST_RANGES + 1
+    ring = [(heads[k - 1].g, r.key) for k, r in enumerate(heads)]   # a range, and the id that its guest has
+    guests = docs.sparkSession.createDataFrame(ring, "host int, head long")
+    guests = rows.join(F.broadcast(guests), F.col("key").eqNullSafe(F.col("head"))).groupBy("host").agg(F.min("t").alias("t"))
+    guests = guests.select(F.lit(None).cast("long").alias("key"), F.lit(None).cast(rows.schema["id"].dataType).alias("id"), "t", F.col("host").alias("g"), F.lit(True).alias("guest"))
+    order = Window.partitionBy("g").orderBy("guest", F.col("key").desc_nulls_last(), "t")
+    out = rows.withColumn("guest", F.lit(False)).unionByName(guests).withColumn("next", F.lead("t").over(order))
+    out = fingerprints(out, "t").withColumn("next_codes", F.lead("codes").over(order)).where(~F.col("guest"))
+    n = F.length("t")
+    kept = F.expr("substring(t, 1, length(t) - cast(floor(length(t) / 2) as int))")
+    return out.select(F.col("id").alias(id), n.cast("long").alias("n_chars"), "codes",
+                      F.concat(kept, F.expr("substring(next, 1, cast(floor(length(t) / 2) as int))")).alias("edited"), "next_codes")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
