@@ -27,6 +27,11 @@ def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def few_files(df: DataFrame, rows: int, per_file: int = 250_000) -> DataFrame:
+    """As many partitions as so many small rows need, at most: a small table is not written in many files."""
+    return df.coalesce(max(1, -(-rows // per_file)))
+
+
 def with_row_id(df: DataFrame, name: str = "rid") -> DataFrame:
     """A distinct long for each row. Stable only once the rows are staged."""
     return df.withColumn(name, F.monotonically_increasing_id())

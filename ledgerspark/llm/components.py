@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import few_files, stage
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -34,12 +34,12 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """
     cur = stage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                 .distinct(), "edges")
-    seen = None
+    n, seen = cur.count(), None
     for _ in range(max_rounds):
-        nxt = stage(_star(_star(cur, True), False), "edges")
+        nxt = stage(few_files(_star(_star(cur, True), False), n), "edges")
         # a fixed point: every node points at one root and no root points anywhere
         now = nxt.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        cur = nxt
+        cur, n = nxt, now.n
         if now == seen:
             return cur.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
                 cur.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

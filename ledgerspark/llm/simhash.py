@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import read_table, stage, with_row_id
+from .common import few_files, read_table, stage, with_row_id
 from .cells import bounds, deal, forest, whole_runs
 from .components import connected_components
 
@@ -67,8 +67,8 @@ def fingerprints(df: DataFrame, width: int = 4, text: str = "text", out: str = "
     return df.select(*rest, text).mapInArrow(run, schema)
 
 
-def trie_pairs(fps: np.ndarray, side: np.ndarray, budget: int, brute: int = 64,
-               most: int = 1 << 16) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def trie_pairs(fps: np.ndarray, side: np.ndarray, budget: int, brute: int = 1024, most: int = 1 << 12,
+               cells_at_once: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs (i, j) of the sorted ``fps`` (uint64) within ``budget`` differing bits, in blocks.
 
     ``side`` restricts which pairs count: both ends on side 2 (a chunk with itself), or one end on
@@ -88,7 +88,7 @@ def trie_pairs(fps: np.ndarray, side: np.ndarray, budget: int, brute: int = 64,
         done = (size <= brute) | (depth == BITS)
         if done.any():           # leaves: the remaining bits of each pair
             leaf = pairs[done]
-            cut = np.searchsorted(np.cumsum(size[done]), np.arange(most, int(size[done].sum()), most))
+            cut = np.searchsorted(np.cumsum(size[done]), np.arange(cells_at_once, int(size[done].sum()), cells_at_once))
             for part in np.split(leaf, np.unique(cut[cut > 0])):
                 w = part[:, 3] - part[:, 2]
                 cells = (part[:, 1] - part[:, 0]) * w
@@ -164,7 +164,8 @@ def near_classes(docs: DataFrame, width: int = 4, budget: int = 4, id: str = "do
     """
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), *([F.col(row).alias("rid")] if row else []))
     rows = stage(fingerprints(rows if row else with_row_id(rows), width), "simhash")
-    nodes = stage(rows.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("null"), "id", "rid")).alias("least")), "simhash-nodes")
+    nodes = rows.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("null"), "id", "rid")).alias("least"))
+    nodes = stage(few_files(nodes, rows.count()), "simhash-nodes")
     comp = connected_components(links(nodes.select("fp"), budget)).withColumnRenamed("node", "fp")
     classes = nodes.join(comp, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("class"))
     least = classes.groupBy("class").agg(F.min("least").alias("first"))
