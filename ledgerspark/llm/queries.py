@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embed_dedup, langid, licenses, mixing, order_minhash, quality, secrets, simhash
+from . import bpe, embed_dedup, langid, licenses, mixing, order_minhash, quality, secrets, simhash, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": langid.query,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": quality.query,
     "op4_order_minhash": order_minhash.query,
     "op5_secrets": secrets.query,
+    "op6_suffix_dedup": suffix_dedup.query,
     "op7_embedding_dedup": embed_dedup.query,
     "op8_simhash": simhash.query,
     "op9_mixing": mixing.query,
