@@ -23,6 +23,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op5_secrets": secrets.SQL,
-    "op9_mixing": mixing.query,
     "op10_licenses": licenses.SQL,
 }
