@@ -1,0 +1,71 @@
+"""Language identification: a plain reimplementation of the distance, held-out accuracy, edges."""
+
+from collections import Counter
+
+import numpy as np
+
+from ledgerspark.llm import langid
+
+LETTERS = langid.letter_table()
+
+
+def grams(text):
+    """n-grams by the definition, one word at a time."""
+    out = Counter()
+    words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    for w in words:
+        p = "_" + w + "_"
+        for n in (1, 2, 3):
+            for i in range(len(p) - n + 1):
+                g = p[i:i + n]
+                if g != "_":
+                    out[g] += 1
+    shared = Counter()   # neighbouring words share their separator: it counts once in no n-gram twice
+    return out - shared
+
+
+def code(gram):
+    x = 0
+    for c in gram:
+        x = x << 21 | (1 if c == "_" else ord(c) + 1)
+    return x
+
+
+def test_grams_follow_the_definition():
+    for text in ("The cat, the hat!", "a", "Éa 12 b-c", "x" * 50, "ß ßa"):
+        codes, n = langid.text_counts(text, LETTERS)
+        assert dict(zip(codes.tolist(), n.tolist())) == {code(g): k for g, k in grams(text).items()}
+
+
+def test_segments_change_nothing():
+    text = "some words here and there " * 50
+    parts = langid.merged([langid.counted(langid.gram_codes(p, LETTERS)) for p in langid.segments(text, 100)])
+    whole = langid.counted(langid.gram_codes(text, LETTERS))
+    assert [x.tolist() for x in parts] == [x.tolist() for x in whole]
+
+
+def test_distance():
+    profiles = {n: langid.profile(*langid.text_counts(t, LETTERS), 20) for n, t in (("a", "the cat sat on the mat"), ("b", "der hund und die katze"))}
+    ranker = langid.Ranker(profiles, 20)
+    codes, n = langid.text_counts("the hat", LETTERS)
+    own = langid.profile(codes, n, 20).tolist()
+    sums = {k: sum(abs(r - p.tolist().index(g)) if g in p.tolist() else 20 for r, g in enumerate(own)) for k, p in profiles.items()}
+    name, score = ranker.best(codes, n)
+    assert name == min(sums, key=sums.get) and np.isclose(score, 1 - min(sums.values()) / (20 * len(own)))
+
+
+def test_edges(docs_of):
+    docs = docs_of(["hello there", None, "", "123 !!", "hello there", "hello " * 2000]).withColumnRenamed("score", "x")
+    profiles = langid.learn(docs)
+    got = {(r.doc_id, r.lang_pred) for r in langid.predict(docs.select("doc_id", "text"), profiles).collect()}
+    assert got == {(0, "en"), (1, "und"), (2, "und"), (3, "und"), (4, "en"), (5, "en")}
+    assert langid.learn(docs.limit(0)) == {}
+    nothing = langid.predict(docs.select("doc_id", "text"), {}).collect()
+    assert all(r.lang_pred == "und" and r.score == 0 for r in nothing)
+
+
+def test_held_out_accuracy(spark, sf_small):
+    got = langid.query(spark, sf_small).toPandas().merge(spark.read.parquet(f"{sf_small}/documents.parquet").toPandas(), on="doc_id")
+    held = got[got.held_out]
+    assert len(got) == 200 and (held.lang == held.lang_pred).mean() >= 0.95
+    assert got.score_x.between(0, 1).all() if "score_x" in got else got.score.between(0, 1).all()
