@@ -1,143 +1,38 @@
 """Exact ``row_number() over (partition by P order by O)`` that splits hot groups.
 
-A window puts every row of a partition key in one task, so a key that holds
-a third of all rows becomes a third of the job in one task. Here the rows are
-range-partitioned on (P, O) instead: a big group spreads over consecutive
-ranges. Each task numbers its rows within each run of equal P (the rows are
-sorted), and the count of a group in earlier ranges is added as an offset.
-Only the first and the last group of a range can continue in another range,
-so the offset table has at most two rows per task and is broadcast.
+A window puts every row of a partition key in one task, so a key that holds a
+third of all rows becomes a third of the job in one task. Here a group is cut
+into ordered buckets: rows are numbered inside each (P, bucket), and the
+number of rows in the group's earlier buckets is added. The bucket counts are
+a grouped aggregate (combined map-side), one row per group and bucket.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
-from pyspark import StorageLevel, TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-
-def _make_runs():
-    """The per-batch run counter, built as a closure so it travels to the Python
-    workers by value (the workers need not import this package)."""
-    def runs(pdf, keys, prev_key, prev_count):
-        """1-based position within runs of equal `keys`, continuing the previous batch's run."""
-        k = pdf[keys]
-        changed = (k != k.shift()).any(axis=1)
-        if prev_key is not None and len(pdf):
-            changed.iloc[0] = tuple(k.iloc[0]) != prev_key
-        run = changed.cumsum()
-        pos = run.groupby(run).cumcount() + 1
-        if prev_key is not None and len(pdf) and not changed.iloc[0]:
-            pos[run == run.iloc[0]] += prev_count
-        return pos
-    return runs
-
-
-_HELD: list[DataFrame] = []
-
-
-def release() -> None:
-    """Drop the ranges kept for numbering once the numbered result has been written."""
-    while _HELD:
-        _HELD.pop().unpersist()
-
-
-def row_number_split(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],
-                     name: str = "row_number", num_partitions: int | None = None) -> DataFrame:
-    P, O = list(partition_cols), list(order_cols)
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Both passes (edges, numbering) read the same ranges; keep them until release().
-    ranged = (df.repartitionByRange(n, *P, *O).sortWithinPartitions(*P, *O)
-                .persist(StorageLevel.MEMORY_AND_DISK))
-    _HELD.append(ranged)
-
-    _runs = _make_runs()
-    key_fields = [df.schema[c] for c in P]
-    edge_schema = T.StructType([T.StructField("_pid", T.IntegerType())] + key_fields
-                               + [T.StructField("_cnt", T.LongType())])
-
-    def edges(batches):
-        # Rows are sorted on P, so the rows of the first key are all at the start.
-        pid = TaskContext.get().partitionId()
-        first = last = None
-        first_n = last_n = 0
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            k = pdf[P]
-            if first is None:
-                first = tuple(k.iloc[0])
-            first_n += int(k.eq(pd.Series(first, index=P), axis=1).all(axis=1).sum())
-            pos = _runs(pdf, P, last, last_n)
-            last, last_n = tuple(k.iloc[-1]), int(pos.iloc[-1])
-        if first is None:
-            return
-        rows = [(pid, *first, first_n)] + ([(pid, *last, last_n)] if last != first else [])
-        yield pd.DataFrame(rows, columns=["_pid", *P, "_cnt"])
-
-    def number(batches):
-        pid = TaskContext.get().partitionId()
-        last, last_n = None, 0
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            pos = _runs(pdf, P, last, last_n)
-            last, last_n = tuple(pdf[P].iloc[-1]), int(pos.iloc[-1])
-            yield pdf.assign(_pid=pid, _local=pos.astype("int64").values)
-
-    e = ranged.select(*P).mapInPandas(edges, edge_schema)
-    w = Window.partitionBy(*P).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (e.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-                .where(F.col("_off") > 0).select("_pid", *P, "_off"))
-    local_schema = T.StructType(df.schema.fields + [T.StructField("_pid", T.IntegerType()),
-                                                    T.StructField("_local", T.LongType())])
-    numbered = ranged.mapInPandas(number, local_schema)
-    # offsets: at most two rows per range partition, so the broadcast is bounded by 2 x n.
-    out = numbered.join(F.broadcast(offsets), ["_pid", *P], "left")
-    return out.select(*df.columns, (F.col("_local") + F.coalesce(F.col("_off"), F.lit(0)))
-                      .alias(name))
-
-
-def hot_group_share(df: DataFrame, partition_cols: Sequence[str], fraction: float = 1e-3,
-                    seed: int = 17) -> tuple[float, int]:
-    """(largest group's share of a row sample, sample size); (0, 0) for an empty sample.
-
-    One small job over the key columns only; the sample's per-group counts are
-    reduced to a single row (total, max) before anything reaches the driver.
-    """
-    s = (df.select(*partition_cols).sample(fraction=fraction, seed=seed)
-           .groupBy(*partition_cols).count()
-           .agg(F.sum("count").alias("n"), F.max("count").alias("top")).first())
-    return ((s["top"] / s["n"]), int(s["n"])) if s and s["n"] else (0.0, 0)
 
 
 def row_number(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],
-               name: str = "row_number", num_partitions: int | None = None,
-               fraction: float | None = None, sample_rows: int = 100_000, min_sample: int = 20,
-               sample_from: DataFrame | None = None) -> DataFrame:
-    """Exact row number; a plain window unless a sampled group exceeds one task's share.
+               bucket: Column, name: str = "row_number") -> DataFrame:
+    """Row number by `order_cols` (ascending, nulls first) within `partition_cols`.
 
-    A window hash-partitions on the group key: fine while every group fits a
-    task. When the sample shows a group above 1/num_partitions of the rows
-    (and the sample is big enough to say so), the split row number is used.
-    The sample has about `sample_rows` rows (or `fraction` of them), so the
-    check costs the same on a laptop sample and on the full table.
-    `sample_from` may give a cheaper frame with the same key distribution (for
-    example the raw fact table before dimension joins).
+    `bucket` must not decrease along `order_cols` (for example a coarsened
+    first order column); a NULL bucket comes first. NULL group keys are a
+    group, as in a window.
     """
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    src = sample_from if sample_from is not None else df
-    if fraction is None:
-        # About `sample_rows` rows whatever the table size (a parquet count reads footers only).
-        fraction = min(1.0, sample_rows / max(1, src.count()))
-    share, sampled = hot_group_share(src, partition_cols, fraction)
-    hot = sampled >= min_sample and share > 1.0 / n
-    if hot:
-        return row_number_split(df, partition_cols, order_cols, name, n)
-    w = Window.partitionBy(*partition_cols).orderBy(*order_cols)
-    return df.withColumn(name, F.row_number().over(w))
+    P = list(partition_cols)
+    src = df.withColumn("_b", bucket)
+    counts = src.groupBy(*P, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*P).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate([*P, "_b"])],
+                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy(*P, "_b").orderBy(*order_cols)
+    local = src.withColumn("_local", F.row_number().over(inside))
+    same = [local[c].eqNullSafe(offsets[f"_k{i}"]) for i, c in enumerate([*P, "_b"])]
+    on = same[0]
+    for c in same[1:]:
+        on = on & c
+    return local.join(offsets, on).select(*df.columns, (F.col("_local") + F.col("_off")).alias(name))

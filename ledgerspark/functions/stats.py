@@ -95,25 +95,22 @@ def rank_auc(df: DataFrame, score: str, label: str, keys: Sequence[str] = (),
 
 
 def exact_percentile(df: DataFrame, value: str, q: float, keys: Sequence[str] = (),
-                     buckets: int = 64, small: int = 1_000_000) -> DataFrame:
+                     buckets: int = 64) -> DataFrame:
     """Exact linear-interpolated percentile of `value` per group, without unbounded buffers.
 
     Same result as ``percentile(value, q)``: with n values the position is
     q * (n - 1) and the answer interpolates between the values at its floor and
-    ceiling ranks. One count first: when no group has more than `small`
-    values, the built-in exact percentile runs (its buffer is then bounded by
-    `small`). Otherwise values collapse to (value, count); ordered buckets from
+    ceiling ranks. Values collapse to (value, count); ordered buckets from
     approximate quantiles give per-bucket counts and offsets; only the rows of
-    the bucket(s) holding the two target ranks are ordered, per bucket.
+    the bucket(s) holding the two target ranks are ordered, per bucket. A group
+    without values has a NULL percentile; a NULL key is a group.
     """
-    largest = (df.where(F.col(value).isNotNull()).groupBy(*keys).count()
-                 .agg(F.max("count")).first()[0]) or 0
-    if largest <= small:
-        return df.groupBy(*keys).agg(F.percentile(F.col(value).cast("double"), float(q))
-                                     .alias("percentile"))
     out_keys = list(keys)
-    keys = out_keys or ["_g"]
-    src = df if out_keys else df.withColumn("_g", F.lit(0))
+    keys = ["_g"]
+    # one struct stands for the group: structs of NULLs join, NULL keys would not
+    group = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(out_keys)]) if out_keys else F.lit(0)
+    df = df.withColumn("_g", group)
+    src = df
     vals = (src.where(F.col(value).isNotNull())
                .groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c")))
     probs = [i / buckets for i in range(1, buckets)]
@@ -147,4 +144,8 @@ def exact_percentile(df: DataFrame, value: str, q: float, keys: Sequence[str] =
                                F.first("_hi").alias("_h"))
     pct = F.when(F.col("_h") == F.col("_l"), F.col("_vlo")).otherwise(
         (F.col("_h") - F.col("_pos")) * F.col("_vlo") + (F.col("_pos") - F.col("_l")) * F.col("_vhi"))
-    return res.select(*out_keys, pct.alias("percentile"))
+    res = res.select("_g", pct.alias("percentile"))
+    if not out_keys:
+        return res.agg(F.max("percentile").alias("percentile"))   # one row, also for no values
+    return (df.select("_g").distinct().join(res, "_g", "left")
+              .select(*[F.col(f"_g.k{i}").alias(k) for i, k in enumerate(out_keys)], "percentile"))

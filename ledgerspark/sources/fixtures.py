@@ -63,6 +63,7 @@ def cmdb_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+PART_BUCKET = 1024   # parts per ordered bucket of a hot (order, line) pair
 INVOICE_KEY = ["l_orderkey", "l_linenumber"]
 INVOICE_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
                  "l_shipdate"]
@@ -70,8 +71,8 @@ INVOICE_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_d
 
 def invoices_view(spark: SparkSession, sf_dir: str, ids: str = "window") -> DataFrame:
     """Invoice lines. `ids="window"` numbers lines with a lazy window (pruned when the id
-    is not read); `ids="auto"` (for staging) samples the (order, line) keys first and
-    range-splits the numbering when one pair would overload a task."""
+    is not read); `ids="split"` (for staging) numbers them with ordered buckets, so that one
+    hot pair does not meet in one task. Both give the same ids."""
     li = read_table(spark, sf_dir, "lineitem")
     p = read_table(spark, sf_dir, "part")
     s = read_table(spark, sf_dir, "supplier")
@@ -83,11 +84,11 @@ def invoices_view(spark: SparkSession, sf_dir: str, ids: str = "window") -> Data
     # (l_orderkey, l_linenumber) is not unique in the driver data; a row number
     # within the pair makes the id unique. Catalyst drops this window whenever
     # a query does not read invoice_id, so aggregates never pay its shuffle.
-    if ids == "auto":
+    if ids == "split":
         j = row_number(
             j.select(*INVOICE_KEY, *INVOICE_ORDER, "l_returnflag", "l_linestatus", "p_type",
-                     "p_retailprice", "n_name"), INVOICE_KEY, INVOICE_ORDER, "_rn",
-            sample_from=li)
+                     "p_retailprice", "n_name"), INVOICE_KEY, INVOICE_ORDER,
+            F.floor(F.col("l_partkey") / PART_BUCKET), "_rn")
         rn = F.col("_rn")
     else:
         rn = F.row_number().over(Window.partitionBy(*INVOICE_KEY).orderBy(*INVOICE_ORDER))

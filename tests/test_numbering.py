@@ -1,36 +1,31 @@
-"""The split row number equals row_number() over a window, also for a group holding most rows."""
+"""The split row number equals row_number() over a window, for hot groups and NULL keys too."""
 
 import random
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerspark.functions.numbering import hot_group_share, row_number, row_number_split
+from ledgerspark.functions.numbering import row_number
 
 
-def test_split_row_number_matches_window_with_hot_group(spark):
+def windowed(df, P, O):
+    return df.withColumn("rn", F.row_number().over(Window.partitionBy(*P).orderBy(*O)))
+
+
+def test_matches_window_with_hot_group_and_null_keys(spark):
     rnd = random.Random(7)
     rows = [(1, 1, rnd.randint(0, 10_000), float(i)) for i in range(3000)]            # hot group
-    rows += [(rnd.randint(2, 60), rnd.randint(1, 3), rnd.randint(0, 10_000), float(i))
-             for i in range(2000)]
+    rows += [(rnd.randint(2, 60), rnd.randint(1, 3), rnd.randint(0, 10_000), float(i)) for i in range(2000)]
+    rows += [(None, 1, rnd.randint(0, 500), float(i)) for i in range(50)]
+    rows += [(None, None, None, float(i)) for i in range(5)] + [(1, 1, None, float(-i)) for i in range(1, 4)]
     df = spark.createDataFrame(rows, "g1 long, g2 int, o1 long, o2 double")
-    got = row_number_split(df, ["g1", "g2"], ["o1", "o2"], "rn", num_partitions=7)
-    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g1", "g2").orderBy("o1", "o2")))
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
-    # the hot group really is spread over several tasks
-    spread = (df.repartitionByRange(7, "g1", "g2", "o1", "o2")
-                .where("g1 = 1 AND g2 = 1").select(F.spark_partition_id().alias("p")).distinct().count())
-    assert spread > 1
-
-
-def test_auto_row_number_detects_the_hot_group(spark):
-    hot = spark.createDataFrame([(1, i) for i in range(3000)] + [(k, 0) for k in range(2, 2000)],
-                                "g long, o long")
-    share, n = hot_group_share(hot, ["g"], fraction=0.2)
-    assert n > 100 and share > 0.4
-    flat = spark.createDataFrame([(k, 0) for k in range(5000)], "g long, o long")
-    assert hot_group_share(flat, ["g"], fraction=0.2)[0] < 0.01
-    for df in (hot, flat):
-        got = row_number(df, ["g"], ["o"], "rn", num_partitions=8, fraction=0.2)
-        want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o")))
-        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    for width in (1, 64, 100_000):
+        got = row_number(df, ["g1", "g2"], ["o1", "o2"], F.floor(F.col("o1") / width), "rn")
+        assert sorted(map(str, got.collect())) == sorted(map(str, windowed(df, ["g1", "g2"], ["o1", "o2"]).collect()))
+
+
+def test_hot_group_is_cut(spark):
+    df = spark.createDataFrame([(1, i) for i in range(3000)], "g long, o long")
+    buckets = df.groupBy("g", F.floor(F.col("o") / 100)).count()
+    assert buckets.count() == 30 and buckets.agg(F.max("count")).first()[0] == 100
+    assert "Python" not in row_number(df, ["g"], ["o"], F.floor(F.col("o") / 100))._jdf.queryExecution().toString()
