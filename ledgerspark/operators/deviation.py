@@ -2,7 +2,7 @@
 
 A baseline (mean, sample std) is taken per area from the early rows, every
 area's latest month is scored against it, and z > limit is a breach
-(one-sided, strict). Everything is grouped by area (and metric), so the
+(one-sided, strict; on the low side for uptime and time between failures). Everything is grouped by area (and metric), so the
 work spreads over the keys; the only global values are the first month of
 the scorecard, attached as a scalar subquery.
 """
@@ -11,12 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 AREA = "service_area"
 METRICS = ("telecom_spend", "incidents", "avg_mttr", "incident_cost", "uptime", "packet_loss",
            "latency", "mtbf", "cost_per_incident")
+# Metrics of which a low value is the bad one; any other breaches on the high side.
+LOW_IS_BAD = ("uptime", "mtbf")
 
 
 def _long(sam: DataFrame, metrics: Sequence[str]) -> DataFrame:
@@ -48,12 +50,22 @@ def latest_per_area(sam: DataFrame, keys: Sequence[str] = (AREA,), order: str =
                .select(*keys, "_r.*"))
 
 
+def z_and_breach(value: Column, metric: Column, z: float, mean: str = "baseline_mean",
+                 std: str = "baseline_std") -> tuple[Column, Column]:
+    """(z, breach) of a value against its baseline, for batch and stream alike.
+
+    One-sided and strict, on the side that is bad for the metric. Without
+    spread in the baseline z is NULL and any step to the bad side is a breach.
+    """
+    side = F.when(metric.isin(*LOW_IS_BAD), F.lit(-1.0)).otherwise(F.lit(1.0))
+    zc = (value - F.col(mean)) / F.nullif(F.col(std), F.lit(0.0))
+    over = F.when(F.col(std) == 0, (value - F.col(mean)) * side > 0).otherwise(zc * side > z)
+    return zc, F.coalesce(over, F.lit(False))
+
+
 def _score(base: DataFrame, latest: DataFrame, z: float) -> DataFrame:
     j = base.join(latest, [AREA, "metric"], "left")
-    mean, std, last = F.col("baseline_mean"), F.col("baseline_std"), F.col("latest")
-    zc = (last - mean) / F.nullif(std, F.lit(0.0))
-    breach = (F.when(std == 0, F.coalesce(last > mean, F.lit(False)))
-               .otherwise(F.coalesce(zc > z, F.lit(False))))
+    zc, breach = z_and_breach(F.col("latest"), F.col("metric"), z)
     return j.select(AREA, "metric", "baseline_mean", "baseline_std", "baseline_n", "latest",
                     zc.alias("z"), breach.alias("breach"))
 
@@ -78,14 +90,12 @@ def control_chart(sam: DataFrame, metric: str = "packet_loss", z: float = 3.0,
     """Full series of the area with the highest z, with mean and upper limit.
 
     A NULL z never wins; ties go to the smallest area name. The winner is one
-    row, so joining it back is a broadcast of a single row.
+    row, joined back on the area.
     """
     dev = spc_deviation(sam, metric, z, days).where(F.col("z").isNotNull())
-    pick = Window.orderBy(F.col("z").desc(), F.col(AREA).asc())   # one row per area
-    top = (dev.withColumn("_rn", F.row_number().over(pick)).where(F.col("_rn") == 1)
-              .select(AREA, "baseline_mean", "baseline_std"))
+    top = dev.orderBy(F.col("z").desc(), F.col(AREA).asc()).limit(1).select(AREA, "baseline_mean", "baseline_std")
     series = sam.select(AREA, "period", F.col(metric).cast("double").alias("value"))
     ucl = F.col("baseline_mean") + F.col("baseline_std") * z
-    return (series.join(F.broadcast(top), AREA, "inner")
+    return (series.join(top, AREA, "inner")
                   .select(AREA, "period", "value", F.col("baseline_mean").alias("mean"),
                           ucl.alias("ucl"), (F.col("value") > ucl).alias("above_ucl")))

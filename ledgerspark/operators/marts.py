@@ -145,14 +145,31 @@ def gl_reconciliation(gl: DataFrame, invoices: DataFrame) -> DataFrame:
                      - F.coalesce(F.col("invoice_spend"), F.lit(0.0))).alias("difference"))
 
 
+def spend_rollup(invoices: DataFrame) -> DataFrame:
+    """Billed and contracted sums and line counts per (area, month, vendor).
+
+    It has the columns of an invoice table that sums by area, month or vendor
+    read, so B2-B6, B8 and B9 can take it in place of the lines.
+    """
+    return invoices.groupBy(*AREA_MONTH, "vendor").agg(
+        money_sum("billed_amount").alias("billed_amount"),
+        money_sum("contracted_rate").alias("contracted_rate"), F.count(F.lit(1)).alias("lines"))
+
+
 def vendor_spend(invoices: DataFrame) -> DataFrame:
-    """Total billed per vendor."""
+    """Total billed and lines per vendor, from lines or from `spend_rollup`."""
+    lines = F.sum("lines") if "lines" in invoices.columns else F.count(F.lit(1))
     return invoices.groupBy("vendor").agg(money_sum("billed_amount").alias("total_spend"),
-                                          F.count(F.lit(1)).alias("invoice_lines"))
+                                          lines.alias("invoice_lines"))
+
 
+def incident_volume(incidents: DataFrame, ts: str | None = None, unit: str = "week") -> DataFrame:
+    """Incident count and mean MTTR per area on a weekly (or other) cadence.
 
-def incident_volume(incidents: DataFrame, ts: str = "opened_at", unit: str = "week") -> DataFrame:
-    """Incident count and mean MTTR per area on a weekly (or other) cadence."""
+    `ts` is the time column: by default `opened_at`, or `opened` where the
+    source keeps only that.
+    """
+    ts = ts or ("opened_at" if "opened_at" in incidents.columns else "opened")
     bucket = F.date_trunc(unit, F.col(ts)).cast("date").alias("period")
     return (incidents.groupBy("service_area", bucket)
                      .agg(F.count(F.lit(1)).alias("incidents"),

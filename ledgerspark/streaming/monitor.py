@@ -8,9 +8,9 @@
 * ``spc_alert_stream``: every monthly scorecard row that arrives is scored
   against the static per-area baseline (stream-static join, no state).
 * ``run_available``: runs a stream over everything available now into a
-  parquet table in the shared folder, with its checkpoint there as well, so
-  a restarted job resumes from the last committed batch instead of
-  reprocessing or losing files.
+  parquet table in the shared folder, with its checkpoint there as well: run
+  again with the same folders it resumes from the last committed batch. (The
+  registered stream keys take new folders for each call.)
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.rules import money_sum
+from ledgerspark.operators.deviation import z_and_breach
 from ledgerspark.operators.marts import invoice_audit
 
 
@@ -56,18 +57,19 @@ def spc_alert_stream(scorecard_rows: DataFrame, baseline: DataFrame, metric: str
     b = baseline.where(F.col("metric") == metric).select(
         "service_area", "baseline_mean", "baseline_std")
     j = scorecard_rows.join(b, "service_area", "inner")
-    zc = (F.col(metric) - F.col("baseline_mean")) / F.nullif(F.col("baseline_std"), F.lit(0.0))
+    zc, breach = z_and_breach(F.col(metric), F.lit(metric), z)
     return j.select("service_area", "period", F.col(metric).alias("value"), zc.alias("z"),
-                    F.coalesce(zc > z, F.lit(False)).alias("breach"))
+                    breach.alias("breach"))
 
 
 def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "append",
-                  timeout_s: int = 600) -> DataFrame:
+                  timeout_s: float | None = None) -> DataFrame:
     """Run `stream` over all input available now into parquet at `path`; read it back.
 
     Append mode uses the parquet file sink. Complete mode overwrites the
     table from each micro-batch (``foreachBatch``); replaying a batch after a
-    failure writes the same table again, so the result stays exact.
+    failure writes the same table again, so the result stays exact. The
+    stream may take as long as it needs unless the caller sets `timeout_s`.
     """
     w = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if mode == "append":
@@ -75,7 +77,10 @@ def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "ap
     else:
         w = w.foreachBatch(lambda batch, _epoch: batch.write.mode("overwrite").parquet(path))
     q = w.trigger(availableNow=True).start()
-    q.awaitTermination(timeout_s)
+    if timeout_s is None:
+        q.awaitTermination()
+    else:
+        q.awaitTermination(timeout_s)
     if q.isActive:
         q.stop()
         raise TimeoutError(f"stream into {path} did not finish in {timeout_s}s")
