@@ -15,13 +15,14 @@ import threading
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
-from functools import cached_property
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerspark.functions import numbering
 from ledgerspark.operators import marts as M
+from ledgerspark.schemas import VIEW_NAMES
 from ledgerspark.session import shared_folder
+from ledgerspark.sources.files import load_sources, raw_format
 from ledgerspark.sources.fixtures import budget_view, fixture_sources
 from ledgerspark.sources.model import Sources
 from ledgerspark.sources.sinks import read_mart, write_mart
@@ -30,6 +31,22 @@ MART_NAMES = ("fct_invoice_audit", "fct_service_area_monthly", "fct_budget_varia
               "fct_vendor_scorecard")
 
 
+def _once(build):
+    """A property built on first use and kept; threads that ask at once wait for one build."""
+    name = f"_{build.__name__}"
+
+    @wraps(build)
+    def get(self):
+        with self._guard:
+            lock = self._locks.setdefault(name, threading.RLock())
+        with lock:
+            if name not in self.__dict__:
+                self.__dict__[name] = build(self)
+            return self.__dict__[name]
+
+    return property(get)
+
+
 class MartSet:
     """Staged sources plus the four marts of one data set.
 
@@ -47,6 +64,7 @@ class MartSet:
         self.raw = sources
         self.store = store
         self.derive = derive
+        self._guard, self._locks = threading.Lock(), {}
         self.telemetry_rollup: DataFrame | None = None   # set when the sources are staged
 
     def _mat(self, name: str, df: DataFrame) -> DataFrame:
@@ -56,7 +74,7 @@ class MartSet:
         write_mart(df, path)
         return read_mart(self.spark, path, df.schema)
 
-    @cached_property
+    @_once
     def src(self) -> Sources:
         # Independent stagings run as concurrent Spark jobs of the same session.
         todo = {"invoices": ("stg_invoices", self.raw.invoices),
@@ -67,52 +85,50 @@ class MartSet:
         # The telemetry rollup does not need the invoices: built in the same wave.
         todo["_telemetry_rollup"] = ("stg_telemetry_monthly", M.telemetry_monthly(self.raw.telemetry))
         over = _concurrently({k: (lambda n=n, d=d: self._mat(n, d)) for k, (n, d) in todo.items()})
-        numbering.release()
         self.telemetry_rollup = over.pop("_telemetry_rollup")
         if self.derive:
             over.update(self.derive(over["invoices"]))
         return replace(self.raw, **over)
 
-    @cached_property
+    @_once
     def audit(self) -> DataFrame:
         # A narrow projection of the staged invoices: served as a view, so
         # the largest mart is not written a second time.
         return M.invoice_audit(self.src.invoices)
 
-    @cached_property
+    @_once
+    def spend(self) -> DataFrame:
+        """The invoice lines summed by area, month and vendor: what most marts read."""
+        return self._mat("stg_spend", M.spend_rollup(self.src.invoices))
+
+    @_once
     def sam(self) -> DataFrame:
         src = self.src   # builds the staged sources and the telemetry rollup
         return self._mat("fct_service_area_monthly", M.service_area_monthly(
-            src.invoices, src.incidents, telemetry_rollup=self.telemetry_rollup)).persist()
+            self.spend, src.incidents, telemetry_rollup=self.telemetry_rollup)).persist()
 
-    @cached_property
+    @_once
     def budget_variance(self) -> DataFrame:
-        return self._mat("fct_budget_variance", M.budget_variance(self.src.invoices,
+        return self._mat("fct_budget_variance", M.budget_variance(self.spend,
                                                                   self.src.budget))
 
-    @cached_property
+    @_once
     def vendor_scorecard(self) -> DataFrame:
         return self._mat("fct_vendor_scorecard", M.vendor_scorecard(self.src.incidents,
-                                                                    self.src.invoices))
+                                                                    self.spend))
 
     def all(self) -> dict[str, DataFrame]:
-        self.src   # staged first: every mart reads it
+        self.spend   # staged first: the marts read it
         built = _concurrently({"sam": lambda: self.sam, "bv": lambda: self.budget_variance,
                                "vsc": lambda: self.vendor_scorecard})
         return dict(zip(MART_NAMES, (self.audit, built["sam"], built["bv"], built["vsc"])))
 
 
-# View names for SQL users (raw table stems and mart names of the source layout).
-SOURCE_VIEWS = {"invoices": "telecom_invoices", "incidents": "servicenow_incidents",
-                "telemetry": "itom_telemetry", "cmdb": "servicenow_cmdb", "budget": "coupa_pos",
-                "gl": "sap_gl", "consumption": "consumption", "weights": "chargeback_weights"}
-
-
 def register_views(ms: MartSet) -> list[str]:
     """Expose the sources and the four marts as temp views, so existing SQL runs unchanged."""
     names = []
     for field, df in ms.src.items():
-        name = SOURCE_VIEWS.get(field, field)
+        name = VIEW_NAMES.get(field, field)
         df.createOrReplaceTempView(name)
         names.append(name)
     for name, df in ms.all().items():
@@ -133,7 +149,11 @@ _CACHE_LOCK = threading.RLock()
 
 
 def marts_for(spark: SparkSession, sf_dir: str, materialize: bool = True) -> MartSet:
-    """The (cached) mart set of a fixture folder, written under the shared folder."""
+    """The (cached) mart set of a folder, written under the shared folder.
+
+    A folder with raw tables (CSV or parquet, named as in ``schemas.RAW_TABLES``) is read as such;
+    any other is taken for a fixture folder.
+    """
     with _CACHE_LOCK:
         return _marts_for(spark, sf_dir, materialize)
 
@@ -146,9 +166,13 @@ def _marts_for(spark: SparkSession, sf_dir: str, materialize: bool) -> MartSet:
         if materialize:
             tag = hashlib.sha1(key[1].encode()).hexdigest()[:12]
             store = f"{shared_folder(spark)}/ledgerspark/marts/{tag}"
-        # Staged invoices are numbered skew-aware (a hot (order, line) pair is range-split
+        fmt = raw_format(spark, sf_dir)
+        if fmt:   # a folder of raw tables in the source layout
+            ms = _CACHE[key] = MartSet(spark, load_sources(spark, sf_dir, fmt), store)
+            return ms
+        # Staged invoices are numbered in ordered buckets (a hot (order, line) pair is split
         # over tasks); without a store the lazy, prunable window is kept.
-        ms = MartSet(spark, fixture_sources(spark, sf_dir, "auto" if store else "window"), store,
+        ms = MartSet(spark, fixture_sources(spark, sf_dir, "split" if store else "window"), store,
                      derive=lambda inv: {"budget": budget_view(inv)})
         _CACHE[key] = ms
     return ms

@@ -33,6 +33,25 @@ from ledgerspark.streaming import monitor as S
 
 # Fixture parameter: the driver data spans 83 months, so train on the first 62.
 N_TRAIN = 62
+# Fixture parameter: the service areas of the driver data (part types), the columns of wide results.
+AREAS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+# Of a folder of raw tables: the operators' own training span, and areas as the data has them.
+RAW_N_TRAIN = 9
+
+
+def _is_raw(spark: SparkSession, sf: str) -> bool:
+    return _ms(spark, sf).derive is None
+
+
+def _areas(spark: SparkSession, sf: str) -> list[str]:
+    """The columns of wide results: one row per area, from the small scorecard."""
+    if not _is_raw(spark, sf):
+        return AREAS
+    return sorted(r[0] for r in _ms(spark, sf).sam.select("service_area").distinct().collect())
+
+
+def _n_train(spark: SparkSession, sf: str) -> int:
+    return RAW_N_TRAIN if _is_raw(spark, sf) else N_TRAIN
 
 
 def rnd(df: DataFrame, d2=(), d4=(), d6=(), d3=()) -> DataFrame:
@@ -76,7 +95,7 @@ def q_mart_roundtrip(spark, sf):
 def q_export_csv(spark, sf):
     """The four marts, the chargeback statement and the (wide) weight matrix as CSV."""
     ms = _ms(spark, sf)
-    out = {**ms.all(), "fct_chargeback": E.chargeback_statement(_alloc(spark, sf)),
+    out = {**ms.all(), "fct_chargeback": E.chargeback_statement(_alloc(spark, sf), areas=_areas(spark, sf)),
            "chargeback_weights": E.weights_wide(_weights(spark, sf))}
     return sinks.export_csv(out, f"{shared_folder(spark)}/ledgerspark/export/{_tag(sf)}")
 
@@ -106,12 +125,12 @@ def q_vendor_scorecard(spark, sf):
 
 
 def q_vendor_scorecard_corrected(spark, sf):
-    src = _ms(spark, sf).src
-    return M.vendor_scorecard_corrected(src.incidents, src.invoices)
+    ms = _ms(spark, sf)
+    return M.vendor_scorecard_corrected(ms.src.incidents, ms.spend)
 
 
 def q_gl_rollup(spark, sf):
-    return M.gl_rollup(_ms(spark, sf).src.invoices)
+    return M.gl_rollup(_ms(spark, sf).spend)
 
 
 def q_budget_rollup(spark, sf):
@@ -119,12 +138,15 @@ def q_budget_rollup(spark, sf):
 
 
 def q_gl_reconciliation(spark, sf):
-    inv = _ms(spark, sf).src.invoices
-    return M.gl_reconciliation(M.gl_rollup(inv), inv)
+    """Against the supplied GL; the fixture's GL is the order totals (the incidents' cost, in full)."""
+    src = _ms(spark, sf).src
+    gl = src.gl if src.gl is not None else src.incidents.select(
+        "service_area", F.col("opened").alias("period"), (F.col("cost_to_resolve") * 100).alias("amount"))
+    return M.gl_reconciliation(gl, _ms(spark, sf).spend)
 
 
 def q_vendor_spend(spark, sf):
-    return M.vendor_spend(_ms(spark, sf).src.invoices)
+    return M.vendor_spend(_ms(spark, sf).spend)
 
 
 def q_incident_volume(spark, sf):
@@ -169,7 +191,7 @@ def q_top_vendor(spark, sf):
 
 
 def q_spend_trend(spark, sf):
-    return C.spend_trend(_ms(spark, sf).sam)
+    return C.spend_trend(_ms(spark, sf).sam, _areas(spark, sf))
 
 
 def q_budget_variance_ranked(spark, sf):
@@ -197,6 +219,8 @@ def q_bridge_unexplained(spark, sf):
 
 def _weights(spark, sf):
     src = _ms(spark, sf).src
+    if src.weights is None and src.consumption is None:
+        raise ValueError("chargeback needs chargeback_weights.csv beside the raw tables, or measured consumption")
     return src.weights if src.weights is not None else E.consumption_weights(src.consumption)
 
 
@@ -209,7 +233,7 @@ def q_area_total_cost(spark, sf):
 
 
 def q_consumption_weights(spark, sf):
-    return E.consumption_weights(_ms(spark, sf).src.consumption)
+    return _weights(spark, sf)
 
 
 def q_chargeback_allocation(spark, sf):
@@ -221,14 +245,22 @@ def q_showback(spark, sf):
 
 
 def q_chargeback_statement(spark, sf):
-    return E.chargeback_statement(_alloc(spark, sf))
+    return E.chargeback_statement(_alloc(spark, sf), areas=_areas(spark, sf))
 
 
 def q_allocation_leakage(spark, sf):
-    return rnd(E.allocation_leakage(_alloc(spark, sf)), d3=("weight_sum",),
+    cost = E.area_total_cost(_ms(spark, sf).sam)
+    return rnd(E.allocation_leakage(_alloc(spark, sf), cost), d3=("weight_sum",),
                d2=("allocated", "leakage"))
 
 
+def q_allocation_leakage_partial(spark, sf):
+    """E6 with an area left out of the weights: it must show up with all its cost."""
+    cost = E.area_total_cost(_ms(spark, sf).sam)
+    alloc = E.chargeback_allocation(_weights(spark, sf).where(F.col(E.AREA) != _areas(spark, sf)[0]), cost)
+    return rnd(E.allocation_leakage(alloc, cost), d3=("weight_sum",), d2=("allocated", "leakage"))
+
+
 # ---- F: forecast --------------------------------------------------------------
 
 def _series(spark, sf, keys=()):
@@ -298,16 +330,16 @@ def q_risk_labels(spark, sf):
 
 
 def q_risk_time_split(spark, sf):
-    return G.risk_time_split(_labeled(spark, sf), N_TRAIN)
+    return G.risk_time_split(_labeled(spark, sf), _n_train(spark, sf))
 
 
 def q_risk_auc(spark, sf):
-    test = G.time_split(_labeled(spark, sf), N_TRAIN).where(F.col("split") == "test")
+    test = G.time_split(_labeled(spark, sf), _n_train(spark, sf)).where(F.col("split") == "test")
     return G.risk_auc(test, "packet_loss")
 
 
 def q_risk_separation(spark, sf):
-    return G.risk_separation(_labeled(spark, sf), N_TRAIN)
+    return G.risk_separation(_labeled(spark, sf), _n_train(spark, sf))
 
 
 _MODELS: dict[tuple[str, str], tuple] = {}
@@ -319,7 +351,7 @@ def _model(spark, sf):
     with _LOCK:
         if key not in _MODELS:
             lab = _labeled(spark, sf)
-            model, scored = G.risk_scores(lab, N_TRAIN)
+            model, scored = G.risk_scores(lab, _n_train(spark, sf))
             _MODELS[key] = (lab, model, scored.persist())   # test months only: small
         return _MODELS[key]
 
@@ -406,7 +438,7 @@ def q_stream_monthly_spend(spark, sf):
 def q_dq_checks(spark, sf):
     ms = _ms(spark, sf)
     alloc = _alloc(spark, sf)
-    chk = Q.dq_checks(ms.sam, ms.audit, ms.budget_variance, E.chargeback_statement(alloc), alloc,
+    chk = Q.dq_checks(ms.sam, ms.audit, ms.budget_variance, E.chargeback_statement(alloc, areas=_areas(spark, sf)), alloc,
                       E.area_total_cost(ms.sam))
     return rnd(chk, d6=("value",))
 
@@ -454,6 +486,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "showback": q_showback,
     "chargeback_statement": q_chargeback_statement,
     "allocation_leakage": q_allocation_leakage,
+    "allocation_leakage_partial": q_allocation_leakage_partial,
     "monthly_spend": q_monthly_spend,
     "trend_fit": q_trend_fit,
     "forecast_point": q_forecast_point,

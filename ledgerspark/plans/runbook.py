@@ -44,7 +44,7 @@ def run(spark: SparkSession, sf_dir: str, out: str | None = None,
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    ap.add_argument("--sf-dir", required=True)
+    ap.add_argument("--sf-dir", "--raw-dir", required=True, help="a fixture folder, or a folder of raw tables")
     ap.add_argument("--out", default=None)
     ap.add_argument("--only", default="")
     ap.add_argument("--parallel", type=int, default=4, help="results written concurrently")

@@ -6,7 +6,7 @@ INT/BIGINT. Readers apply these with ``spark.read.schema(...)``.
 
 from pyspark.sql import types as T
 
-S, D, DT, I = T.StringType(), T.DoubleType(), T.DateType(), T.IntegerType()
+S, D, DT = T.StringType(), T.DoubleType(), T.DateType()
 
 
 def _schema(*cols) -> T.StructType:
@@ -17,7 +17,7 @@ CMDB = _schema(("ci_id", S), ("service_area", S), ("site", S), ("vendor", S), ("
                ("install_date", DT), ("monthly_cost", D), ("status", S))
 
 TELEMETRY = _schema(("ci_id", S), ("service_area", S), ("period", DT), ("uptime_pct", D),
-                    ("latency_ms", D), ("packet_loss_pct", D), ("mtbf_hours", I))
+                    ("latency_ms", D), ("packet_loss_pct", D), ("mtbf_hours", D))
 
 INCIDENTS = _schema(("incident_id", S), ("ci_id", S), ("service_area", S), ("site", S),
                     ("vendor", S), ("priority", S), ("opened", DT), ("mttr_hours", D),
@@ -34,6 +34,11 @@ BUDGET = _schema(("service_area", S), ("annual_budget", D), ("po_committed", D))
 
 CONSUMPTION = _schema(("service_area", S), ("business_unit", S), ("units", D))
 
+# View names for SQL users (raw table stems of the source layout).
+VIEW_NAMES = {"invoices": "telecom_invoices", "incidents": "servicenow_incidents",
+              "telemetry": "itom_telemetry", "cmdb": "servicenow_cmdb", "budget": "coupa_pos",
+              "gl": "sap_gl", "consumption": "consumption", "weights": "chargeback_weights"}
+
 # The raw table names (file stems) of the source layout.
 # Raw table name (file stem) -> declared schema. The weight matrix is wide with
 # one column per business unit, so it is read with a header and unpivoted.

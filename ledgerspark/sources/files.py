@@ -7,8 +7,6 @@ job is spent on inference and every type is fixed up front.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,15 +16,22 @@ from ledgerspark.sources.model import Sources
 
 def read_raw(spark: SparkSession, path: str, schema, fmt: str = "csv") -> DataFrame:
     if fmt == "csv":
-        return spark.read.schema(schema).option("header", True).csv(path)
+        # The header is held against the schema, and a cell of the wrong type is an error, not a NULL.
+        return (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+                     .option("mode", "FAILFAST").csv(path))
     return spark.read.schema(schema).format(fmt).load(path)
 
 
-def _locate(base: str, stem: str, fmt: str) -> str:
-    for cand in (f"{base}/{stem}.{fmt}", f"{base}/{stem}"):
-        if os.path.exists(cand) or "://" in base:
-            return cand
-    return f"{base}/{stem}.{fmt}"
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in its own file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def _locate(spark: SparkSession, base: str, stem: str, fmt: str) -> str:
+    """A table is a file (or folder) `stem.fmt`, or a folder `stem`."""
+    folder = f"{base.rstrip('/')}/{stem}"
+    return folder if not _exists(spark, f"{folder}.{fmt}") and _exists(spark, folder) else f"{folder}.{fmt}"
 
 
 def read_weights_wide(spark: SparkSession, path: str, key: str = "service_area") -> DataFrame:
@@ -43,10 +48,23 @@ def read_weights_wide(spark: SparkSession, path: str, key: str = "service_area")
                 .unpivot([key], units, "business_unit", "weight"))
 
 
+def raw_format(spark: SparkSession, base: str) -> str | None:
+    """The format of the raw tables under ``base``, None if there are none (the fixtures' folders)."""
+    for fmt in ("csv", "parquet"):
+        if _exists(spark, f"{base.rstrip('/')}/telecom_invoices.{fmt}"):
+            return fmt
+    return "csv" if _exists(spark, f"{base.rstrip('/')}/telecom_invoices") else None
+
+
 def load_sources(spark: SparkSession, base: str, fmt: str = "csv",
                  weights_path: str | None = None) -> Sources:
-    """All raw tables under ``base`` as DataFrames with declared schemas (A1)."""
-    t = {stem: read_raw(spark, _locate(base, stem, fmt), sch, fmt)
+    """All raw tables under ``base`` as DataFrames with declared schemas (A1).
+
+    The weight matrix is ``weights_path``, or ``chargeback_weights.csv`` under ``base`` if it is there.
+    """
+    supplied = _locate(spark, base, "chargeback_weights", "csv")
+    weights_path = weights_path or (supplied if _exists(spark, supplied) else None)
+    t = {stem: read_raw(spark, _locate(spark, base, stem, fmt), sch, fmt)
          for stem, sch in schemas.RAW_TABLES.items()}
     return Sources(
         cmdb=t["servicenow_cmdb"],
@@ -60,6 +78,6 @@ def load_sources(spark: SparkSession, base: str, fmt: str = "csv",
 
 
 def register_views(sources: Sources) -> None:
-    """Expose each source as a temp view of the same name (for spark.sql users)."""
+    """Expose each source as a temp view named after its raw table (for spark.sql users)."""
     for name, df in sources.items():
-        df.createOrReplaceTempView(name)
+        df.createOrReplaceTempView(schemas.VIEW_NAMES.get(name, name))

@@ -119,8 +119,10 @@ def test_chargeback_conserves_cost_when_weights_sum_to_one(spark):
                               "service_area string, business_unit string, weight double")
     cost = spark.createDataFrame([("A", 1000.0), ("B", 2000.0)], "service_area string, total_cost double")
     alloc = E.chargeback_allocation(w, cost)
-    leak = {r.service_area: r.leakage for r in E.allocation_leakage(alloc).collect()}
+    leak = {r.service_area: r.leakage for r in E.allocation_leakage(alloc, cost).collect()}
     assert leak["A"] == 0.0 and leak["B"] == pytest.approx(2.0)
+    lost = {r.service_area: r for r in E.allocation_leakage(alloc.where("service_area = 'A'"), cost).collect()}
+    assert (lost["B"].weight_sum, lost["B"].area_cost, lost["B"].leakage) == (0.0, 2000.0, 2000.0)
     sb = {r.business_unit: r for r in E.showback(alloc).collect()}
     assert sb["TOTAL"].allocated == pytest.approx(2998.0) and sb["TOTAL"].share == 1.0
     st = {r.business_unit: r for r in E.chargeback_statement(alloc).collect()}
@@ -204,19 +206,39 @@ def test_risk_label_quantile_over_all_or_train_months(spark):
     assert train == {m[0]: 0, m[1]: 0, m[2]: 1, m[3]: 1}      # q75 of 1,2,3 = 2.5
 
 
-@pytest.mark.parametrize("small", [0, 1_000_000])      # 0 forces the bucketed, distributed path
 @pytest.mark.parametrize("q", [0.0, 0.1, 0.5, 0.75, 0.9, 1.0])
-def test_exact_percentile_equals_builtin(spark, q, small):
+def test_exact_percentile_equals_builtin(spark, q):
     from ledgerspark.functions.stats import exact_percentile
     rnd = random.Random(11)
     rows = [(rnd.choice(["a", "b", "c"]), float(rnd.randint(0, 500)) / 7) for _ in range(3000)]
     rows += [("a", 5.0)] * 1500                                   # a hot value
+    rows += [("none", None)] * 3 + [(None, 1.0), (None, 4.0)]     # no values; a NULL key
     df = spark.createDataFrame(rows, "g string, v double")
     got = {r.g: r.percentile
-           for r in exact_percentile(df, "v", q, ["g"], buckets=8, small=small).collect()}
+           for r in exact_percentile(df, "v", q, ["g"], buckets=8).collect()}
     want = {r.g: r.p for r in df.groupBy("g").agg(F.percentile("v", q).alias("p")).collect()}
     assert got.keys() == want.keys()
     for g in want:
-        assert got[g] == pytest.approx(want[g], rel=1e-12, abs=1e-12)
-    whole = exact_percentile(df, "v", q, buckets=8, small=small).collect()[0].percentile
+        assert got[g] == want[g] or got[g] == pytest.approx(want[g], rel=1e-12, abs=1e-12)
+    assert got["none"] is None
+    whole = exact_percentile(df, "v", q, buckets=8).collect()[0].percentile
     assert whole == pytest.approx(df.select(F.percentile("v", q)).first()[0], rel=1e-12, abs=1e-12)
+
+
+def test_sums_keep_what_is_finer_than_a_cent(spark):
+    from ledgerspark.functions.rules import exact_avg, money_sum
+    df = spark.createDataFrame([(0.004,)] * 1000, "x double")
+    assert df.agg(money_sum("x"), exact_avg("x")).first() == (4.0, 0.004)
+
+
+def test_spc_direction_and_parity_of_batch_and_stream_rule(spark):
+    m = [dt.date(2025, k, 1) for k in range(1, 8)]
+    rows = [("A", p, 99.0 + (i % 2) / 10, 1.0) for i, p in enumerate(m[:-1])] + [("A", m[-1], 90.0, 2.0)]
+    sam = spark.createDataFrame(rows, "service_area string, period date, uptime double, packet_loss double")
+    got = {r.metric: r for r in V.spc_all_metrics(sam, ["uptime", "packet_loss"], days=170).collect()}
+    assert got["uptime"].z < -3 and got["uptime"].breach            # an outage
+    assert got["packet_loss"].z is None and got["packet_loss"].breach   # any step up from a flat baseline
+    base = V.spc_baseline(sam, "packet_loss", 170).where("metric = 'packet_loss'")
+    last = sam.where(F.col("period") == m[-1]).join(base, "service_area")
+    z, breach = V.z_and_breach(F.col("packet_loss"), F.lit("packet_loss"), 3.0)
+    assert last.select(z, breach).first() == (None, True)

@@ -3,9 +3,10 @@
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
+from ledgerspark.plans.registry import QUERIES
 from oracle_check import compare, duck
 
-KEYS = list(queries())
+KEYS = list(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -20,12 +21,19 @@ def test_query_matches_oracle(spark, sf_small, con, key):
     assert r["spark_rows"] > 0, r
 
 
+def test_every_oracle_works_as_a_view(con):
+    for key in KEYS:
+        if key in oracle_sql():
+            con.execute(f"CREATE OR REPLACE VIEW as_view AS {oracle_sql()[key]}")
+            con.execute("SELECT count(*) FROM as_view").fetchall()
+
+
 def test_oracle_keys_are_registered():
     assert set(oracle_sql()) <= set(queries())
 
 
 def test_rows_only_keys_are_model_based():
-    assert set(queries()) - set(oracle_sql()) == {
+    assert set(QUERIES) - set(oracle_sql()) == {
         "risk_scores", "risk_model_auc", "risk_feature_importance", "risk_watchlist"}
 
 

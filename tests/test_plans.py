@@ -5,8 +5,8 @@ import contextlib
 
 import pytest
 
-from __spark_entry__ import queries
 from ledgerspark.operators import marts as M
+from ledgerspark.plans.registry import QUERIES
 from ledgerspark.sources.fixtures import fixture_sources
 
 # Keys whose construction itself runs a write or a stream (checked in test_oracle).
@@ -20,9 +20,9 @@ def plan(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("key", [k for k in queries() if k not in SIDE_EFFECT])
+@pytest.mark.parametrize("key", [k for k in QUERIES if k not in SIDE_EFFECT])
 def test_no_cartesian_or_nested_loop_join(spark, sf_small, key):
-    p = plan(queries()[key](spark, sf_small))
+    p = plan(QUERIES[key](spark, sf_small))
     assert "CartesianProduct" not in p
     assert "BroadcastNestedLoopJoin" not in p
 

@@ -4,6 +4,8 @@ import datetime as dt
 import os
 import tempfile
 
+import pytest
+
 from ledgerspark import schemas
 from ledgerspark.operators import chargeback as E
 from ledgerspark.operators import marts as M
@@ -20,7 +22,7 @@ def test_load_sources_declared_types(spark):
     d = dt.date(2025, 1, 1)
     rows = {
         "servicenow_cmdb": [("CI-1", "A", "S1", "V", "Router", d, 900.5, "Active")],
-        "itom_telemetry": [("CI-1", "A", d, 99.6, 35.2, 0.2, 1500)],
+        "itom_telemetry": [("CI-1", "A", d, 99.6, 35.2, 0.2, 1500.0)],
         "servicenow_incidents": [("INC1", "CI-1", "A", "S1", "V", "P1", d, 6.5, 700.25)],
         "telecom_invoices": [("INV1", "CI-1", "V", "A", d, 900.5, 1801.0, "Active", "duplicate")],
         "sap_gl": [("A", d, 1801.0, "CC-000", "6100-Telecom")],
@@ -30,13 +32,38 @@ def test_load_sources_declared_types(spark):
         _write_csv(spark, spark.createDataFrame(r, schemas.RAW_TABLES[stem]), f"{base}/{stem}")
     src = load_sources(spark, base, "csv")
     assert src.invoices.schema == schemas.INVOICES
-    assert dict(src.telemetry.dtypes)["mtbf_hours"] == "int"
+    assert dict(src.telemetry.dtypes)["mtbf_hours"] == "double"
     audit = M.invoice_audit(src.invoices).collect()[0]
     assert audit.finding == "Duplicate charge" and audit.variance == 900.5
     bv = M.budget_variance(src.invoices, src.budget).collect()[0]
     assert bv.variance == 1801.0 - 11346.3
     register_views(src)
-    assert spark.sql("SELECT count(*) FROM invoices").collect()[0][0] == 1
+    assert spark.sql("SELECT count(*) FROM telecom_invoices").collect()[0][0] == 1
+
+
+def _raw(text, stem="coupa_pos"):
+    base = tempfile.mkdtemp(prefix="ls-raw-")
+    with open(f"{base}/{stem}.csv", "w") as f:
+        f.write(text)
+    return f"{base}/{stem}.csv"
+
+
+def test_csv_header_and_cells_are_checked(spark):
+    from ledgerspark.sources.files import read_raw
+    good = read_raw(spark, _raw("service_area,annual_budget,po_committed\nA,1.5,2\n"), schemas.BUDGET)
+    assert good.first() == ("A", 1.5, 2.0)
+    for text in ("service_area,po_committed,annual_budget\nA,1,2\n", "service_area,annual_budget,po_committed\nA,n/a,2\n"):
+        with pytest.raises(Exception):
+            read_raw(spark, _raw(text), schemas.BUDGET).collect()
+
+
+def test_table_as_file_or_folder(spark):
+    from ledgerspark.sources.files import _locate
+    path = _raw("service_area,annual_budget,po_committed\nA,1,2\n")
+    base = path.rsplit("/", 1)[0]
+    assert _locate(spark, base, "coupa_pos", "csv") == path
+    os.mkdir(f"{base}/sap_gl")
+    assert _locate(spark, f"file://{base}", "sap_gl", "csv") == f"file://{base}/sap_gl"
 
 
 def test_wide_weight_matrix_to_long(spark):
@@ -48,7 +75,7 @@ def test_wide_weight_matrix_to_long(spark):
     assert got == {("A", "Unit One"): 0.25, ("A", "Unit Two"): 0.75,
                    ("B", "Unit One"): 0.5, ("B", "Unit Two"): 0.499}
     cost = spark.createDataFrame([("A", 100.0), ("B", 1000.0)], "service_area string, total_cost double")
-    leak = {r.service_area: r.leakage for r in E.allocation_leakage(E.chargeback_allocation(w, cost)).collect()}
+    leak = {r.service_area: r.leakage for r in E.allocation_leakage(E.chargeback_allocation(w, cost), cost).collect()}
     assert leak["A"] == 0.0 and round(leak["B"], 6) == 1.0
 
 
@@ -103,7 +130,7 @@ def test_martset_over_csv_layout(spark):
     d1, d2 = dt.date(2025, 1, 1), dt.date(2025, 2, 1)
     rows = {
         "servicenow_cmdb": [("CI-1", "A", "S1", "V", "Router", d1, 100.0, "Active")],
-        "itom_telemetry": [("CI-1", "A", d1, 99.5, 30.0, 0.2, 1500), ("CI-1", "A", d2, 99.7, 32.0, 0.4, 1400)],
+        "itom_telemetry": [("CI-1", "A", d1, 99.5, 30.0, 0.2, 1500.0), ("CI-1", "A", d2, 99.7, 32.0, 0.4, 1400.0)],
         "servicenow_incidents": [("INC1", "CI-1", "A", "S1", "V", "P1", d1, 6.0, 600.0)],
         "telecom_invoices": [("INV1", "CI-1", "V", "A", d1, 100.0, 100.0, "Active", "none"),
                              ("INV2", "CI-1", "V", "A", d2, 100.0, 190.0, "Active", "duplicate")],
