@@ -26,14 +26,14 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("a <> b").distinct()
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, about: int = 1 << 40, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b: long); component is its smallest node.
 
     Self-edges, repeated edges and either direction are fine; rows with a null end are ignored.
-    No edges give no rows.
+    No edges give no rows. ``about``, how many edges there may be, only sizes the first round's files.
     """
-    cur = stage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                .distinct(), "edges")
+    cur = stage(few_files(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+                          .distinct(), about), "edges")
     n, seen = cur.count(), None
     for _ in range(max_rounds):
         nxt = stage(few_files(_star(_star(cur, True), False), n), "edges")

@@ -131,9 +131,10 @@ def near_vectors(rows: DataFrame, threshold: float = 0.9, recall: float = 0.98,
     keys = src.select("id", F.when(v.isNotNull(), F.xxhash64(F.lit(1), v)).alias("k1"), F.when(v.isNotNull(), F.xxhash64(F.lit(2), v)).alias("k2"), "v")
     classes = keys.where("v is not null").groupBy("k1", "k2").agg(F.min("id").alias("least"), F.count("*").alias("m"), F.first("v").alias("v"))
     classes = stage(with_row_id(classes, "cid"), "vectors")
-    planes, tables = table_sizes(classes.count(), threshold, per_bucket, recall)
+    n = classes.count()
+    planes, tables = table_sizes(n, threshold, per_bucket, recall)
     found = stage(compare(classes.select("cid", "m", "v"), threshold, planes, tables, chunk, seed), "vector-links")
-    comp = connected_components(found.select(F.col("cid").alias("a"), F.col("root").alias("b")))
+    comp = connected_components(found.select(F.col("cid").alias("a"), F.col("root").alias("b")), n)
     linked = found.groupBy("cid").agg(F.sum("links").alias("links"))
     named = classes.drop("v").join(linked, "cid", "left").join(comp.withColumnRenamed("node", "cid"), "cid", "left").select(
         "k1", "k2", "least", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n_links"), F.coalesce("component", "cid").alias("class"))

@@ -165,8 +165,9 @@ def near_classes(docs: DataFrame, width: int = 4, budget: int = 4, id: str = "do
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), *([F.col(row).alias("rid")] if row else []))
     rows = stage(fingerprints(rows if row else with_row_id(rows), width), "simhash")
     nodes = rows.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("null"), "id", "rid")).alias("least"))
-    nodes = stage(few_files(nodes, rows.count()), "simhash-nodes")
-    comp = connected_components(links(nodes.select("fp"), budget)).withColumnRenamed("node", "fp")
+    n = rows.count()
+    nodes = stage(few_files(nodes, n), "simhash-nodes")
+    comp = connected_components(links(nodes.select("fp"), budget), n).withColumnRenamed("node", "fp")
     classes = nodes.join(comp, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("class"))
     least = classes.groupBy("class").agg(F.min("least").alias("first"))
     named = classes.join(least, "class").select("fp", "first")
