@@ -76,9 +76,10 @@ def fit_risk_model(train: DataFrame, features: Sequence[str] = FEATURES, trees:
 
 
 def score(model: PipelineModel, df: DataFrame, name: str = "score") -> DataFrame:
+    """Adds the probability of high risk (0 where the training months held no high-risk one)."""
     out = model.transform(df)
-    return out.withColumn(name, vector_to_array("_prob")[1]).drop("_features", "_prob", "_raw",
-                                                                  "_pred")
+    high = F.coalesce(F.get(vector_to_array("_prob"), F.lit(1)), F.lit(0.0))
+    return out.withColumn(name, high).drop("_features", "_prob", "_raw", "_pred")
 
 
 def risk_scores(labeled: DataFrame, n_train: int = 9, features: Sequence[str] = FEATURES,
