@@ -29,12 +29,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import blank_if_null, ragged_gather, read_table
+from .common import arrow_batches, blank_if_null, ragged_gather, read_table
 
 #: Unicode White_Space, which a Java regex's \s is not.
 SPACE = r"\t-\r\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 LEAF = 24        # bytes merged directly
-CACHED = 400_000  # pieces remembered by a worker
+CACHED = 200_000  # pieces remembered by a worker
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -132,20 +132,14 @@ def _lists(values: pa.Array, offsets: np.ndarray) -> pa.Array:
 
 def _list_parts(col: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """Offsets from 0 and the flat values of a list column without nulls."""
-    offsets = np.asarray(col.offsets, dtype=np.int64)   # of a slice: its own
+    offsets = np.asarray(col.offsets, dtype=np.int64)
     return offsets - offsets[0], col.values.slice(offsets[0], offsets[-1] - offsets[0])
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    """Smaller batches: the arrays of one slice are in memory at once."""
-    for batch in batches:
-        for i in range(0, batch.num_rows, rows):
-            yield batch.slice(i, rows)
-
-
 def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
     """Add ``out``: the token ids (array<int>) of each text."""
     spark = df.sparkSession
+    arrow_batches(spark)
     shared = spark.sparkContext.broadcast(ranks)   # as large as the vocabulary file
     pieces = f"{out}__pieces"
     src = df.withColumn(pieces, F.regexp_extract_all(blank_if_null(F.col(text)), F.lit(java_pattern(pattern)), F.lit(0)))
@@ -153,7 +147,7 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, known = Codec(shared.value), {}
-        for batch in slices(batches):
+        for batch in batches:
             offsets, flat = _list_parts(batch.column(pieces))
             coded = flat.dictionary_encode()
             if isinstance(coded, pa.ChunkedArray):
@@ -191,7 +185,7 @@ def decode(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out: str =
         for b, r in shared.value.items():
             table[r] = b
         tokens = pa.array(table, pa.binary())
-        for batch in slices(batches):
+        for batch in batches:
             offsets, flat = _list_parts(batch.column(ids))
             joined = pc.binary_join(_lists(tokens.take(flat), offsets), b"")
             yield pa.RecordBatch.from_arrays([*batch.columns, joined], names=[*batch.schema.names, out])

@@ -32,6 +32,14 @@ def few_files(df: DataFrame, rows: int, per_file: int = 250_000) -> DataFrame:
     return df.coalesce(max(1, -(-rows // per_file)))
 
 
+def arrow_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let Arrow batches of this session hold at most so many rows: whole texts are long rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > rows:
+        spark.conf.set(key, str(rows))
+
+
 def with_row_id(df: DataFrame, name: str = "rid") -> DataFrame:
     """A distinct long for each row. Stable only once the rows are staged."""
     return df.withColumn(name, F.monotonically_increasing_id())
