@@ -28,6 +28,7 @@ from .common import blank_if_null, read_table, stage, with_row_id
 
 SECTIONS, ROUNDS = 16, 8     # together 32 halvings
 MOST_BLOCKS = 4096
+SALTS = 64
 NULL_SOURCE = "\0null"
 
 
@@ -90,13 +91,17 @@ def mix(docs: DataFrame, row: str, target_entropy: float = 0.95, max_repeat: flo
         "blocks", F.least(F.lit(MOST_BLOCKS), F.greatest(F.lit(1), F.ceil(F.coalesce("tokens", F.lit(0)) / F.lit(block_tokens)))).cast("int"))
 
     key = F.xxhash64(F.lit(seed), F.col("id"))
-    dealt = rows.join(weighted.select("s", "blocks"), "s").select("r", "id", "s", "n", key.alias("h"), F.pmod(F.xxhash64(F.lit(seed + 1), "id"), F.col("blocks")).alias("b"))
+    # a hot source meets its number of blocks in SALTS tasks, and its documents the rest by block
+    salted = weighted.select("s", "blocks", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    dealt = rows.withColumn("salt", F.pmod(F.xxhash64("r"), F.lit(SALTS)).cast("int")).join(salted, ["s", "salt"])
+    dealt = dealt.select("r", "id", "s", "n", key.alias("h"), F.pmod(F.xxhash64(F.lit(seed + 1), "id"), F.col("blocks")).alias("b"))
     sizes = dealt.groupBy("s", "b").agg(F.sum("n").alias("size"))
     order = Window.partitionBy("s").orderBy(F.xxhash64(F.lit(seed + 2), "s", "b"), "b")
     begun = sizes.select("s", "b", F.row_number().over(order).alias("block_rank"), (F.sum("size").over(order) - F.col("size")).alias("before"))
+    begun = begun.join(weighted.select("s", "w", "epochs", "rest"), "s")
     inside = Window.partitionBy("s", "b").orderBy("h", "id", "r")
     out = dealt.select("*", F.row_number().over(inside).alias("position"), F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"))
-    out = out.join(begun, ["s", "b"]).join(weighted.select("s", "w", "epochs", "rest"), "s")
+    out = out.join(begun, ["s", "b"])
     more = (F.col("before") + F.col("upto") <= F.col("rest") + 0.5) & (F.col("rest") >= 0.5)
     copies = F.coalesce(F.col("epochs") + more.cast("long"), F.lit(0)).cast("long")
     return out.select(F.col("r").alias(row), F.col("id").alias(id), F.when(F.col("s") != NULL_SOURCE, F.col("s")).alias(source), F.col("n").alias("n_tokens"),
