@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import blank_if_null, read_table
-from .spans import starts
+from .spans import let, starts
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: label: phrase, in words
@@ -139,11 +139,14 @@ def _named(label: str, places: Column) -> Column:
 
 
 def _detections(rule: Column) -> Column:
-    matches = F.regexp_extract_all(F.col("_n"), rule["pattern"], F.lit(0))
-    at = starts(matches, F.split(F.col("_n"), rule["pattern"], -1))
-    return F.transform(matches, lambda m, i: F.struct(
-        F.get(at, i).alias("start"), (F.get(at, i) + F.length(m)).alias("end"), rule["priority"].alias("priority"),
-        rule["rule"].alias("rule"), rule["label"].alias("label")))
+    found = F.regexp_extract_all(F.col("_n"), rule["pattern"], F.lit(0))
+    between = F.split(F.col("_n"), rule["pattern"], -1)
+
+    def detection(m: Column, start: Column) -> Column:
+        return F.struct(start.alias("start"), (start + F.length(m)).alias("end"), rule["priority"].alias("priority"),
+                        rule["rule"].alias("rule"), rule["label"].alias("label"))
+
+    return let(found, lambda ms: F.zip_with(ms, starts(ms, between), detection))
 
 
 def _hides(e: Column, d: Column) -> Column:

@@ -6,12 +6,23 @@ non-overlapping scan; running sums of their lengths are the offsets.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once: a lambda's variable, where a column would be inlined."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def running_sums(x: Column) -> Column:
     """Inclusive running sums of an array of longs, in blocks of about the square root of its size."""
+    return let(x, _running_sums)
+
+
+def _running_sums(x: Column) -> Column:
     size = F.size(x)
     width = F.greatest(F.ceil(F.sqrt(size)).cast("int"), F.lit(1))
     zero = F.array(F.lit(0).cast("long"))
@@ -37,5 +48,8 @@ def find_all(text: Column, pattern: str, gate: str | None = None) -> tuple[Colum
 
 def starts(matches: Column, between: Column) -> Column:
     """Start offsets of the matches that ``find_all`` gave."""
-    steps = F.transform(matches, lambda m, i: (F.length(F.get(between, i)) + F.coalesce(F.length(F.get(matches, i - 1)), F.lit(0))).cast("long"))
-    return running_sums(steps)
+
+    def steps(m: Column, b: Column) -> Column:
+        return F.transform(m, lambda x, i: (F.length(F.get(b, i)) + F.coalesce(F.length(F.get(m, i - 1)), F.lit(0))).cast("long"))
+
+    return let(matches, lambda m: let(between, lambda b: running_sums(steps(m, b))))
