@@ -6,6 +6,13 @@ raised, if the budget would repeat a source more often than allowed, until it do
 bisection is one aggregate over the sources for 16 exponents at once, so four halvings cost one job and
 only sums reach the driver.
 
+Without a budget the mix is the largest one that meets an entropy and uses no source more often than
+allowed: every source gives all it may, up to a level that is the same for all (for any size of the mix
+that gives the greatest entropy), and the level is bisected in the same way. So a source that is small
+gives everything it has and doesn't limit what others give. The entropy to meet is the target's part of the
+greatest one of mixes of ``LEAST_SIZE`` or more of what may be used: sources too small to weigh in such a mix,
+however many, do not ask for a smaller one.
+
 Weights become documents by budgeted block permutations: the documents of a source are dealt by hash to
 blocks of about ``block_tokens`` tokens, the blocks stand in a hashed order, and so do the documents in a
 block. A source whose budget holds its tokens e times in full gives every document e copies, and those
@@ -27,6 +34,7 @@ from pyspark.sql import functions as F
 from .common import blank_if_null, read_table, stage, with_row_id
 
 SECTIONS, ROUNDS = 16, 8     # together 32 halvings
+LEAST_SIZE = 0.5
 MOST_BLOCKS = 4096
 SALTS = 64
 NULL_SOURCE = "\0null"
@@ -42,36 +50,61 @@ def _at(shares: DataFrame, exponents: list[float]) -> list[tuple[float, float, f
     return [(r[f"z{k}"], math.log(r[f"z{k}"]) - a * r[f"e{k}"] / r[f"z{k}"], r[f"m{k}"] / r[f"z{k}"]) for k, a in enumerate(exponents)]
 
 
-def _least(shares: DataFrame, fits, low: float) -> float:
-    """The point of [low, 1] from which on ``fits`` holds, by bisection; 1 if it never does."""
+def _cut(shares: DataFrame, levels: list[float], max_repeat: float) -> list[tuple[float, float]]:
+    """For each level: the size of the mix that is cut there, in shares of the table, and its entropy."""
+    cols = []
+    for k, most in enumerate(levels):
+        u = F.least(F.col("p") * F.lit(max_repeat), F.lit(most))
+        cols += [F.sum(u).alias(f"u{k}"), F.sum(u * F.log(u)).alias(f"e{k}")]
+    r = shares.agg(*cols).first()
+    return [(r[f"u{k}"], math.log(r[f"u{k}"]) - r[f"e{k}"] / r[f"u{k}"]) for k in range(len(levels))]
+
+
+def _least(at, fits, low: float) -> float:
+    """The point of [low, 1] from which on ``fits`` holds for what ``at`` gives, by bisection; 1 if it never does."""
     high = 1.0
     for _ in range(ROUNDS):
         grid = [low + (high - low) * k / SECTIONS for k in range(SECTIONS + 1)]
-        first = next((k for k, x in enumerate(_at(shares, grid)) if fits(x)), SECTIONS)
+        first = next((k for k, x in enumerate(at(grid)) if fits(x)), SECTIONS)
         if first == 0:
             return grid[0]
         low, high = grid[first - 1], grid[first]
     return high
 
 
-def exponent(shares: DataFrame, target_entropy: float, repeat: float, max_repeat: float) -> tuple[float, float]:
-    """(exponent, largest weight per share) for sources with shares ``p`` above 0.
+def exponent(shares: DataFrame, target_entropy: float, repeat: float, max_repeat: float) -> float:
+    """The exponent for sources with shares ``p`` above 0.
 
     target_entropy: the part of the largest possible entropy that the weights may have at most; a mix
-    that is naturally above it stays. repeat: budget over tokens, 0 for a budget that follows from the mix.
+    that is naturally above it stays. repeat: budget over tokens.
     """
     most = target_entropy * math.log(max(1, shares.count()))
-    a = _least(shares, lambda x: x[1] <= most + 1e-12, 0.0)
-    if repeat:
-        a = _least(shares, lambda x: x[2] * repeat <= max_repeat + 1e-9, a)
-    return a, _at(shares, [a])[0][2]
+    a = _least(lambda grid: _at(shares, grid), lambda x: x[1] <= most + 1e-12, 0.0)
+    return _least(lambda grid: _at(shares, grid), lambda x: x[2] * repeat <= max_repeat + 1e-9, a)
+
+
+def level(shares: DataFrame, target_entropy: float, max_repeat: float) -> float:
+    """The level, as a share of the table, of the largest mix whose entropy meets the target."""
+    top, bottom = shares.agg(F.max("p"), F.min("p")).first()
+    down = math.log(bottom / top)   # from the largest source (nothing is cut) to the smallest (all alike)
+
+    def height(x: float) -> float:
+        return top * max_repeat * math.exp(down * x)
+
+    def cut(grid: list[float]) -> list[tuple[float, float]]:
+        return _cut(shares, [height(x) for x in grid], max_repeat)
+
+    small = _least(cut, lambda x: x[0] <= LEAST_SIZE * max_repeat, 0.0)
+    least = target_entropy * cut([small])[0][1]
+    return height(_least(cut, lambda x: x[1] >= least - 1e-12, 0.0))
 
 
 def mix(docs: DataFrame, row: str, target_entropy: float = 0.95, max_repeat: float = 2.0, budget: float | None = 1.0,
         block_tokens: int = 1 << 16, id: str = "doc_id", source: str = "source", text: str = "text", seed: int = 11) -> DataFrame:
     """(row, id, source, n_tokens, exponent, weight, block_rank, position, copies), a row per document.
 
-    ``budget``: tokens of the mix over tokens of the table; None for as many as ``max_repeat`` allows.
+    ``budget``: tokens of the mix over tokens of the table; None for as many as ``max_repeat`` and the
+    entropy allow: the exponent is then 1 if the natural mix stands, or else 0, as sources are cut at a level.
     ``row`` is a column of distinct longs. Sorting by (block_rank, position) gives a source's permutation.
     """
     rows = docs.select(F.col(row).alias("r"), F.col(id).alias("id"), F.coalesce(F.col(source).cast("string"), F.lit(NULL_SOURCE)).alias("s"),
@@ -80,10 +113,16 @@ def mix(docs: DataFrame, row: str, target_entropy: float = 0.95, max_repeat: flo
     sums = stage(rows.groupBy("s").agg(F.sum("n").alias("tokens")), "mix-sources")
     total = sums.agg(F.sum("tokens")).first()[0] or 0
     shares = sums.where("tokens > 0").select("s", "tokens", (F.col("tokens") / F.lit(float(max(total, 1)))).alias("p"))
-    a, steep = exponent(shares, target_entropy, budget or 0.0, max_repeat) if total else (1.0, 1.0)
-    norm = _at(shares, [a])[0][0] if total else 1.0
-    share_of_total = min(budget, max_repeat) if budget else max_repeat / steep
-    weighted = shares.withColumn("w", F.exp(F.log("p") * a) / norm)
+    if budget or not total:
+        a = exponent(shares, target_entropy, budget, max_repeat) if total else 1.0
+        norm = _at(shares, [a])[0][0] if total else 1.0
+        share_of_total = min(budget or 0.0, max_repeat)
+        weighted = shares.withColumn("w", F.exp(F.log("p") * a) / norm)
+    else:
+        most = level(shares, target_entropy, max_repeat)
+        share_of_total = _cut(shares, [most], max_repeat)[0][0]
+        a = 1.0 if shares.where(F.col("p") * F.lit(max_repeat) > F.lit(most)).isEmpty() else 0.0
+        weighted = shares.withColumn("w", F.least(F.col("p") * F.lit(max_repeat), F.lit(most)) / F.lit(share_of_total))
     # times the source is used: whole epochs, and tokens of the epoch begun
     weighted = weighted.withColumn("want", F.col("w") * F.lit(share_of_total * total)).withColumn("epochs", F.floor((F.col("want") + 0.5) / F.col("tokens")))
     weighted = weighted.withColumn("rest", F.greatest(F.lit(0.0), F.col("want") - F.col("epochs") * F.col("tokens")))

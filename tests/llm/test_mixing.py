@@ -60,6 +60,22 @@ def test_repetition_limit(spark):
     assert set(free.copies) == {0, 1} and (free[free.source == "small"].copies == 1).all()
 
 
+def test_tiny_sources_do_not_shrink_the_mix(spark):
+    sizes = {f"s{i}": 30 for i in range(20)} | {"hot": 300}
+    for tiny in ({}, {None: 1} | {f"t{i}": 1 for i in range(40)}):
+        got = mixing.mix(table(spark, sizes | tiny), "rid", target_entropy=0.95, max_repeat=1.0, budget=None).toPandas()
+        got["source"] = got.source.fillna("null")
+        tokens = got.groupby("source").n_tokens.sum()
+        used = got.assign(u=got.n_tokens * got.copies).groupby("source").u.sum()
+        assert got.copies.max() == 1 and 0.75 * tokens.sum() < used.sum()
+        # only the hot source is cut
+        assert (used == tokens)[used.index != "hot"].all() and used["hot"] < 0.75 * tokens["hot"]
+        q = used / used.sum()
+        assert abs(got.groupby("source").weight.first() - q).max() < 0.002
+        if not tiny:   # as far as the entropy asks for and no further, within a document
+            assert abs(-(q * q.map(math.log)).sum() / math.log(len(q)) - 0.95) < 0.002
+
+
 def test_blocks_are_permutations(spark):
     got = mixing.mix(table(spark, {"a": 300, "b": 90}), "rid", block_tokens=800).toPandas()
     for _, g in got.groupby("source"):
