@@ -45,14 +45,20 @@ def as_numpy(col: pa.Array) -> np.ndarray:
 
 
 def whole_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """The columns of sorted batches, cut so that no run of the first column is divided."""
+    """The columns of sorted batches, cut so that no run of the first column is divided.
+
+    A run holds lists of one length only; batches may differ.
+    """
     rest: list[np.ndarray] | None = None
     for batch in batches:
         cols = [as_numpy(c) for c in batch.columns]
-        if rest is not None:
-            cols = [np.concatenate(x) for x in zip(rest, cols)]
         if not len(cols[0]):
             continue
+        if rest is not None:
+            if all(r.shape[1:] == c.shape[1:] for r, c in zip(rest, cols)):
+                cols = [np.concatenate(x) for x in zip(rest, cols)]
+            else:
+                yield rest   # another length begins, so its run is over
         at = int(np.flatnonzero(cols[0] != cols[0][-1])[-1]) + 1 if cols[0][0] != cols[0][-1] else 0
         if at:
             yield [c[:at] for c in cols]

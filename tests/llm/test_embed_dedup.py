@@ -53,6 +53,17 @@ def test_edges(spark):
     assert ed.near_vectors(rows.limit(0)).count() == 0
 
 
+def test_vectors_of_several_lengths(spark):
+    rng = np.random.default_rng(9)
+    v = [x[:n] for n in (16, 5) for x in cluster_vectors()[:60]] + [rng.standard_normal(3).tolist() for _ in range(30)]
+    rows = spark.createDataFrame(list(enumerate(v)), "vec_id long, embedding array<double>").repartition(3)
+    links, comp = brute(range(len(v)), v)
+    for kw in ({}, {"chunk": 8, "per_bucket": 40}):
+        got = {r.vec_id: r for r in ed.near_vectors(rows, recall=0.9999, **kw).collect()}
+        assert [got[i].n_links for i in range(len(v))] == links
+        assert [got[i].component_id for i in range(len(v))] == comp
+
+
 def test_tables_reach_the_recall():
     for n in (10, 10_000, 10_000_000):
         planes, tables = ed.table_sizes(n, 0.9, 256, 0.98)
