@@ -47,6 +47,11 @@ def safe_div(num: Column, den: Column) -> Column:
 INPUT_SCALE = 10
 
 
+def decimal_sum(col, input_scale: int = INPUT_SCALE) -> Column:
+    """Exact sum of values as DECIMAL(28, input_scale), not rounded: for sums that are summed again."""
+    return F.sum(_col(col).cast(f"decimal(28,{input_scale})")).cast(f"decimal(28,{input_scale})")
+
+
 def money_sum(col, scale: int = 4, input_scale: int = INPUT_SCALE) -> Column:
     """Order-independent sum: values as DECIMAL(28, input_scale), the total rounded to `scale`.
 

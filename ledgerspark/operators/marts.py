@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.rules import (DUPLICATE_RATIO, FINDINGS,
-                                         OVERCHARGE_RATIO, exact_avg, ladder,
-                                         money_sum, round_decimal, safe_div)
+                                         OVERCHARGE_RATIO, decimal_sum,
+                                         exact_avg, ladder, money_sum, round_decimal, safe_div)
 
 AREA_MONTH = ["service_area", "period"]
 
@@ -149,11 +149,12 @@ def spend_rollup(invoices: DataFrame) -> DataFrame:
     """Billed and contracted sums and line counts per (area, month, vendor).
 
     It has the columns of an invoice table that sums by area, month or vendor
-    read, so B2-B6, B8 and B9 can take it in place of the lines.
+    read, so B2-B6, B8 and B9 can take it in place of the lines. The sums stay
+    DECIMALs of the input's digits: only the marts round.
     """
     return invoices.groupBy(*AREA_MONTH, "vendor").agg(
-        money_sum("billed_amount").alias("billed_amount"),
-        money_sum("contracted_rate").alias("contracted_rate"), F.count(F.lit(1)).alias("lines"))
+        decimal_sum("billed_amount").alias("billed_amount"),
+        decimal_sum("contracted_rate").alias("contracted_rate"), F.count(F.lit(1)).alias("lines"))
 
 
 def vendor_spend(invoices: DataFrame) -> DataFrame:

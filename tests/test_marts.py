@@ -146,3 +146,16 @@ def test_incident_volume_monthly_and_spend_trend_values(spark):
     assert wide.columns == ["period", "A", "B", "C"]
     got = {r.period: (r.A, r.B, r.C) for r in wide.collect()}
     assert got == {D1: (1.0, 2.0, None), D2: (3.0, None, None)}
+
+
+def test_fine_digits_outlast_the_staged_rollup(spark):
+    rows = [(f"i{k}", "c", "v", "A", dt.date(1950 + k // 12, k % 12 + 1, 1), 0.00003, 0.00004, "Active", "none") for k in range(1000)]
+    inv = invoices(spark, rows)
+    spend = M.spend_rollup(inv)
+    assert spend.count() == 1000
+    budget = spark.createDataFrame([("A", 1.0)], "service_area string, annual_budget double")
+    for source in (inv, spend):
+        assert M.vendor_spend(source).first().total_spend == 0.04
+        assert M.budget_variance(source, budget).first().actual_spend == 0.04
+    one = M.vendor_spend(spend.withColumn("billed_amount", F.col("contracted_rate"))).first()
+    assert (one.total_spend, one.invoice_lines) == (0.03, 1000)
