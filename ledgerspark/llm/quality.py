@@ -122,12 +122,17 @@ class Model:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, most: int, id: str, text: str, label: str) -> DataFrame:
-    """(id, y, text) of at most ``most`` labelled rows that have a document, in hash order."""
+    """(id, y, text) of at most ``most`` labelled ids that have a document, in hash order; a row each.
+
+    Of the rows of a repeated id the one whose text has the least hash counts.
+    """
     known = labels.where(F.col(label).isNotNull() & F.col(id).isNotNull()).groupBy(F.col(id).alias("k")).agg(F.min(F.col(label)).alias("y"))
     chosen = known.orderBy(F.xxhash64("k"), "k").limit(most)
     rows = docs.select(F.col(id).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     # at most `most` ids: small enough to send to every task by construction
-    return rows.join(F.broadcast(chosen), "k")
+    rows = rows.join(F.broadcast(chosen), "k")
+    # combined before the shuffle: an id that many rows have is no hot key
+    return rows.groupBy("k", "y").agg(F.min_by("text", F.struct(F.xxhash64("text"), F.xxhash64(F.lit(1), "text"))).alias("text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELS, rank: int = RANK, id: str = "doc_id",

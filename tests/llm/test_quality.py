@@ -49,6 +49,13 @@ def test_sample_is_bounded_and_repeatable(spark, docs_of):
     assert len(a.labels) == 20 and np.array_equal(a.vectors, b.vectors)
 
 
+def test_a_repeated_id_is_one_row_of_the_sample(spark, docs_of):
+    docs = docs_of(GOOD + BAD + [f"{t} again" for t in BAD] * 3, ids=[*range(60), *[7] * 90])
+    labels = spark.createDataFrame([(i, int(i < 30)) for i in range(60)], "doc_id long, quality int")
+    a, b = (quality.fit(docs.repartition(n), labels) for n in (1, 5))
+    assert len(a.labels) == 60 and np.array_equal(a.vectors, b.vectors)
+
+
 def test_held_out(spark):
     sf = "/root/testdata/sf0.01"
     got = quality.query(spark, sf).toPandas().merge(spark.read.parquet(f"{sf}/labels.parquet").toPandas(), on="doc_id")
