@@ -4,8 +4,10 @@ Each kind's pattern gives its leftmost non-overlapping matches; those that fail
 dropped. The base kinds always stay. Besides them, ``token`` candidates (long runs with letters and
 digits that touch no base span) are decided by the corpus: the hash of every candidate's value is
 aggregated to its distinct repositories and owners. A value that one owner alone has is ``live``; one
-that ``wide`` owners or more have is an ``example``, copied about; the rest is ``shared``. Tokens are
-reported only if live. Values never leave the scan, only their hashes.
+that ``wide`` owners or more have is an ``example``, copied about; the rest is ``shared``. With ``many``,
+a value that so many repositories have is not ``live`` even if they are one owner's, but ``shared``: a
+placeholder of one hot owner. Tokens are reported only if live, so placeholders are left alone; base kinds
+are reported still. The query judges by owners alone, as its SQL does. Values never leave the scan, only their hashes.
 
 The scan is one pass per row; texts do not move. What is staged and shuffled is one row per document
 without its text and one per candidate. Distinct counts combine before the shuffle, so a value that a
@@ -33,6 +35,7 @@ KINDS = {
 }
 BASE = ("assign", "access", "hex")
 WIDE = 3
+MANY = 100     # repositories
 
 
 def _kind(name: str, order: int) -> Column:
@@ -66,10 +69,11 @@ def candidates(docs: DataFrame, keep: list[str], text: str = "text") -> DataFram
     return out.select(*keep, F.array_sort(F.concat("_base", free)).alias("found"))
 
 
-def scan(docs: DataFrame, row: str, owner: str, repo: str, text: str = "text", wide: int = WIDE, carry: tuple[str, ...] = ()) -> DataFrame:
+def scan(docs: DataFrame, row: str, owner: str, repo: str, text: str = "text", wide: int = WIDE, carry: tuple[str, ...] = (),
+         many: int | None = None) -> DataFrame:
     """(row, carried columns, spans): each span has start, kind, end, owners, repos, verdict.
 
-    ``row`` is a column of distinct longs.
+    ``row`` is a column of distinct longs. ``many``: None where repositories don't count.
     """
     own = docs.withColumn("_owner", F.col(owner).cast("string")).withColumn("_repo", F.col(repo).cast("string"))
     rows = stage(candidates(own, [row, *carry, "_owner", "_repo"], text), "secrets")
@@ -77,7 +81,8 @@ def scan(docs: DataFrame, row: str, owner: str, repo: str, text: str = "text", w
     nulls = F.lit("\0null")
     spread = each.groupBy("hash").agg(F.count_distinct(F.coalesce("_owner", nulls)).alias("owners"),
                                       F.count_distinct(F.coalesce("_repo", nulls)).alias("repos"))
-    verdict = F.when(F.col("owners") == 1, "live").when(F.col("owners") >= wide, "example").otherwise("shared")
+    few = F.lit(True) if many is None else F.col("repos") < many
+    verdict = F.when((F.col("owners") == 1) & few, "live").when(F.col("owners") >= wide, "example").otherwise("shared")
     judged = each.join(spread, "hash").withColumn("verdict", verdict)
     judged = judged.where((F.col("kind") < len(BASE)) | (F.col("verdict") == "live"))
     name = F.element_at(F.array(*map(F.lit, KINDS)), F.col("kind") + 1)
@@ -92,9 +97,9 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["name"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def redact(docs: DataFrame, owner: str, repo: str, row: str, text: str = "text", wide: int = WIDE) -> DataFrame:
+def redact(docs: DataFrame, owner: str, repo: str, row: str, text: str = "text", wide: int = WIDE, many: int | None = MANY) -> DataFrame:
     """``docs`` with every span but widely copied examples replaced by [SECRET]."""
-    spans = scan(docs, row, owner, repo, text, wide).select(F.col(row).alias("_r"), F.filter("spans", lambda s: s["verdict"] != "example").alias("_cut"))
+    spans = scan(docs, row, owner, repo, text, wide, many=many).select(F.col(row).alias("_r"), F.filter("spans", lambda s: s["verdict"] != "example").alias("_cut"))
     spans = spans.where(F.size("_cut") > 0)
     body = F.col(text)
     state = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))

@@ -56,6 +56,19 @@ def test_ownership(spark, docs_of):
     assert cut[4] == "mine [SECRET] [SECRET]" and cut[0] == f"key {copied} {spread}" and cut[None] is None
 
 
+def test_a_placeholder_of_one_hot_source_is_no_credential(spark, docs_of):
+    holder, key, own = "Ab3" * 8, "AKIA" + "7" * 16, "Xy9" * 8
+    texts = [f"put {holder} here {key}"] * secrets.MANY + [f"put {holder} here", f"mine {own}", f"again {own}"]
+    keyed = stage(with_row_id(docs_of(texts, sources=["hot"] * len(texts)).drop("rid")), "test")
+    cut = {r.doc_id: r.text for r in secrets.redact(keyed, "source", "doc_id", "rid").collect()}
+    n = secrets.MANY
+    # the token is left alone, a key of a known kind goes however often it stands
+    assert {cut[i] for i in range(n)} == {f"put {holder} here [SECRET]"} and cut[n] == texts[n]
+    assert (cut[n + 1], cut[n + 2]) == ("mine [SECRET]", "again [SECRET]")
+    spans = secrets.scan(keyed, "rid", "source", "doc_id", many=n).select(F.explode("spans").alias("s")).select("s.*").collect()
+    assert {(s.name, s.repos, s.verdict) for s in spans} == {("access", n, "shared"), ("token", 2, "live")}
+
+
 def test_redaction_of_overlaps(spark, docs_of):
     rows = stage(with_row_id(docs_of(["é token=0123456789abcdef0123456789abcdef end", "é plain"]).drop("rid")), "test")
     assert [r.text for r in secrets.redact(rows, "source", "doc_id", "rid").orderBy("doc_id").collect()] == ["é [SECRET] end", "é plain"]
