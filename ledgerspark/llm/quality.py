@@ -1,9 +1,11 @@
 """Quality by nearest-neighbour voting in a latent-semantic space (operator 3).
 
-Terms describe how a text is written, not what it says: every run of lower case, capitals, digits or
+Terms describe how a text is written and what it says. How: every run of lower case, capitals, digits or
 white space counts as one symbol, each punctuation mark as itself; terms are the runs of 1 to 3 symbols
-(hashed), and, for words, whether each repeats the word before it or any earlier one. Weights are the
-square root of a term's share times its inverse document frequency among the labelled sample.
+(hashed), and, for words, whether each repeats the word before it or any earlier one. What: the words
+(hashed), and the pairs of neighbouring non-ASCII characters, for scripts without spaces. Weights are the
+square root of a term's share times its inverse document frequency among the labelled sample; what a text
+says counts ``SAYS`` times as much as how.
 
 Fitting takes at most ``most_labels`` labelled rows (in the order of a hash of their id, so the same
 rows at any partitioning). Their sparse vectors, bounded by that number, go to the driver, where a
@@ -30,7 +32,9 @@ from pyspark.sql import types as T
 
 from .common import id_mod, read_table
 
-DIMS = 2048          # hashed terms; the last four hold the word terms
+DIMS = 2048          # hashed terms of how a text is written; the last four hold the repeats of words
+WORDS = 2048         # hashed words and characters, behind them
+SAYS = 0.5
 MOST_LABELS = 6000   # the bound of the labelled sample
 RANK = 32
 NEIGHBOURS = 25
@@ -52,7 +56,7 @@ SYMBOL = _symbols()
 def term_counts(text: str) -> np.ndarray:
     """Counts of the hashed terms of one text."""
     raw = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
-    out = np.zeros(DIMS)
+    out = np.zeros(DIMS + WORDS)
     if not len(raw):
         return out
     sym = SYMBOL[raw]
@@ -63,7 +67,7 @@ def term_counts(text: str) -> np.ndarray:
     three = two[:-1] * np.uint32(211) + s[2:]
     terms = np.concatenate([s, two + np.uint32(1 << 20), three + np.uint32(1 << 26)])
     terms = (terms * np.uint32(2654435761)) >> np.uint32(7)
-    out += np.bincount(terms % np.uint32(DIMS - 4), minlength=DIMS)
+    out += np.bincount(terms % np.uint32(DIMS - 4), minlength=DIMS + WORDS)
     # words: polynomial hashes of runs between white space
     white = (sym == 4) | (sym == 5)
     ends = np.flatnonzero(np.append(white, True) & np.insert(~white, 0, False))
@@ -78,9 +82,19 @@ def term_counts(text: str) -> np.ndarray:
         out[DIMS - 3] = len(words) - 1 - same.sum()
         out[DIMS - 2] = len(words) - first
         out[DIMS - 1] = first
+        out[DIMS:] += np.bincount(_word_dim(words), minlength=WORDS)
+    if raw.max() >= 128:
+        points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
+        both = (points[:-1] >= 128) & (points[1:] >= 128)
+        out[DIMS:] += np.bincount(_word_dim((points[:-1] * MULTIPLIER + points[1:])[both]), minlength=WORDS)
     return out
 
 
+def _word_dim(hashes: np.ndarray) -> np.ndarray:
+    mixed = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((mixed >> np.uint64(32)) % np.uint64(WORDS)).astype(np.int64)
+
+
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(MULTIPLIER), -1, 1 << 64))
 
@@ -90,17 +104,18 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 def term_shares(text: str | None) -> np.ndarray:
-    """Square roots of the shares: those of the symbols' terms and of the words' terms."""
+    """Square roots of the shares: those of the symbols' terms, of the words' repeats and of the words."""
     counts = term_counts(text or "")
-    marks, words = counts[:DIMS - 4], counts[DIMS - 4:]
-    return np.sqrt(np.concatenate([marks / max(1.0, marks.sum()), words / max(1.0, words.sum())])).astype(np.float32)
+    marks, repeats, words = counts[:DIMS - 4], counts[DIMS - 4:DIMS], counts[DIMS:]
+    shares = [marks / max(1.0, marks.sum()), repeats / max(1.0, repeats.sum()), words * SAYS ** 2 / max(1.0, words.sum())]
+    return np.sqrt(np.concatenate(shares)).astype(np.float32)
 
 
 @dataclass
 class Model:
     """What scoring needs: arrays whose size the bounds above limit."""
 
-    weights: np.ndarray   # DIMS x rank: inverse document frequencies, then the latent directions
+    weights: np.ndarray   # (DIMS + WORDS) x rank: inverse document frequencies, then the latent directions
     vectors: np.ndarray   # labelled x rank, of length one
     labels: np.ndarray
     prior: float          # mean label of texts without a direction
@@ -155,15 +170,15 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELS, rank: int =
 
 def fit_vectors(at: list, values: list, y: np.ndarray, rank: int, seed: int) -> Model:
     if not len(y):
-        return Model(np.zeros((DIMS, rank), np.float32), np.zeros((0, rank), np.float32), y, 0.5)
-    x = np.zeros((len(y), DIMS), np.float32)
+        return Model(np.zeros((DIMS + WORDS, rank), np.float32), np.zeros((0, rank), np.float32), y, 0.5)
+    x = np.zeros((len(y), DIMS + WORDS), np.float32)
     for row, i, v in zip(x, at, values):
         row[i] = v
     idf = np.log1p(len(y) / (1.0 + (x > 0).sum(axis=0))).astype(np.float32)
     x *= idf
     # randomised range finder with power iterations, then an exact SVD of the small rest
     rng = np.random.default_rng(seed)
-    basis = np.linalg.qr(x @ rng.standard_normal((DIMS, rank + 16)).astype(np.float32))[0]
+    basis = np.linalg.qr(x @ rng.standard_normal((DIMS + WORDS, rank + 16)).astype(np.float32))[0]
     for _ in range(4):
         basis = np.linalg.qr(x @ (x.T @ basis))[0]
     directions = np.linalg.svd(basis.T @ x, full_matrices=False)[2][:rank]

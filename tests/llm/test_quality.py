@@ -49,6 +49,17 @@ def test_sample_is_bounded_and_repeatable(spark, docs_of):
     assert len(a.labels) == 20 and np.array_equal(a.vectors, b.vectors)
 
 
+def test_words_count():
+    rng = np.random.default_rng(5)
+    plain, spam = "river stone cloud garden winter letter window".split(), "casino jackpot winner credit lottery prizes bonus".split()
+    han = [[chr(0x4E00 + 40 * k + i) for i in range(40)] for k in (0, 1)]
+    for kinds, glue in (((plain, spam), " "), (han, "")):   # the same form, other words; a script without spaces
+        texts = [glue.join(rng.choice(kinds[k], 60)) for _ in range(40) for k in (0, 1)]
+        m = model_of(texts, [1, 0] * 40)
+        got = m.score(np.stack([quality.term_shares(glue.join(rng.choice(k, 60))) for k in kinds]), 7)
+        assert got[0] > 0.9 and got[1] < 0.1
+
+
 def test_a_repeated_id_is_one_row_of_the_sample(spark, docs_of):
     docs = docs_of(GOOD + BAD + [f"{t} again" for t in BAD] * 3, ids=[*range(60), *[7] * 90])
     labels = spark.createDataFrame([(i, int(i < 30)) for i in range(60)], "doc_id long, quality int")
