@@ -1,6 +1,8 @@
 """Document fingerprints by Order MinHash (operator 4). DataFrame functions only.
 
-A text's k-mers are its runs of two neighbouring words (a text of one word has that word). The o-th
+A text's k-mers are its runs of two neighbouring words (a text of one word has that word). A word of more
+than ``LONG_WORD`` characters, as in scripts without spaces, gives way to its overlapping runs of
+``CHARS`` characters, so that an edit changes only the few that hold it. The o-th
 occurrence of a k-mer is an element of its own: the pair (k-mer, o) is hashed once. The leading bits of
 the hash say which of 32 sketches the element belongs to (one permutation split into bins, in place of
 32 permutations of all elements). A sketch keeps its two minimal elements and hashes them as a tuple in
@@ -11,7 +13,8 @@ The likeness of two fingerprints is the part of the sketches that agree among th
 two fingerprints without any sketch (no words) have likeness 1. Equal texts have equal fingerprints.
 
 All work on a text happens in array expressions of its row: O(n log n) in its words, no explode. Nulls
-are empty texts. Texts may be of any length up to 2^26 words without k-mers trading places.
+are empty texts. Texts may be of any length up to 2^26 words (or characters of long ones) without k-mers
+trading places.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from pyspark.sql import functions as F
 from .common import blank_if_null, read_table
 
 SKETCH_BITS = 5
+LONG_WORD, CHARS = 32, 6
 PLACE = (1 << 26) - 1      # low bits of an element: where it stands
 ROWS_PER_RANGE, MOST_RANGES = 1000, 16384
 
@@ -42,6 +46,11 @@ def fingerprints(df: DataFrame, text: str = "text", out: str = "codes") -> DataF
     """Add ``out``: array<bigint>, one code per filled sketch (its number in the leading bits)."""
     rest = df.columns
     df = df.withColumn("_words", F.regexp_extract_all(blank_if_null(F.col(text)), F.lit(r"[^\s]+"), F.lit(0)))
+    def runs_of(w: Column) -> Column:   # a look-ahead has no width, so there is a match at every character
+        return F.when(F.length(w) <= LONG_WORD, F.array(w)).otherwise(F.regexp_extract_all(w, F.lit(rf"(?=([^\s]{{{CHARS}}}))"), F.lit(1)))
+
+    cut = F.when(F.exists("_words", lambda w: F.length(w) > LONG_WORD), F.flatten(F.transform("_words", runs_of))).otherwise(F.col("_words"))
+    df = df.withColumn("_words", cut)
     df = df.withColumn("_w", F.transform("_words", lambda w: F.xxhash64(w))).drop("_words")
     size = F.greatest(F.size("_w") - 1, F.least(F.size("_w"), F.lit(1)))
     df = df.withColumn("_k", F.sort_array(F.transform(F.slice("_w", F.lit(1), size), lambda h, i: _hash_bits(

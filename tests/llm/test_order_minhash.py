@@ -1,6 +1,7 @@
 """Order MinHash: a plain reimplementation, the edited texts, sensitivity to order, edges."""
 
 import hashlib
+import random
 
 import xxhash
 from pyspark.sql import functions as F
@@ -52,6 +53,15 @@ def test_order_and_likeness(spark):
     assert swapped < 0.8     # the same k-mers but for one; what changed is their order
 
 
+def test_unspaced_texts(spark):
+    rng = random.Random(4)
+    han, other = ("".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(800)) for _ in range(2))
+    pairs = [(han, han), (han, han[:400] + "\u4e00" + han[400:]), (han, han[:200] + han[201:]), (han, other), (han, han[400:] + han[:400]), ("a" * 32, "a" * 33)]
+    rows = om.fingerprints(om.fingerprints(spark.createDataFrame(pairs, "a string, b string"), "a", "x"), "b", "y")
+    same, grown, shorter, apart, swapped, _ = [r.l for r in rows.select(om.likeness(F.col("x"), F.col("y")).alias("l")).collect()]
+    assert same == 1 and grown > 0.7 and shorter > 0.7 and apart == 0 and swapped < 0.8
+
+
 def edited(texts):
     out = []
     for k, t in enumerate(texts):
