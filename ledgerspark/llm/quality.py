@@ -164,7 +164,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELS, rank: int =
 
     rows = labelled(docs, labels, most, id, text, label).select(F.col("k").cast("long").alias("k"), F.col("y").cast("int").alias("y"), "text")
     found = rows.mapInArrow(featurise, "k long, y int, at array<int>, v array<float>").toArrow().sort_by([("k", "ascending"), ("y", "ascending")])
-    return fit_vectors(found.column("at").to_pylist(), found.column("v").to_pylist(),
+    # arrays, not lists of Python numbers: words make rows longer
+    return fit_vectors([x.values.to_numpy() for x in found.column("at")], [x.values.to_numpy() for x in found.column("v")],
                        np.array(found.column("y").to_pylist(), dtype=np.float64), rank, seed)
 
 
