@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embed_dedup, langid, licenses, mixing, order_minhash, quality, secrets, simhash, suffix_dedup
+from . import bpe, embed_dedup, langid, licenses, merkle, mixing, order_minhash, quality, secrets, simhash, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": langid.query,
@@ -19,9 +19,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": simhash.query,
     "op9_mixing": mixing.query,
     "op10_licenses": licenses.query,
+    "op11_merkle": merkle.query,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_secrets": secrets.SQL,
     "op10_licenses": licenses.SQL,
+    "op11_merkle": merkle.SQL,
 }
