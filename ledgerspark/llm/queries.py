@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embed_dedup, langid, licenses, merkle, mixing, order_minhash, quality, secrets, simhash, suffix_dedup
+from . import bpe, embed_dedup, langid, licenses, merkle, mixing, order_minhash, quality, secrets, simhash, suffix_dedup, token_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": langid.query,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": mixing.query,
     "op10_licenses": licenses.query,
     "op11_merkle": merkle.query,
+    "op12_token_shards": token_shards.query,
 }
 
 ORACLE_SQL: dict[str, str] = {

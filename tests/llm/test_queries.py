@@ -28,7 +28,7 @@ def test_native_plans(spark, sf_small, n):
 
 
 def test_registered():
-    assert {k for k in queries() if k.startswith("op")} == set(QUERIES) and len(QUERIES) == 11
+    assert {k for k in queries() if k.startswith("op")} == set(QUERIES) and len(QUERIES) == 12
     assert "pipeline" in queries() and set(ORACLE_SQL) <= set(oracle_sql())
 
 
