@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embed_dedup, langid, licenses, merkle, mixing, order_minhash, quality, secrets, simhash, suffix_dedup, token_shards
+from . import bpe, divergence, embed_dedup, langid, licenses, merkle, mixing, order_minhash, quality, secrets, simhash, suffix_dedup, token_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": langid.query,
@@ -21,10 +21,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_licenses": licenses.query,
     "op11_merkle": merkle.query,
     "op12_token_shards": token_shards.query,
+    "op13_divergence": divergence.query,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_secrets": secrets.SQL,
     "op10_licenses": licenses.SQL,
     "op11_merkle": merkle.SQL,
+    "op13_divergence": divergence.SQL,
 }

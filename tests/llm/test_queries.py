@@ -15,7 +15,7 @@ from oracle_check import compare, duck
 @pytest.mark.parametrize("key", list(ORACLE_SQL))
 def test_sql_parity(spark, sf_small, key):
     r = compare(spark, key, sf_small, duck(sf_small))
-    assert r["status"] == "ok" and r["spark_rows"] == 200, r
+    assert r["status"] == "ok" and r["spark_rows"] > 0 and (key == "op13_divergence" or r["spark_rows"] == 200), r
 
 
 @pytest.mark.parametrize("n", [4, 5, 10])
@@ -28,7 +28,7 @@ def test_native_plans(spark, sf_small, n):
 
 
 def test_registered():
-    assert {k for k in queries() if k.startswith("op")} == set(QUERIES) and len(QUERIES) == 12
+    assert {k for k in queries() if k.startswith("op")} == set(QUERIES) and len(QUERIES) == 13
     assert "pipeline" in queries() and set(ORACLE_SQL) <= set(oracle_sql())
 
 
