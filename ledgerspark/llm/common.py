@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,6 +41,24 @@ def arrow_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, str(rows))
 
 
+def fresh(columns: Sequence[str], name: str) -> str:
+    """``name``, lengthened until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def hidden(df: DataFrame, *results: str) -> tuple[DataFrame, dict[str, str], list[Column]]:
+    """``df`` under names that no operator uses, those names, and its columns under their own names again.
+
+    A column named like one of ``results`` is not among the last: the result takes its place.
+    """
+    names = {c: f"__in{i}" for i, c in enumerate(df.columns)}
+    new = {r.lower() for r in results}
+    return df.toDF(*names.values()), names, [F.col(n).alias(c) for c, n in names.items() if c.lower() not in new]
+
+
 def with_row_id(df: DataFrame, name: str = "rid") -> DataFrame:
     """A distinct long for each row. Stable only once the rows are staged."""
     return df.withColumn(name, F.monotonically_increasing_id())

@@ -151,8 +151,8 @@ class Ranker:
 
 
 def predict(docs: DataFrame, profiles: dict[str, np.ndarray], text: str = "text", top: int = TOP) -> DataFrame:
-    """Replace ``text`` by lang_pred and score (1: every n-gram in its place)."""
-    rest = [c for c in docs.columns if c != text]
+    """Replace ``text``, and columns of these names, by lang_pred and score (1: every n-gram in its place)."""
+    rest = [c for c in docs.columns if c != text and c.lower() not in ("lang_pred", "score")]
     schema = T.StructType([*(docs.schema[c] for c in rest), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(profiles)   # languages x top numbers
 

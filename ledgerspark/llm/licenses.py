@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blank_if_null, read_table
+from .common import blank_if_null, hidden, read_table
 from .spans import let, starts
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -114,11 +114,12 @@ def _places(words: Column, phrase: str) -> Column:
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """Replace ``text`` by n_words, base (array of label, word index), found (detections that are left)."""
-    rest = [c for c in docs.columns if c != text]
-    lower = F.translate(blank_if_null(F.col(text)), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    out = docs.select(*rest, lower.alias("_t"))
+    docs, names, rest = hidden(docs, text, "n_words", "base", "found")
+    kept = [n for c, n in names.items() if c != text]
+    lower = F.translate(blank_if_null(F.col(names[text])), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    out = docs.select(*kept, lower.alias("_t"))
     none = F.array().cast("array<string>")
-    out = out.select(*rest, F.regexp_count("_t", F.lit(WORD)).cast("long").alias("n_words"),
+    out = out.select(*kept, F.regexp_count("_t", F.lit(WORD)).cast("long").alias("n_words"),
                      F.when(F.col("_t").rlike(GATE), F.regexp_extract_all("_t", F.lit(WORD), F.lit(0))).otherwise(none).alias("_w"))
     out = out.withColumn("_n", F.when(F.size("_w") > 0, F.concat(F.lit(" "), F.array_join("_w", " "), F.lit(" "))).otherwise(F.lit("")))
     base = F.concat(*(F.when(F.col("_n").contains(f" {p} "), _named(n, _places(F.col("_w"), p)))
@@ -131,7 +132,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     hits = F.flatten(F.transform("_near", _detections))
     out = out.withColumn("_hits", hits)
     left = F.filter("_hits", lambda d: ~F.exists("_hits", lambda e: _hides(e, d)))
-    return out.select(*rest, "n_words", F.col("_base").alias("base"), left.alias("found"))
+    return out.withColumn("_left", left).select(*rest, "n_words", F.col("_base").alias("base"), F.col("_left").alias("found"))
 
 
 def _named(label: str, places: Column) -> Column:

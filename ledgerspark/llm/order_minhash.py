@@ -14,7 +14,7 @@ two fingerprints without any sketch (no words) have likeness 1. Equal texts have
 
 All work on a text happens in array expressions of its row: O(n log n) in its words, no explode. Nulls
 are empty texts. Texts may be of any length up to 2^26 words (or characters of long ones) without k-mers
-trading places.
+trading places. A column of the input named like the result gives way to it; other columns stay as they are.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import blank_if_null, read_table
+from .common import blank_if_null, hidden, read_table
 
 SKETCH_BITS = 5
 LONG_WORD, CHARS = 32, 6
@@ -44,8 +44,9 @@ def _sketch(x: Column) -> Column:
 
 def fingerprints(df: DataFrame, text: str = "text", out: str = "codes") -> DataFrame:
     """Add ``out``: array<bigint>, one code per filled sketch (its number in the leading bits)."""
-    rest = df.columns
-    df = df.withColumn("_words", F.regexp_extract_all(blank_if_null(F.col(text)), F.lit(r"[^\s]+"), F.lit(0)))
+    df, names, rest = hidden(df, out)
+    df = df.withColumn("_words", F.regexp_extract_all(blank_if_null(F.col(names[text])), F.lit(r"[^\s]+"), F.lit(0)))
+
     def runs_of(w: Column) -> Column:   # a look-ahead has no width, so there is a match at every character
         return F.when(F.length(w) <= LONG_WORD, F.array(w)).otherwise(F.regexp_extract_all(w, F.lit(rf"(?=([^\s]{{{CHARS}}}))"), F.lit(1)))
 
@@ -78,7 +79,8 @@ def fingerprints(df: DataFrame, text: str = "text", out: str = "codes") -> DataF
         kept = F.shiftrightunsigned(F.shiftleft(tuple_hash, SKETCH_BITS), SKETCH_BITS).bitwiseOR(F.shiftleft(_sketch(x), 64 - SKETCH_BITS))
         return F.when((i == 0) | (_sketch(before) != _sketch(x)), kept)
 
-    return df.withColumn(out, F.filter(F.transform("_e", code), lambda c: c.isNotNull())).select(*rest, out)
+    df = df.withColumn("_codes", F.filter(F.transform("_e", code), lambda c: c.isNotNull()))
+    return df.select(*rest, F.col("_codes").alias(out))
 
 
 def likeness(a: Column, b: Column) -> Column:

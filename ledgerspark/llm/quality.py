@@ -142,8 +142,9 @@ def labelled(docs: DataFrame, labels: DataFrame, most: int, id: str, text: str,
     Of the rows of a repeated id the one whose text has the least hash counts.
     """
     known = labels.where(F.col(label).isNotNull() & F.col(id).isNotNull()).groupBy(F.col(id).alias("k")).agg(F.min(F.col(label)).alias("y"))
-    chosen = known.orderBy(F.xxhash64("k"), "k").limit(most)
     rows = docs.select(F.col(id).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    # ids without a document go before the bound is drawn, so it counts rows to learn from
+    chosen = known.join(rows.select("k").distinct(), "k", "left_semi").orderBy(F.xxhash64("k"), "k").limit(most)
     # at most `most` ids: small enough to send to every task by construction
     rows = rows.join(F.broadcast(chosen), "k")
     # combined before the shuffle: an id that many rows have is no hot key
@@ -191,16 +192,19 @@ def fit_vectors(at: list, values: list, y: np.ndarray, rank: int, seed: int) ->
 
 
 def score(docs: DataFrame, model: Model, k: int = NEIGHBOURS, text: str = "text", out: str = "score", block: int = 256) -> DataFrame:
-    """Add ``out``: how likely label 1 is (0 to 1). All columns of ``docs`` stay."""
-    schema = T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType(), False)])
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    """Add ``out``: how likely label 1 is (0 to 1). All columns of ``docs`` stay but one that is named so."""
+    rest = [f for f in docs.schema.fields if f.name.lower() != out.lower()]
+    schema = T.StructType([*rest, T.StructField(out, T.DoubleType(), False)])
+    # arrays only: a broadcast names the classes it holds, which executors need not have
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.vectors, model.labels, model.prior))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ready = Model(*shared.value)
         for batch in batches:
-            scores = [shared.value.score(np.stack([term_shares(t.as_py()) for t in batch.column(text).slice(i, block)]), k)
+            scores = [ready.score(np.stack([term_shares(t.as_py()) for t in batch.column(text).slice(i, block)]), k)
                       for i in range(0, batch.num_rows, block)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(scores) if scores else [], pa.float64())],
-                                             names=[*batch.schema.names, out])
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in rest), pa.array(np.concatenate(scores) if scores else [], pa.float64())],
+                                             names=schema.names)
 
     return docs.mapInArrow(run, schema)
 

@@ -15,6 +15,7 @@ third of all rows hold is no hot key, and joining counts back is a join that ada
 
 A null text is empty; a null owner or repository counts as one owner or repository of its own. Rows map
 one to one, repeated ids included. Whole texts are read; offsets count code points, the end exclusive.
+Other columns stay as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blank_if_null, read_table, stage, with_row_id
+from .common import blank_if_null, fresh, hidden, read_table, stage, with_row_id
 from .spans import find_all, starts
 
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -57,7 +58,9 @@ def _kind(name: str, order: int) -> Column:
 
 def candidates(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` columns and ``found``: every base span and every token that touches none of them."""
-    out = docs.select(*keep, blank_if_null(F.col(text)).alias("_t"))
+    docs, names, back = hidden(docs.select(*keep, F.col(text).alias(fresh(keep, "_t"))))
+    *keep, body = names.values()
+    out = docs.select(*keep, blank_if_null(F.col(body)).alias("_t"))
     for name, (pattern, _, group) in KINDS.items():
         m, between = find_all(F.col("_t"), pattern)
         out = out.withColumns({f"{name}_m": m, f"{name}_p": between} | (
@@ -66,7 +69,8 @@ def candidates(docs: DataFrame, keep: list[str], text: str = "text") -> DataFram
     out = out.withColumns({f"{name}_x": _kind(name, i) for i, name in enumerate(KINDS)})
     out = out.withColumn("_base", F.concat(*(F.col(f"{n}_x") for n in BASE)))
     free = F.filter("token_x", lambda c: ~F.exists("_base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    return out.select(*keep, F.array_sort(F.concat("_base", free)).alias("found"))
+    out = out.withColumn("_found", F.array_sort(F.concat("_base", free)))
+    return out.select(*back[:-1], F.col("_found").alias("found"))
 
 
 def scan(docs: DataFrame, row: str, owner: str, repo: str, text: str = "text", wide: int = WIDE, carry: tuple[str, ...] = (),
@@ -99,17 +103,18 @@ def listed(spans: Column) -> Column:
 
 def redact(docs: DataFrame, owner: str, repo: str, row: str, text: str = "text", wide: int = WIDE, many: int | None = MANY) -> DataFrame:
     """``docs`` with every span but widely copied examples replaced by [SECRET]."""
-    spans = scan(docs, row, owner, repo, text, wide, many=many).select(F.col(row).alias("_r"), F.filter("spans", lambda s: s["verdict"] != "example").alias("_cut"))
-    spans = spans.where(F.size("_cut") > 0)
+    r, cut = fresh(docs.columns, "_r"), fresh(docs.columns, "_cut")
+    spans = scan(docs, row, owner, repo, text, wide, many=many).select(F.col(row).alias(r), F.filter("spans", lambda s: s["verdict"] != "example").alias(cut))
+    spans = spans.where(F.size(cut) > 0)
     body = F.col(text)
     state = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
     # overlapping spans: what lies before the end reached so far is gone already
-    rebuilt = F.aggregate("_cut", state, lambda acc, s: F.when(s["end"] <= acc["at"], acc).otherwise(F.struct(
+    rebuilt = F.aggregate(cut, state, lambda acc, s: F.when(s["end"] <= acc["at"], acc).otherwise(F.struct(
         s["end"].alias("at"), F.concat(acc["out"], F.when(s["start"] >= acc["at"], F.concat(_between(body, acc["at"], s["start"]), F.lit("[SECRET]")))
                                        .otherwise(F.lit(""))).alias("out"))),
         lambda acc: F.concat(acc["out"], _between(body, acc["at"], F.length(body))))
-    return docs.join(spans, F.col(row) == F.col("_r"), "left").withColumn(
-        text, F.when(F.col("_cut").isNull(), body).otherwise(rebuilt)).drop("_r", "_cut")
+    return docs.join(spans, F.col(row) == F.col(r), "left").withColumn(
+        text, F.when(F.col(cut).isNull(), body).otherwise(rebuilt)).drop(r, cut)
 
 
 def _between(text: Column, start: Column, end: Column) -> Column:

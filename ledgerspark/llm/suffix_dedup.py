@@ -41,7 +41,7 @@ LENGTH = 400
 SPAN = 200                 # start positions that share a suffix at first
 FINER = (5, 5, 8)          # each level divides them; together SPAN
 GRAM = 16                  # bytes hashed to choose suffixes
-PART = 1 << 23             # bytes of a text that are winnowed at once
+PART = 1 << 20             # bytes of a text that are winnowed at once
 SAMPLE_DOCS, SAMPLE_RECORDS = 2000, 100_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 RECORD = "lead long, core long, cover long, salt long, r long, at int"
@@ -178,7 +178,7 @@ def bucket_of(keys: list[np.ndarray], splitters: list[np.ndarray]) -> np.ndarray
 
 def sample_splitters(sample: DataFrame, buckets: int) -> list[np.ndarray]:
     """Cuts of the records' order into about equal buckets, from at most SAMPLE_RECORDS records."""
-    got = sample.select("lead", "core", "cover", "salt").limit(SAMPLE_RECORDS).toArrow()
+    got = sample.select("lead", "core", "cover", "salt").orderBy(F.xxhash64("salt")).limit(SAMPLE_RECORDS).toArrow()
     keys = [np.asarray(got.column(i).combine_chunks() if got.num_rows else [], np.int64).view(np.uint64) for i in range(4)]
     keys = [k[multikey_order(keys)] for k in keys] if got.num_rows else keys
     at = np.unique(np.arange(1, buckets) * got.num_rows // buckets) if got.num_rows else np.empty(0, int)
@@ -243,7 +243,9 @@ def bucketed(rows: DataFrame, key: str, buckets: int, name: str) -> DataFrame:
     table = f"llm_{name}_{uuid.uuid4().hex}"
     (rows.repartition(buckets, key).write.bucketBy(buckets, key).option("compression", "zstd")
      .option("path", f"{shared_folder(spark)}/{table}").saveAsTable(table))
-    return spark.table(table)
+    out = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")   # its entry in the catalogue only: the files are read from their folder
+    return out
 
 
 def covered(texts: DataFrame, length: int = LENGTH, span: int = SPAN, finer_by: tuple[int, ...] = FINER) -> DataFrame:
@@ -309,4 +311,5 @@ def dedup(docs: DataFrame, text: str = "text", carry: tuple[str, ...] = ("doc_id
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
+                      F.octet_length("kept").cast("long").alias("n_kept"), F.decode(F.col("kept"), F.lit("UTF-8")).alias("kept_text"))

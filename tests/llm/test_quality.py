@@ -73,3 +73,10 @@ def test_held_out(spark):
     held = got[got.held_out]
     assert (held.predicted == held.quality).mean() >= 0.95
     assert held[held.quality == 1].predicted.mean() >= 0.97
+
+
+def test_labels_of_other_rows_do_not_fill_the_bound(spark, docs_of):
+    docs = docs_of(GOOD + BAD)
+    own = spark.createDataFrame([(i, int(i < 30)) for i in range(60)], "doc_id long, quality int")
+    other = spark.range(1000, 601_000).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS quality")
+    assert len(quality.fit(docs, own.unionByName(other)).labels) == 60
