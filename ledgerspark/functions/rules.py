@@ -52,6 +52,22 @@ def decimal_sum(col, input_scale: int = INPUT_SCALE) -> Column:
     return F.sum(_col(col).cast(f"decimal(28,{input_scale})")).cast(f"decimal(28,{input_scale})")
 
 
+def line_count(df) -> Column:
+    """How many invoice lines: the rows of `df`, or the sum of the lines that its rows stand for."""
+    return F.coalesce(F.sum("lines"), F.lit(0)) if "lines" in df.columns else F.count(F.lit(1))
+
+
+def lines_where(df, condition: Column) -> Column:
+    """How many invoice lines meet `condition`, of lines or of rows that stand for some."""
+    n = F.col("lines") if "lines" in df.columns else F.lit(1)
+    return F.coalesce(F.sum(F.when(condition, n)), F.lit(0)).cast("long")
+
+
+def overbilled(df) -> Column:
+    """What lines bill above their contract, 0 where they bill less."""
+    return F.col("over") if "over" in df.columns else F.greatest(F.col("variance"), F.lit(0.0))
+
+
 def money_sum(col, scale: int = 4, input_scale: int = INPUT_SCALE) -> Column:
     """Order-independent sum: values as DECIMAL(28, input_scale), the total rounded to `scale`.
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.functions.rules import FINDINGS, money_sum, safe_div
+from ledgerspark.functions.rules import FINDINGS, money_sum, overbilled, safe_div
 
 GHOST, DUPLICATE, OVERCHARGE, OK = FINDINGS
 
@@ -21,7 +21,8 @@ STEPS = ("Contracted baseline", "Rate overcharges", "Duplicate charges", "Ghost
 
 
 def bridge_totals(audit: DataFrame, incidents: DataFrame) -> DataFrame:
-    finding, var = F.col("finding"), F.greatest(F.col("variance"), F.lit(0.0))
+    """The bridge's parts, one row. `audit` is the audit's lines or their cube."""
+    finding, var = F.col("finding"), overbilled(audit)
 
     def s(x):
         return F.coalesce(money_sum(x), F.lit(0.0))

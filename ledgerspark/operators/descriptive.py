@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerspark.functions.rules import FINDINGS, money_sum, safe_div
+from ledgerspark.functions.rules import FINDINGS, line_count, lines_where, money_sum, overbilled, safe_div
 from ledgerspark.functions.stats import average_rank
 
 GHOST, DUPLICATE, OVERCHARGE, OK = FINDINGS
@@ -21,12 +21,13 @@ def audit_headline(audit: DataFrame) -> DataFrame:
 
     recoverable = sum of positive variance over flagged lines + billed amount of
     ghost lines (ghost variance counts in both terms, as the reference does).
+    `audit` is the audit's lines or their cube.
     """
     flagged = F.col("finding") != OK
     agg = audit.agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.count_if(flagged).alias("flagged"),
-        F.coalesce(money_sum(F.when(flagged, F.greatest(F.col("variance"), F.lit(0.0)))),
+        line_count(audit).alias("lines"),
+        lines_where(audit, flagged).alias("flagged"),
+        F.coalesce(money_sum(F.when(flagged, overbilled(audit))),
                    F.lit(0.0)).alias("_pos_var"),
         F.coalesce(money_sum(F.when(F.col("finding") == GHOST, F.col("billed_amount"))),
                    F.lit(0.0)).alias("_ghost"))

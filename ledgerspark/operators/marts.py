@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from ledgerspark.functions.rules import (DUPLICATE_RATIO, FINDINGS,
                                          OVERCHARGE_RATIO, decimal_sum,
-                                         exact_avg, ladder, money_sum, round_decimal, safe_div)
+                                         exact_avg, ladder, line_count, money_sum,
+                                         round_decimal, safe_div)
 
 AREA_MONTH = ["service_area", "period"]
 
@@ -146,7 +147,7 @@ def gl_reconciliation(gl: DataFrame, invoices: DataFrame) -> DataFrame:
 
 
 def spend_rollup(invoices: DataFrame) -> DataFrame:
-    """Billed and contracted sums and line counts per (area, month, vendor).
+    """Billed and contracted sums and line counts per (area, month, vendor), of lines or their cube.
 
     It has the columns of an invoice table that sums by area, month or vendor
     read, so B2-B6, B8 and B9 can take it in place of the lines. The sums stay
@@ -154,14 +155,13 @@ def spend_rollup(invoices: DataFrame) -> DataFrame:
     """
     return invoices.groupBy(*AREA_MONTH, "vendor").agg(
         decimal_sum("billed_amount").alias("billed_amount"),
-        decimal_sum("contracted_rate").alias("contracted_rate"), F.count(F.lit(1)).alias("lines"))
+        decimal_sum("contracted_rate").alias("contracted_rate"), line_count(invoices).alias("lines"))
 
 
 def vendor_spend(invoices: DataFrame) -> DataFrame:
     """Total billed and lines per vendor, from lines or from `spend_rollup`."""
-    lines = F.sum("lines") if "lines" in invoices.columns else F.count(F.lit(1))
     return invoices.groupBy("vendor").agg(money_sum("billed_amount").alias("total_spend"),
-                                          lines.alias("invoice_lines"))
+                                          line_count(invoices).alias("invoice_lines"))
 
 
 def incident_volume(incidents: DataFrame, ts: str | None = None, unit: str = "week") -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.functions.rules import DECOMMISSIONED, EVAL_LABELS, FINDINGS, LABELS, ladder
+from ledgerspark.functions.rules import DECOMMISSIONED, EVAL_LABELS, FINDINGS, LABELS, ladder, line_count, lines_where, safe_div
 from ledgerspark.functions.text import dollars
 
 Classifier = Callable[[DataFrame], DataFrame]
@@ -70,8 +70,8 @@ def with_truth(classified: DataFrame, truth: DataFrame | None = None,
 
 
 def triage_confusion(df: DataFrame) -> DataFrame:
-    """H4: (truth, predicted, n); partial aggregation keeps the shuffle at <= 16 rows per task."""
-    return df.groupBy("truth", "predicted").agg(F.count(F.lit(1)).alias("n"))
+    """H4: (truth, predicted, n) of classified lines or their cube; at most 16 rows per task are shuffled."""
+    return df.groupBy("truth", "predicted").agg(line_count(df).alias("n"))
 
 
 def triage_eval(df: DataFrame, labels: Sequence[str] = EVAL_LABELS) -> DataFrame:
@@ -98,8 +98,9 @@ def triage_eval(df: DataFrame, labels: Sequence[str] = EVAL_LABELS) -> DataFrame
 
 def triage_accuracy(df: DataFrame) -> DataFrame:
     """H5: share of lines whose prediction equals the truth."""
-    return df.agg(F.avg((F.col("predicted") == F.col("truth")).cast("double")).alias("accuracy"),
-                  F.count(F.lit(1)).alias("lines"))
+    right = lines_where(df, F.col("predicted") == F.col("truth"))
+    n = line_count(df)
+    return df.agg(safe_div(right.cast("double"), n).alias("accuracy"), n.alias("lines"))
 
 
 def triage_sample(classified: DataFrame, n: int = 3, order: str = "invoice_id") -> DataFrame:

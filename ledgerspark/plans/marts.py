@@ -14,18 +14,21 @@ import hashlib
 import threading
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import replace
+from dataclasses import dataclass, replace
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from ledgerspark.operators import marts as M
+from ledgerspark.operators.cube import audit_cube
 from ledgerspark.schemas import VIEW_NAMES
 from ledgerspark.session import shared_folder
 from ledgerspark.sources.files import load_sources, raw_format
-from ledgerspark.sources.fixtures import budget_view, fixture_sources
+from ledgerspark.sources.fixtures import (budget_view, consumption_of, fixture_sources, invoices_of,
+                                          lines_view, telemetry_of)
 from ledgerspark.sources.model import Sources
-from ledgerspark.sources.sinks import read_mart, write_mart
+from ledgerspark.sources.sinks import read_mart, remove, write_mart
 
 MART_NAMES = ("fct_invoice_audit", "fct_service_area_monthly", "fct_budget_variance",
               "fct_vendor_scorecard")
@@ -47,65 +50,123 @@ def _once(build):
     return property(get)
 
 
+@dataclass
+class Feeds:
+    """Sources that come from one table of lines, so that it is joined and staged once.
+
+    `of` turns the staged lines into sources (invoices, telemetry and others);
+    `invoices` is the row-wise part of it, which a stream can use too.
+    """
+
+    lines: DataFrame
+    of: Callable[[DataFrame], dict]
+    invoices: Callable[[DataFrame], DataFrame]
+
+
 class MartSet:
     """Staged sources plus the four marts of one data set.
 
-    The invoice and incident sources (for the fixtures multi-way joins, plus
-    an id numbering for invoices), the consumption feed and the telemetry
-    monthly rollup are staged once, as concurrent jobs; every mart, the
-    bridge and every triage query then read the staged columns instead of
-    repeating the joins. `derive` rebuilds the sources that are themselves
-    functions of the invoices (the fixture budget) on top of the staged copy.
+    The invoice lines (partitioned by month, so that a month is read or
+    rewritten alone) and the incidents are staged first, side by side; then,
+    from the staged lines, the audit cube, the consumption feed and the
+    telemetry monthly rollup. The marts, the bridge, the headline, the checks
+    and the triage evaluation read the cube; only row-wise results read lines.
+    With `feeds` one staged table serves all sources made of lines. `derive`
+    rebuilds the sources that are functions of the invoices (the fixture
+    budget) from their spend rollup.
     """
 
     def __init__(self, spark: SparkSession, sources: Sources, store: str | None = None,
-                 derive: Callable[[DataFrame], dict] | None = None):
+                 derive: Callable[[DataFrame], dict] | None = None, feeds: Feeds | None = None):
         self.spark = spark
         self.raw = sources
         self.store = store
         self.derive = derive
-        self._guard, self._locks = threading.Lock(), {}
-        self.telemetry_rollup: DataFrame | None = None   # set when the sources are staged
+        self.feeds = feeds if store else None
+        self._guard, self._locks, self._kept = threading.Lock(), {}, {}
 
-    def _mat(self, name: str, df: DataFrame) -> DataFrame:
+    def _mat(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
         if self.store is None:
             return df
         path = f"{self.store}/{name}"
-        write_mart(df, path)
+        write_mart(df, path, partition_by)
         return read_mart(self.spark, path, df.schema)
 
+    def keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A small result that several queries share: built on first use, written beside the marts."""
+        with self._guard:
+            lock = self._locks.setdefault(f"keep-{name}", threading.RLock())
+        with lock:
+            if name not in self._kept:
+                self._kept[name] = self._mat(name, build())
+            return self._kept[name]
+
+    def cleanup(self) -> None:
+        """Remove everything that was written for this data set."""
+        if self.store is not None:
+            remove(self.spark, self.store)
+        with _CACHE_LOCK:
+            for key in [k for k, ms in _CACHE.items() if ms is self]:
+                del _CACHE[key]
+
+    @_once
+    def lines(self) -> tuple[DataFrame, DataFrame]:
+        """The staged lines and incidents: independent, so concurrent jobs of the same session."""
+        lines = self.feeds.lines if self.feeds else self.raw.invoices
+        got = _concurrently({"lines": lambda: self._mat("stg_lines", lines, ("period",)),
+                             # read by the scorecards, the bridge and the weekly volume: staged once
+                             "incidents": lambda: self._mat("stg_incidents", self.raw.incidents)})
+        return got["lines"], got["incidents"]
+
+    @_once
+    def fed(self) -> Sources:
+        lines, incidents = self.lines
+        over = self.feeds.of(lines) if self.feeds else {"invoices": lines}
+        return replace(self.raw, incidents=incidents, **over)
+
+    @_once
+    def rollups(self) -> dict[str, DataFrame]:
+        """What the staged lines are summed up to: the cube, the telemetry months, the consumption."""
+        fed = self.fed
+        todo = {"cube": lambda: self._mat("stg_cube", audit_cube(fed.invoices)),
+                "telemetry": lambda: self._mat("stg_telemetry_monthly", M.telemetry_monthly(fed.telemetry))}
+        if fed.consumption is not None:   # aggregated (area x unit): tiny, reused by E1-E6
+            todo["consumption"] = lambda: self._mat("stg_consumption", fed.consumption)
+        return _concurrently(todo)
+
+    @property
+    def cube(self) -> DataFrame:
+        """The audit cube: what reads no single line reads this."""
+        return self.rollups["cube"]
+
     @_once
     def src(self) -> Sources:
-        # Independent stagings run as concurrent Spark jobs of the same session.
-        todo = {"invoices": ("stg_invoices", self.raw.invoices),
-                # read by the scorecards, the bridge and the weekly volume: staged once
-                "incidents": ("stg_incidents", self.raw.incidents)}
-        if self.raw.consumption is not None:   # aggregated (area x unit): tiny, reused by E1-E6
-            todo["consumption"] = ("stg_consumption", self.raw.consumption)
-        # The telemetry rollup does not need the invoices: built in the same wave.
-        todo["_telemetry_rollup"] = ("stg_telemetry_monthly", M.telemetry_monthly(self.raw.telemetry))
-        over = _concurrently({k: (lambda n=n, d=d: self._mat(n, d)) for k, (n, d) in todo.items()})
-        self.telemetry_rollup = over.pop("_telemetry_rollup")
+        over = {k: v for k, v in self.rollups.items() if k == "consumption"}
         if self.derive:
-            over.update(self.derive(over["invoices"]))
-        return replace(self.raw, **over)
+            over.update(self.derive(self.spend))
+        return replace(self.fed, **over)
+
+    @property
+    def invoice_files(self) -> tuple[str, StructType, Callable[[DataFrame], DataFrame]]:
+        """Folder and schema of the staged lines, and what makes invoices of them: for streams over them."""
+        lines, _ = self.lines
+        return f"{self.store}/stg_lines", lines.schema, self.feeds.invoices if self.feeds else (lambda df: df)
 
     @_once
     def audit(self) -> DataFrame:
         # A narrow projection of the staged invoices: served as a view, so
         # the largest mart is not written a second time.
-        return M.invoice_audit(self.src.invoices)
+        return M.invoice_audit(self.fed.invoices)
 
     @_once
     def spend(self) -> DataFrame:
         """The invoice lines summed by area, month and vendor: what most marts read."""
-        return self._mat("stg_spend", M.spend_rollup(self.src.invoices))
+        return self._mat("stg_spend", M.spend_rollup(self.cube))
 
     @_once
     def sam(self) -> DataFrame:
-        src = self.src   # builds the staged sources and the telemetry rollup
         return self._mat("fct_service_area_monthly", M.service_area_monthly(
-            self.spend, src.incidents, telemetry_rollup=self.telemetry_rollup)).persist()
+            self.spend, self.fed.incidents, telemetry_rollup=self.rollups["telemetry"]))
 
     @_once
     def budget_variance(self) -> DataFrame:
@@ -114,7 +175,7 @@ class MartSet:
 
     @_once
     def vendor_scorecard(self) -> DataFrame:
-        return self._mat("fct_vendor_scorecard", M.vendor_scorecard(self.src.incidents,
+        return self._mat("fct_vendor_scorecard", M.vendor_scorecard(self.fed.incidents,
                                                                     self.spend))
 
     def all(self) -> dict[str, DataFrame]:
@@ -170,9 +231,12 @@ def _marts_for(spark: SparkSession, sf_dir: str, materialize: bool) -> MartSet:
         if fmt:   # a folder of raw tables in the source layout
             ms = _CACHE[key] = MartSet(spark, load_sources(spark, sf_dir, fmt), store)
             return ms
-        # Staged invoices are numbered in ordered buckets (a hot (order, line) pair is split
+        # Staged lines are numbered in ordered buckets (a hot (order, line) pair is split
         # over tasks); without a store the lazy, prunable window is kept.
-        ms = MartSet(spark, fixture_sources(spark, sf_dir, "split" if store else "window"), store,
-                     derive=lambda inv: {"budget": budget_view(inv)})
+        feeds = Feeds(lines_view(spark, sf_dir), lambda lines: {
+            "invoices": invoices_of(lines), "telemetry": telemetry_of(lines),
+            "consumption": consumption_of(spark, sf_dir, lines)}, invoices_of)
+        ms = MartSet(spark, fixture_sources(spark, sf_dir), store,
+                     derive=lambda spend: {"budget": budget_view(spend)}, feeds=feeds)
         _CACHE[key] = ms
     return ms

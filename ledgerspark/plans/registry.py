@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import hashlib
 import threading
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -102,7 +101,7 @@ def q_export_csv(spark, sf):
 
 def q_kpi_summary(spark, sf):
     ms = _ms(spark, sf)
-    k = C.kpi_summary(ms.audit, V.spc_deviation(ms.sam), ms.vendor_scorecard)
+    k = C.kpi_summary(ms.cube, V.spc_deviation(ms.sam), ms.vendor_scorecard)
     return k
 
 
@@ -156,7 +155,7 @@ def q_incident_volume(spark, sf):
 # ---- C: descriptive and deviation -------------------------------------------------
 
 def q_audit_headline(spark, sf):
-    return C.audit_headline(_ms(spark, sf).audit)
+    return C.audit_headline(_ms(spark, sf).cube)
 
 
 SPC6 = ("baseline_mean", "baseline_std", "z")
@@ -202,17 +201,17 @@ def q_budget_variance_ranked(spark, sf):
 
 def q_cost_bridge(spark, sf):
     ms = _ms(spark, sf)
-    return D.cost_bridge(ms.audit, ms.src.incidents)
+    return D.cost_bridge(ms.cube, ms.src.incidents)
 
 
 def q_controllable_overbilling(spark, sf):
     ms = _ms(spark, sf)
-    return D.controllable_overbilling(ms.audit, ms.src.incidents)
+    return D.controllable_overbilling(ms.cube, ms.src.incidents)
 
 
 def q_bridge_unexplained(spark, sf):
     ms = _ms(spark, sf)
-    return D.bridge_unexplained(ms.audit, ms.src.incidents)
+    return D.bridge_unexplained(ms.cube, ms.src.incidents)
 
 
 # ---- E: chargeback ---------------------------------------------------------------
@@ -312,17 +311,13 @@ def q_forecast_by_area(spark, sf):
 
 # ---- G: risk -------------------------------------------------------------------
 
-_LABELED: dict[tuple[str, str], DataFrame] = {}
 _LOCK = threading.RLock()   # queries may be built from several threads (runbook)
 
 
 def _labeled(spark, sf):
     """Labelled scorecard months (one row per area and month), kept for the G family."""
-    key = (spark.sparkContext.applicationId, sf.rstrip("/"))
-    with _LOCK:
-        if key not in _LABELED:
-            _LABELED[key] = G.risk_labels(_ms(spark, sf).sam).persist()
-        return _LABELED[key]
+    ms = _ms(spark, sf)
+    return ms.keep("risk_labels", lambda: G.risk_labels(ms.sam))
 
 
 def q_risk_labels(spark, sf):
@@ -352,7 +347,7 @@ def _model(spark, sf):
         if key not in _MODELS:
             lab = _labeled(spark, sf)
             model, scored = G.risk_scores(lab, _n_train(spark, sf))
-            _MODELS[key] = (lab, model, scored.persist())   # test months only: small
+            _MODELS[key] = (lab, model, _ms(spark, sf).keep("risk_scores", lambda: scored))   # test months only: small
         return _MODELS[key]
 
 
@@ -375,10 +370,6 @@ def q_risk_watchlist(spark, sf):
 
 # ---- H: triage --------------------------------------------------------------
 
-def _classified(spark, sf):
-    return H.with_truth(H.classify(_ms(spark, sf).src.invoices))
-
-
 def q_triage_classify(spark, sf):
     c = H.classify(_ms(spark, sf).src.invoices)
     return c.select("invoice_id", "ci_status", "contracted_rate", "billed_amount", "predicted")
@@ -389,15 +380,15 @@ def q_triage_notes(spark, sf):
 
 
 def q_triage_eval(spark, sf):
-    return H.triage_eval(_classified(spark, sf))
+    return H.triage_eval(_ms(spark, sf).cube)
 
 
 def q_triage_confusion(spark, sf):
-    return H.triage_confusion(_classified(spark, sf))
+    return H.triage_confusion(_ms(spark, sf).cube)
 
 
 def q_triage_accuracy(spark, sf):
-    return H.triage_accuracy(_classified(spark, sf))
+    return H.triage_accuracy(_ms(spark, sf).cube)
 
 
 def q_triage_sample(spark, sf):
@@ -412,14 +403,14 @@ def q_audit_cmdb_status(spark, sf):
 # ---- streaming ------------------------------------------------------------------
 
 def _stream_paths(spark, sf, name):
-    base = f"{shared_folder(spark)}/ledgerspark/stream/{_tag(sf)}/{name}/{uuid.uuid4().hex}"
+    # one pair per application and data set: asked again, a stream resumes and takes only what is new
+    base = f"{shared_folder(spark)}/ledgerspark/stream/{spark.sparkContext.applicationId}/{_tag(sf)}/{name}"
     return f"{base}/out", f"{base}/checkpoint"
 
 
 def _staged_invoice_stream(spark, sf):
-    ms = _ms(spark, sf)
-    staged = ms.src.invoices
-    return S.invoice_stream(spark, f"{ms.store}/stg_invoices", staged.schema, files_per_trigger=32)
+    path, schema, invoices = _ms(spark, sf).invoice_files
+    return invoices(S.invoice_stream(spark, path, schema, bytes_per_trigger=4 << 30))
 
 
 def q_stream_invoice_audit(spark, sf):
@@ -438,14 +429,14 @@ def q_stream_monthly_spend(spark, sf):
 def q_dq_checks(spark, sf):
     ms = _ms(spark, sf)
     alloc = _alloc(spark, sf)
-    chk = Q.dq_checks(ms.sam, ms.audit, ms.budget_variance, E.chargeback_statement(alloc, areas=_areas(spark, sf)), alloc,
+    chk = Q.dq_checks(ms.sam, ms.cube, ms.budget_variance, E.chargeback_statement(alloc, areas=_areas(spark, sf)), alloc,
                       E.area_total_cost(ms.sam))
     return rnd(chk, d6=("value",))
 
 
 def q_triage_gate(spark, sf):
-    c = _classified(spark, sf)
-    return Q.triage_gate(H.triage_eval(c), H.triage_accuracy(c))
+    cube = _ms(spark, sf).cube
+    return Q.triage_gate(H.triage_eval(cube), H.triage_accuracy(cube))
 
 
 def q_mart_presence(spark, sf):

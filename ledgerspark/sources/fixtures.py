@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.numbering import row_number
-from ledgerspark.functions.rules import money_sum, round_decimal
+from ledgerspark.functions.rules import decimal_sum, money_sum, round_decimal
 from ledgerspark.sources.model import Sources
 
 # Declared schemas of the driver tables the views read (no footer inference job).
@@ -67,6 +67,7 @@ PART_BUCKET = 1024   # parts per ordered bucket of a hot (order, line) pair
 INVOICE_KEY = ["l_orderkey", "l_linenumber"]
 INVOICE_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
                  "l_shipdate"]
+LINE_COLUMNS = [*INVOICE_KEY, *INVOICE_ORDER, "l_returnflag", "l_linestatus", "p_type", "p_retailprice"]
 
 
 def invoices_view(spark: SparkSession, sf_dir: str, ids: str = "window") -> DataFrame:
@@ -80,19 +81,25 @@ def invoices_view(spark: SparkSession, sf_dir: str, ids: str = "window") -> Data
     # Snowflake dimension first (supplier x nation), then one join per dimension on the facts.
     sup = s.join(n, s.s_nationkey == n.n_nationkey).select("s_suppkey", "n_name")
     j = li.join(p, li.l_partkey == p.p_partkey).join(sup, li.l_suppkey == sup.s_suppkey)
-    contracted = F.col("p_retailprice") * F.col("l_quantity")
     # (l_orderkey, l_linenumber) is not unique in the driver data; a row number
     # within the pair makes the id unique. Catalyst drops this window whenever
     # a query does not read invoice_id, so aggregates never pay its shuffle.
     if ids == "split":
-        j = row_number(
-            j.select(*INVOICE_KEY, *INVOICE_ORDER, "l_returnflag", "l_linestatus", "p_type",
-                     "p_retailprice", "n_name"), INVOICE_KEY, INVOICE_ORDER,
-            F.floor(F.col("l_partkey") / PART_BUCKET), "_rn")
+        j = _numbered(j.select(*LINE_COLUMNS, "n_name"), INVOICE_KEY)
         rn = F.col("_rn")
     else:
         rn = F.row_number().over(Window.partitionBy(*INVOICE_KEY).orderBy(*INVOICE_ORDER))
-    return j.select(
+    return j.select(*_invoice_columns(rn))
+
+
+def _numbered(j: DataFrame, keys: list[str]) -> DataFrame:
+    """`_rn`: the row number within a key, in ordered buckets, so that a hot key is no hot task."""
+    return row_number(j, keys, INVOICE_ORDER, F.floor(F.col("l_partkey") / PART_BUCKET), "_rn")
+
+
+def _invoice_columns(rn) -> list:
+    contracted = F.col("p_retailprice") * F.col("l_quantity")
+    return [
         F.concat(F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string"), F.lit("-"),
                  rn.cast("string")).alias("invoice_id"),
@@ -108,7 +115,54 @@ def invoices_view(spark: SparkSession, sf_dir: str, ids: str = "window") -> Data
          .when(F.col("l_extendedprice") >= contracted * 2.0, "duplicate")
          .when(F.col("l_extendedprice") > contracted * 1.15, "rate_overcharge")
          .otherwise("none").alias("planted_error"),
-    )
+    ]
+
+
+INVOICE_COLUMNS = ("invoice_id", "ci_id", "vendor", "service_area", "period", "contracted_rate", "billed_amount",
+                   "ci_status", "planted_error")
+
+
+def lines_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines with their parts, joined and numbered once for the invoice, telemetry and consumption feeds.
+
+    `billed` marks the lines whose supplier is known: only these are invoices.
+    """
+    li = read_table(spark, sf_dir, "lineitem")
+    p = read_table(spark, sf_dir, "part")
+    s = read_table(spark, sf_dir, "supplier")
+    n = read_table(spark, sf_dir, "nation")
+    sup = s.join(n, s.s_nationkey == n.n_nationkey).select("s_suppkey", "n_name", F.lit(True).alias("billed"))
+    j = li.join(p, li.l_partkey == p.p_partkey).join(sup, li.l_suppkey == sup.s_suppkey, "left")
+    j = j.select(*LINE_COLUMNS, "n_name", F.coalesce("billed", F.lit(False)).alias("billed"))
+    j = _numbered(j, [*INVOICE_KEY, "billed"])
+    return j.select(*_invoice_columns(F.col("_rn")), "billed", "l_orderkey", "l_quantity", "l_discount", "l_tax")
+
+
+def invoices_of(lines: DataFrame) -> DataFrame:
+    """The invoice feed of `lines_view` (row-wise: a stream will do)."""
+    return lines.where("billed").select(*INVOICE_COLUMNS)
+
+
+def telemetry_of(lines: DataFrame) -> DataFrame:
+    """The telemetry feed of `lines_view`."""
+    return lines.select("ci_id", "service_area", "period", *_telemetry_columns("billed_amount"))
+
+
+def consumption_of(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
+    """The consumption feed of `lines_view`: summed by order before orders and customers join."""
+    o = read_table(spark, sf_dir, "orders")
+    c = read_table(spark, sf_dir, "customer")
+    units = lines.groupBy("l_orderkey", "service_area").agg(decimal_sum("billed_amount").alias("units"))
+    j = units.join(o, units.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
+    return (j.groupBy("service_area", F.col("c_mktsegment").alias("business_unit"))
+             .agg(money_sum("units").alias("units")))
+
+
+def _telemetry_columns(price: str) -> list:
+    return [(100 - F.col("l_tax") * 10).alias("uptime_pct"),
+            F.col("l_quantity").alias("latency_ms"),
+            (F.col("l_discount") * 10).alias("packet_loss_pct"),
+            (F.col(price) / 60).alias("mtbf_hours")]
 
 
 def incidents_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,10 +195,7 @@ def telemetry_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").alias("ci_id"),
         F.col("p_type").alias("service_area"),
         _month("l_shipdate").alias("period"),
-        (100 - F.col("l_tax") * 10).alias("uptime_pct"),
-        F.col("l_quantity").alias("latency_ms"),
-        (F.col("l_discount") * 10).alias("packet_loss_pct"),
-        (F.col("l_extendedprice") / 60).alias("mtbf_hours"),
+        *_telemetry_columns("l_extendedprice"),
     )
 
 

@@ -30,6 +30,12 @@ def read_mart(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return df.select(*schema.fieldNames()) if schema is not None else df
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def mart_roundtrip(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """A2: overwrite the mart at `path`, read it back with the original column order and types."""
     write_mart(df, path, partition_by)

@@ -9,8 +9,7 @@
   against the static per-area baseline (stream-static join, no state).
 * ``run_available``: runs a stream over everything available now into a
   parquet table in the shared folder, with its checkpoint there as well: run
-  again with the same folders it resumes from the last committed batch. (The
-  registered stream keys take new folders for each call.)
+  again with the same folders it resumes from the last committed batch.
 """
 
 from __future__ import annotations
@@ -23,10 +22,18 @@ from ledgerspark.operators.deviation import z_and_breach
 from ledgerspark.operators.marts import invoice_audit
 
 
-def invoice_stream(spark: SparkSession, path: str, schema, files_per_trigger: int = 4) -> DataFrame:
-    """A file stream of invoice parquet files under `path` (declared schema)."""
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-                 .parquet(path))
+def invoice_stream(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None,
+                   bytes_per_trigger: int | None = None) -> DataFrame:
+    """A file stream of invoice parquet files under `path` (declared schema).
+
+    A micro-batch takes at most so many files, or files of so many bytes in all.
+    """
+    reader = spark.readStream.schema(schema)
+    if bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
+    elif files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(path)
 
 
 def audit_stream(invoices: DataFrame) -> DataFrame:

@@ -1,0 +1,57 @@
+"""The audit cube: every operator that takes it gives what the lines give, odd rows included."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerspark.operators import bridge as D
+from ledgerspark.operators import descriptive as C
+from ledgerspark.operators import marts as M
+from ledgerspark.operators import quality as Q
+from ledgerspark.operators import triage as H
+from ledgerspark.operators.cube import CUBE_KEYS, audit_cube
+
+INV = ("invoice_id string, ci_id string, vendor string, service_area string, period date, "
+       "contracted_rate double, billed_amount double, ci_status string, planted_error string")
+
+
+@pytest.fixture(scope="module")
+def lines(spark):
+    rng = random.Random(4)
+    rows = [(f"i{k}", "c", rng.choice(["v", "w", None]), rng.choice(["A", "B", None]), rng.choice([dt.date(2025, 1, 1), None]),
+             rng.choice([10.0, 0.0001, 3.3333333333, None]), rng.choice([10.0, 19.0, 19.1, 0.1, 11.00000001, None]),
+             rng.choice(["Active", "Decommissioned", None]), rng.choice(["duplicate", "", None, "ghost_circuit", "rate_overcharge"])) for k in range(600)]
+    return spark.createDataFrame(rows, INV).repartition(5)
+
+
+def rows(df):
+    return sorted(map(repr, df.collect()))
+
+
+def test_operators_agree(spark, lines):
+    cube, audit, classified = audit_cube(lines), M.invoice_audit(lines), H.with_truth(H.classify(lines))
+    inc = spark.createDataFrame([(1.5,), (None,)], "cost_to_resolve double")
+    assert cube.count() < 300 and cube.columns[:6] == list(CUBE_KEYS)
+    for f in (C.audit_headline, lambda a: D.cost_bridge(a, inc), lambda a: D.controllable_overbilling(a, inc), lambda a: D.bridge_unexplained(a, inc)):
+        assert rows(f(cube)) == rows(f(audit))
+    for f in (H.triage_confusion, H.triage_eval, H.triage_accuracy):
+        assert rows(f(cube)) == rows(f(classified))
+    assert rows(Q.triage_gate(H.triage_eval(cube), H.triage_accuracy(cube))) == rows(Q.triage_gate(H.triage_eval(classified), H.triage_accuracy(classified)))
+    assert rows(M.spend_rollup(cube)) == rows(M.spend_rollup(lines))
+    for f in (M.vendor_spend, M.gl_rollup, M.monthly_spend_by_area):
+        assert rows(f(M.spend_rollup(cube))) == rows(f(lines))
+
+
+def test_supplied_classifier(lines):
+    cube = audit_cube(lines, lambda df: df.withColumn("predicted", F.lit("none")))
+    assert {r.predicted for r in cube.select("predicted").collect()} == {"none"}
+
+
+def test_no_lines(spark, lines):
+    cube = audit_cube(lines.limit(0))
+    assert cube.count() == 0
+    h = C.audit_headline(cube).first()
+    assert (h.lines, h.flagged, h.flagged_rate, h.recoverable) == (0, 0, None, 0.0)
+    assert H.triage_accuracy(cube).first().accuracy is None

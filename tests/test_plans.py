@@ -6,6 +6,7 @@ import contextlib
 import pytest
 
 from ledgerspark.operators import marts as M
+from ledgerspark.plans.marts import marts_for
 from ledgerspark.plans.registry import QUERIES
 from ledgerspark.sources.fixtures import fixture_sources
 
@@ -53,3 +54,25 @@ def test_aggregates_are_partial_before_shuffle(spark, sf_small):
     p = plan(M.vendor_scorecard(src.incidents, src.invoices))
     assert p.count("HashAggregate") >= 4      # partial + final on each side, before the join
     assert "partial_count(distinct" in p or "partial_count" in p
+
+
+CUBE_KEYS = ("audit_headline", "kpi_summary", "cost_bridge", "controllable_overbilling", "bridge_unexplained", "triage_eval",
+             "triage_confusion", "triage_accuracy", "dq_checks", "triage_gate")
+
+
+@pytest.mark.parametrize("key", CUBE_KEYS)
+def test_additive_figures_scan_no_lines(spark, sf_small, key):
+    p = plan(QUERIES[key](spark, sf_small))
+    assert "stg_lines" not in p and "lineitem" not in p
+    assert "stg_cube" in p
+
+
+def test_month_filter_prunes_staged_lines(spark, sf_small):
+    p = plan(QUERIES["invoice_audit"](spark, sf_small).where("period = date'1997-03-01'"))
+    assert "PartitionFilters: [isnotnull(period" in p and "period" not in p.split("PushedFilters")[1].split("\n")[0]
+
+
+def test_lines_are_joined_once(spark, sf_small):
+    ms = marts_for(spark, sf_small)
+    for df in (ms.cube, ms.spend, ms.src.telemetry, ms.src.invoices, ms.src.budget):
+        assert "lineitem" not in plan(df)

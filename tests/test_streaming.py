@@ -56,3 +56,21 @@ def test_spc_alert_stream(spark):
     alerts = S.run_available(S.spc_alert_stream(stream, base), f"{out}/a", f"{out}/ck")
     flagged = {r.period for r in alerts.collect() if r.breach}
     assert flagged == {dt.date(2025, 7, 1)}
+
+
+def test_a_stream_resumes_from_its_folders(spark):
+    """Run again on the same folders it takes only what is new, and nothing twice."""
+    rows = [(f"i{k}", "c", "v", "A", dt.date(2025, 1, 1), 10.0, 10.0 + k, "Active", "none") for k in range(20)]
+    src = _write_batches(spark, rows[:10], 2)
+    schema = spark.createDataFrame([], INV).schema
+    out = tempfile.mkdtemp(prefix="ls-stream-resume-")
+    run = lambda: S.run_available(S.audit_stream(S.invoice_stream(spark, src, schema, bytes_per_trigger=1)), f"{out}/a", f"{out}/ck")
+    assert run().count() == 10 and run().count() == 10
+    spark.createDataFrame(rows[10:], INV).coalesce(1).write.mode("append").parquet(src)
+    assert sorted(map(tuple, run().collect())) == sorted(map(tuple, M.invoice_audit(spark.createDataFrame(rows, INV)).collect()))
+
+
+def test_registered_streams_resume(spark, sf_small):
+    from ledgerspark.plans.registry import QUERIES
+    for key in ("stream_invoice_audit", "stream_monthly_spend"):
+        assert QUERIES[key](spark, sf_small).count() == QUERIES[key](spark, sf_small).count() > 0
