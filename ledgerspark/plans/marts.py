@@ -18,16 +18,18 @@ from dataclasses import dataclass, replace
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerspark.operators import marts as M
 from ledgerspark.operators.cube import audit_cube
-from ledgerspark.schemas import VIEW_NAMES
+from ledgerspark.schemas import RAW_TABLES, VIEW_NAMES
 from ledgerspark.session import shared_folder
-from ledgerspark.sources.files import load_sources, raw_format
+from ledgerspark.sources.files import load_sources, parsed_tables, raw_format
 from ledgerspark.sources.fixtures import (budget_view, consumption_of, fixture_sources, invoices_of,
                                           lines_view, telemetry_of)
 from ledgerspark.sources.model import Sources
+from ledgerspark.sources.rejects import LINE, good, rejects
 from ledgerspark.sources.sinks import read_mart, remove, write_mart
 
 MART_NAMES = ("fct_invoice_audit", "fct_service_area_monthly", "fct_budget_variance",
@@ -77,12 +79,14 @@ class MartSet:
     """
 
     def __init__(self, spark: SparkSession, sources: Sources, store: str | None = None,
-                 derive: Callable[[DataFrame], dict] | None = None, feeds: Feeds | None = None):
+                 derive: Callable[[DataFrame], dict] | None = None, feeds: Feeds | None = None,
+                 parsed: dict[str, DataFrame] | None = None):
         self.spark = spark
         self.raw = sources
         self.store = store
         self.derive = derive
         self.feeds = feeds if store else None
+        self.parsed = (parsed or {}) if store else {}   # raw CSV tables with the text of their bad lines
         self._guard, self._locks, self._kept = threading.Lock(), {}, {}
 
     def _mat(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -94,11 +98,15 @@ class MartSet:
 
     def keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """A small result that several queries share: built on first use, written beside the marts."""
+        return self.once(name, lambda: self._mat(name, build()))
+
+    def once(self, name: str, build: Callable):
+        """What several queries share, built on first use."""
         with self._guard:
-            lock = self._locks.setdefault(f"keep-{name}", threading.RLock())
+            lock = self._locks.setdefault(f"once-{name}", threading.RLock())
         with lock:
             if name not in self._kept:
-                self._kept[name] = self._mat(name, build())
+                self._kept[name] = build()
             return self._kept[name]
 
     def cleanup(self) -> None:
@@ -115,14 +123,28 @@ class MartSet:
         lines = self.feeds.lines if self.feeds else self.raw.invoices
         got = _concurrently({"lines": lambda: self._mat("stg_lines", lines, ("period",)),
                              # read by the scorecards, the bridge and the weekly volume: staged once
-                             "incidents": lambda: self._mat("stg_incidents", self.raw.incidents)})
+                             "incidents": lambda: self._mat("stg_incidents", self.parsed.get("servicenow_incidents", self.raw.incidents))})
         return got["lines"], got["incidents"]
 
     @_once
     def fed(self) -> Sources:
         lines, incidents = self.lines
         over = self.feeds.of(lines) if self.feeds else {"invoices": lines}
-        return replace(self.raw, incidents=incidents, **over)
+        return replace(self.raw, incidents=good(incidents) if LINE in incidents.columns else incidents, **over)
+
+    @_once
+    def rejects(self) -> DataFrame:
+        """(source, reason, line): the lines of raw CSV tables that could not be read, stored beside the marts.
+
+        Those of the staged tables are found there; the others' tables are scanned for them when asked.
+        """
+        lines, incidents = self.lines
+        staged = {"telecom_invoices": lines, "servicenow_incidents": incidents}
+        out = self.spark.createDataFrame([], "source string, reason string, line string")
+        for stem, df in self.parsed.items():
+            kept = staged[stem] if stem in staged else self._mat(f"bad_{stem}", df.where(F.col(LINE).isNotNull()))
+            out = out.unionByName(rejects(kept, stem, RAW_TABLES[stem]))
+        return self._mat("rejects", out)
 
     @_once
     def rollups(self) -> dict[str, DataFrame]:
@@ -229,7 +251,10 @@ def _marts_for(spark: SparkSession, sf_dir: str, materialize: bool) -> MartSet:
             store = f"{shared_folder(spark)}/ledgerspark/marts/{tag}"
         fmt = raw_format(spark, sf_dir)
         if fmt:   # a folder of raw tables in the source layout
-            ms = _CACHE[key] = MartSet(spark, load_sources(spark, sf_dir, fmt), store)
+            parsed = parsed_tables(spark, sf_dir) if fmt == "csv" and store else {}
+            feeds = Feeds(parsed["telecom_invoices"], lambda lines: {"invoices": good(lines)}, good) if parsed else None
+            ms = _CACHE[key] = MartSet(spark, load_sources(spark, sf_dir, fmt, keep_rejects=bool(parsed)), store,
+                                       feeds=feeds, parsed=parsed)
             return ms
         # Staged lines are numbered in ordered buckets (a hot (order, line) pair is split
         # over tasks); without a store the lazy, prunable window is kept.

@@ -26,8 +26,11 @@ from ledgerspark.operators import quality as Q
 from ledgerspark.operators import risk as G
 from ledgerspark.operators import triage as H
 from ledgerspark.plans.marts import MartSet, marts_for
+from ledgerspark.plans.refresh import refresh
+from ledgerspark.schemas import INCIDENTS
 from ledgerspark.session import shared_folder
 from ledgerspark.sources import sinks
+from ledgerspark.sources.rejects import read_lines, reject_summary
 from ledgerspark.streaming import monitor as S
 
 # Fixture parameter: the driver data spans 83 months, so train on the first 62.
@@ -85,12 +88,65 @@ def q_source_profile(spark, sf):
     return out
 
 
+def q_source_rejects(spark, sf):
+    """A1: the incidents written as CSV lines, some of them damaged, and read back: good rows and rejects by reason."""
+    ms = _ms(spark, sf)
+
+    def build() -> DataFrame:
+        path = f"{_app_folder(spark, sf, 'rejects')}/servicenow_incidents"
+        have = ms.src.incidents
+        fields = INCIDENTS.fieldNames()
+        cell = {f: F.coalesce(F.col(f).cast("string"), F.lit("")) if f in have.columns else F.lit("") for f in fields}
+        mark = F.substring(F.md5(cell["incident_id"]), 1, 2)
+        cell["mttr_hours"] = F.when(mark == "07", "n/a").otherwise(cell["mttr_hours"])
+        cell["opened"] = F.when(mark.isin("13", "07"), "2024-99-01").otherwise(cell["opened"])
+        whole = F.concat_ws(",", *cell.values())
+        short = F.concat_ws(",", *list(cell.values())[:-1])
+        have.select(F.when(mark == "21", short).otherwise(whole).alias("value")).write.mode("overwrite").text(path)
+        parsed = ms.keep("stg_incident_lines", lambda: read_lines(spark, path, INCIDENTS, header=False))
+        return reject_summary(parsed, "servicenow_incidents", INCIDENTS)
+
+    return ms.once("source_rejects", build)
+
+
 def q_mart_roundtrip(spark, sf):
     ms = _ms(spark, sf)
     path = f"{shared_folder(spark)}/ledgerspark/roundtrip/{_tag(sf)}/fct_invoice_audit"
     return sinks.mart_roundtrip(ms.audit, path, ["period"])
 
 
+def _app_folder(spark, sf, name):
+    """A folder of this application and data set."""
+    return f"{shared_folder(spark)}/ledgerspark/{name}/{spark.sparkContext.applicationId}/{_tag(sf)}"
+
+
+def _refreshed(spark, sf):
+    """The audit mart and the log of its second refresh: the first one knew neither the last month
+    nor the decommissioned lines of the third last."""
+    ms = _ms(spark, sf)
+
+    def build() -> tuple[DataFrame, DataFrame]:
+        path = f"{_app_folder(spark, sf, 'refresh')}/fct_invoice_audit"
+        lines = ms.src.invoices
+        months = sorted(r[0] for r in ms.cube.select("period").distinct().collect())
+        part = lines.where((F.col("period") < F.lit(months[-1]))
+                           & ((F.col("period") != F.lit(months[-3:][0])) | (F.col("ci_status") == "Active")))
+        refresh(part, path, M.invoice_audit)
+        return refresh(lines, path, M.invoice_audit)
+
+    return ms.once("refreshed", build)
+
+
+def q_mart_refresh(spark, sf):
+    """A2: the partitioned audit mart after an incremental refresh."""
+    return _refreshed(spark, sf)[0]
+
+
+def q_mart_refresh_log(spark, sf):
+    """A2: what the refresh did to each month."""
+    return _refreshed(spark, sf)[1]
+
+
 def q_export_csv(spark, sf):
     """The four marts, the chargeback statement and the (wide) weight matrix as CSV."""
     ms = _ms(spark, sf)
@@ -404,7 +460,7 @@ def q_audit_cmdb_status(spark, sf):
 
 def _stream_paths(spark, sf, name):
     # one pair per application and data set: asked again, a stream resumes and takes only what is new
-    base = f"{shared_folder(spark)}/ledgerspark/stream/{spark.sparkContext.applicationId}/{_tag(sf)}/{name}"
+    base = f"{_app_folder(spark, sf, 'stream')}/{name}"
     return f"{base}/out", f"{base}/checkpoint"
 
 
@@ -445,7 +501,10 @@ def q_mart_presence(spark, sf):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_profile": q_source_profile,
+    "source_rejects": q_source_rejects,
     "mart_roundtrip": q_mart_roundtrip,
+    "mart_refresh": q_mart_refresh,
+    "mart_refresh_log": q_mart_refresh_log,
     "export_csv": q_export_csv,
     "kpi_summary": q_kpi_summary,
     "invoice_audit": q_invoice_audit,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerspark import schemas
 from ledgerspark.sources.model import Sources
+from ledgerspark.sources.rejects import good, read_lines
 
 
 def read_raw(spark: SparkSession, path: str, schema, fmt: str = "csv") -> DataFrame:
@@ -56,16 +57,26 @@ def raw_format(spark: SparkSession, base: str) -> str | None:
     return "csv" if _exists(spark, f"{base.rstrip('/')}/telecom_invoices") else None
 
 
+def parsed_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+    """The raw CSV tables under ``base`` with the text of the lines that cannot be read (see ``rejects``)."""
+    return {stem: read_lines(spark, _locate(spark, base, stem, "csv"), sch) for stem, sch in schemas.RAW_TABLES.items()}
+
+
 def load_sources(spark: SparkSession, base: str, fmt: str = "csv",
-                 weights_path: str | None = None) -> Sources:
+                 weights_path: str | None = None, keep_rejects: bool = False) -> Sources:
     """All raw tables under ``base`` as DataFrames with declared schemas (A1).
 
     The weight matrix is ``weights_path``, or ``chargeback_weights.csv`` under ``base`` if it is there.
+    A cell of the wrong type ends the load, or with ``keep_rejects`` its line is left out (``parsed_tables``
+    has it).
     """
     supplied = _locate(spark, base, "chargeback_weights", "csv")
     weights_path = weights_path or (supplied if _exists(spark, supplied) else None)
-    t = {stem: read_raw(spark, _locate(spark, base, stem, fmt), sch, fmt)
-         for stem, sch in schemas.RAW_TABLES.items()}
+    if keep_rejects and fmt == "csv":
+        t = {stem: good(df) for stem, df in parsed_tables(spark, base).items()}
+    else:
+        t = {stem: read_raw(spark, _locate(spark, base, stem, fmt), sch, fmt)
+             for stem, sch in schemas.RAW_TABLES.items()}
     return Sources(
         cmdb=t["servicenow_cmdb"],
         invoices=t["telecom_invoices"],

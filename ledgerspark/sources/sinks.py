@@ -36,6 +36,13 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder; none if it isn't there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def mart_roundtrip(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """A2: overwrite the mart at `path`, read it back with the original column order and types."""
     write_mart(df, path, partition_by)
