@@ -85,6 +85,19 @@ def spc_deviation(sam: DataFrame, metric: str = "packet_loss", z: float = 3.0,
     return spc_all_metrics(sam, [metric], z, days)
 
 
+def spc_history(sam: DataFrame, metrics: Sequence[str] = METRICS, z: float = 3.0, days: int = 90) -> DataFrame:
+    """C6 for every month after the baseline, not the latest alone: (area, metric, period, value, baseline, z, breach).
+
+    The batch answer to the alert stream: areas and metrics without a baseline have no rows.
+    """
+    long = _long(sam, metrics)
+    start = sam.select(F.min("period")).scalar()
+    base = spc_baseline_long(long, days, start)
+    j = long.where(F.col("period") >= F.date_add(start, days)).join(base.where("baseline_n > 0"), [AREA, "metric"])
+    zc, breach = z_and_breach(F.col("value"), F.col("metric"), z)
+    return j.select(AREA, "metric", "period", "value", "baseline_mean", "baseline_std", "baseline_n", zc.alias("z"), breach.alias("breach"))
+
+
 def control_chart(sam: DataFrame, metric: str = "packet_loss", z: float = 3.0,
                   days: int = 90) -> DataFrame:
     """Full series of the area with the highest z, with mean and upper limit.

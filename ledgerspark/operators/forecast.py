@@ -140,6 +140,38 @@ def forecast_accuracy(series: DataFrame, holdout: int = 3, keys: Sequence[str] =
     return monthly.unionByName(tot)
 
 
+def rolling_backtest(series: DataFrame, min_train: int = 12, horizon: int = 3, keys: Sequence[str] = ()) -> DataFrame:
+    """F7 from every origin: (keys, origin, h, period, actual, forecast, accuracy).
+
+    The origin is the last month of a fit on all months up to it, `min_train`
+    at least. Regression moments are sums, so one pass of prefix sums gives the
+    fits of all origins; nothing is fitted twice. Spend is summed as DECIMAL,
+    and a month's place is counted from the first month, so the moments are exact.
+    A month of zero spend has NULL accuracy; origins whose month h ahead is not
+    in the series have no row for it.
+    """
+    upto = Window.partitionBy(*keys).orderBy("t").rowsBetween(Window.unboundedPreceding, 0)   # months per series: aggregated rows
+    y = F.col("spend").cast("decimal(20,4)")
+    t = F.col("t").cast("decimal(10,0)")
+    s = series.select(*keys, "period", "t", "spend", F.count(F.lit(1)).over(upto).alias("_n"),
+                      *[F.sum(x).over(upto).cast("double").alias(c) for c, x in (("_t", t), ("_tt", t * t), ("_y", y), ("_ty", t * y))])
+    n = F.col("_n").cast("double")
+    b1 = (n * F.col("_ty") - F.col("_t") * F.col("_y")) / F.nullif(n * F.col("_tt") - F.col("_t") * F.col("_t"), F.lit(0.0))
+    fits = s.where(F.col("_n") >= max(2, min_train)).select(*keys, F.col("period").alias("origin"), F.col("t").alias("_o"), b1.alias("_b1"),
+                                                         ((F.col("_y") - b1 * F.col("_t")) / n).alias("_b0"))
+    ahead = fits.withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(horizon)))).withColumn("t", F.col("_o") + F.col("h"))
+    j = ahead.join(series.select(*keys, "t", "period", F.col("spend").alias("actual")), [*keys, "t"])
+    j = j.withColumn("forecast", F.col("_b0") + F.col("_b1") * F.col("t"))
+    return j.select(*keys, "origin", "h", "period", "actual", "forecast",
+                    (1 - F.abs(F.col("forecast") - F.col("actual")) / F.nullif(F.col("actual"), F.lit(0.0))).alias("accuracy"))
+
+
+def backtest_summary(backtest: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, h, origins, mean and worst accuracy) of a backtest: how far ahead the trend can be trusted."""
+    return backtest.groupBy(*keys, "h").agg(F.count("accuracy").alias("origins"), F.avg("accuracy").alias("mean_accuracy"),
+                                            F.min("accuracy").alias("worst_accuracy"))
+
+
 def forecast_by_area(sam: DataFrame, horizon: int = 6, key: str = "service_area") -> DataFrame:
     """F8: one trend per area, all areas fitted by the same grouped aggregate."""
     fit = trend_fit(monthly_spend(sam, [key]), [key])

@@ -65,6 +65,16 @@ def risk_time_split(labeled: DataFrame, n_train: int = 9) -> DataFrame:
                                   F.max("cut").alias("cut"))
 
 
+def risk_frame(labeled: DataFrame, n_train: int = 9) -> DataFrame:
+    """What G3 scores and is trained on, without the model: (area, period, high_risk, split)."""
+    return time_split(labeled, n_train).select("service_area", "period", LABEL, "split")
+
+
+def watch_months(labeled: DataFrame) -> DataFrame:
+    """The months that G6 scores: each area's latest labelled one, with its features."""
+    return latest_per_area(labeled)
+
+
 def fit_risk_model(train: DataFrame, features: Sequence[str] = FEATURES, trees: int = 200,
                    depth: int = 4, seed: int = 0) -> PipelineModel:
     """Random forest on telemetry features only (no incident-count leakage)."""
@@ -118,8 +128,7 @@ def risk_feature_importance(spark: SparkSession, model: PipelineModel,
 
 def risk_watchlist(model: PipelineModel, labeled: DataFrame) -> DataFrame:
     """Each area's latest labelled month scored, highest risk first."""
-    latest = latest_per_area(labeled)
-    s = score(model, latest, "risk_score")
+    s = score(model, watch_months(labeled), "risk_score")
     w = Window.orderBy(F.col("risk_score").desc(), F.col("service_area"))
     return s.select("service_area", "period", "risk_score",
                     F.row_number().over(w).alias("position"))

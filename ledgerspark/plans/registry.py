@@ -31,6 +31,7 @@ from ledgerspark.schemas import INCIDENTS
 from ledgerspark.session import shared_folder
 from ledgerspark.sources import sinks
 from ledgerspark.sources.rejects import read_lines, reject_summary
+from ledgerspark.streaming import alerts as A
 from ledgerspark.streaming import monitor as S
 
 # Fixture parameter: the driver data spans 83 months, so train on the first 62.
@@ -237,6 +238,10 @@ def q_spc_all_metrics(spark, sf):
     return rnd(V.spc_all_metrics(_ms(spark, sf).sam), d6=SPC6)
 
 
+def q_spc_history(spark, sf):
+    return rnd(V.spc_history(_ms(spark, sf).sam), d6=SPC6)
+
+
 def q_vendor_rank(spark, sf):
     return C.vendor_rank(_ms(spark, sf).vendor_scorecard)
 
@@ -291,6 +296,17 @@ def q_consumption_weights(spark, sf):
     return _weights(spark, sf)
 
 
+def q_consumption_weights_exact(spark, sf):
+    src = _ms(spark, sf).src
+    if src.consumption is None:   # a supplied matrix: its weights stand for the measured units
+        return E.consumption_weights_exact(_weights(spark, sf).withColumnRenamed("weight", "units"))
+    return E.consumption_weights_exact(src.consumption)
+
+
+def q_chargeback_statement_exact(spark, sf):
+    return E.chargeback_statement_exact(_alloc(spark, sf), areas=_areas(spark, sf))
+
+
 def q_chargeback_allocation(spark, sf):
     return _alloc(spark, sf)
 
@@ -365,6 +381,17 @@ def q_forecast_by_area(spark, sf):
                        d6=("b1",)), "h")
 
 
+def q_forecast_backtest(spark, sf):
+    min_train = max(3, _n_train(spark, sf) - 3)
+    return as_long(rnd(FC.rolling_backtest(_series(spark, sf), min_train), d2=("forecast",), d6=("accuracy",)), "h")
+
+
+def q_forecast_backtest_by_area(spark, sf):
+    min_train = max(3, _n_train(spark, sf) - 3)
+    back = FC.rolling_backtest(_series(spark, sf, ["service_area"]), min_train, keys=["service_area"])
+    return as_long(rnd(FC.backtest_summary(back, ["service_area"]), d6=("mean_accuracy", "worst_accuracy")), "h", "origins")
+
+
 # ---- G: risk -------------------------------------------------------------------
 
 _LOCK = threading.RLock()   # queries may be built from several threads (runbook)
@@ -384,6 +411,14 @@ def q_risk_time_split(spark, sf):
     return G.risk_time_split(_labeled(spark, sf), _n_train(spark, sf))
 
 
+def q_risk_frame(spark, sf):
+    return G.risk_frame(_labeled(spark, sf), _n_train(spark, sf))
+
+
+def q_risk_watch_months(spark, sf):
+    return G.watch_months(_labeled(spark, sf))
+
+
 def q_risk_auc(spark, sf):
     test = G.time_split(_labeled(spark, sf), _n_train(spark, sf)).where(F.col("split") == "test")
     return G.risk_auc(test, "packet_loss")
@@ -480,6 +515,25 @@ def q_stream_monthly_spend(spark, sf):
     return S.run_available(stream, out, ck, "complete")
 
 
+def q_stream_spc_alerts(spark, sf):
+    """C6 on a stream of scorecard rows, a year a file and a file a batch: the stream learns the baseline itself."""
+    ms = _ms(spark, sf)
+
+    def feed() -> tuple[str, list]:
+        path = f"{_app_folder(spark, sf, 'scorecard_feed')}/rows"
+        months = sorted(r[0] for r in ms.sam.select("period").distinct().collect())   # one value a month
+        for k in range(0, len(months), 12):
+            ms.sam.where(F.col("period").isin(months[k:k + 12])).coalesce(1).write.mode("append").parquet(path)
+        return path, months
+
+    path, months = ms.once("scorecard_feed", feed)
+    out, ck = _stream_paths(spark, sf, "spc_alerts")
+    stream = spark.readStream.schema(ms.sam.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    with A.rocksdb(spark):
+        alerts = S.run_available(A.alert_stream(stream, months[0]), out, ck, "append")
+    return rnd(alerts, d6=SPC6)
+
+
 # ---- I: quality checks -------------------------------------------------------
 
 def q_dq_checks(spark, sf):
@@ -523,6 +577,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "spc_deviation": q_spc_deviation,
     "control_chart": q_control_chart,
     "spc_all_metrics": q_spc_all_metrics,
+    "spc_history": q_spc_history,
     "vendor_rank": q_vendor_rank,
     "top_vendor": q_top_vendor,
     "spend_trend": q_spend_trend,
@@ -532,6 +587,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bridge_unexplained": q_bridge_unexplained,
     "area_total_cost": q_area_total_cost,
     "consumption_weights": q_consumption_weights,
+    "consumption_weights_exact": q_consumption_weights_exact,
+    "chargeback_statement_exact": q_chargeback_statement_exact,
     "chargeback_allocation": q_chargeback_allocation,
     "showback": q_showback,
     "chargeback_statement": q_chargeback_statement,
@@ -545,7 +602,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "forecast_closed_form": q_forecast_closed_form,
     "forecast_accuracy": q_forecast_accuracy,
     "forecast_by_area": q_forecast_by_area,
+    "forecast_backtest": q_forecast_backtest,
+    "forecast_backtest_by_area": q_forecast_backtest_by_area,
     "risk_labels": q_risk_labels,
+    "risk_frame": q_risk_frame,
+    "risk_watch_months": q_risk_watch_months,
     "risk_time_split": q_risk_time_split,
     "risk_scores": q_risk_scores,
     "risk_auc": q_risk_auc,
@@ -565,6 +626,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_presence": q_mart_presence,
     "stream_invoice_audit": q_stream_invoice_audit,
     "stream_monthly_spend": q_stream_monthly_spend,
+    "stream_spc_alerts": q_stream_spc_alerts,
 }
 
 # Keys whose result comes from a trained model (MLlib trees): checked by rows only.

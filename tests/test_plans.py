@@ -11,7 +11,8 @@ from ledgerspark.plans.registry import QUERIES
 from ledgerspark.sources.fixtures import fixture_sources
 
 # Keys whose construction itself runs a write or a stream (checked in test_oracle).
-SIDE_EFFECT = {"mart_roundtrip", "export_csv", "stream_invoice_audit", "stream_monthly_spend"}
+SIDE_EFFECT = {"mart_roundtrip", "export_csv", "stream_invoice_audit", "stream_monthly_spend", "stream_spc_alerts",
+               "mart_refresh", "mart_refresh_log", "source_rejects"}
 
 
 def plan(df) -> str:
