@@ -6,10 +6,11 @@ in the order of their ids: one range partitioning deals them to tasks, and a tas
 
 A shard is compressed by Re-Pair: the most frequent neighbouring pairs of symbols give way to a
 nonterminal each, again and again, until no pair stands ``LEAST`` times. Pairs do not cross documents.
-A round replaces the pairs within ``TOP`` of the most frequent one together: an occurrence gives way
+A round replaces the pairs of at least a ``TOP``-th of the most frequent one's count together: an occurrence gives way
 where no overlapping pair is more frequent, and a run of one symbol is paired from its start.
 
-The file format is Parquet, a row a shard, arrays as little-endian unsigned 32-bit integers:
+The file format is Parquet, a row a shard, arrays as little-endian unsigned 32-bit integers (rules and
+symbols of 16 bits where terminals and rules are 2^16 at most):
 
 =============  ====================================================================================
 range, seq     the shard's place: which part of the order, which shard of it
@@ -44,24 +45,34 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import blank_if_null, ragged_gather, read_table, stage
+from .common import arrow_batches, blank_if_null, ragged_gather, read_table, stage
 
-SHARD = 1 << 18            # ids after which a shard is closed
-LEAST = 6                  # a pair that stands less often is left: its rule costs more than it saves
-TOP = 4                    # a round takes pairs of at least a fourth of the highest count
+SHARD = 1 << 17            # ids after which a shard is closed
+LEAST = 16                 # a pair that stands less often is left: its rule costs more than it saves
+TOP = 8                    # a round takes pairs of at least an eighth of the highest count
 ROWS_PER_RANGE = 20_000    # documents of a task
-CACHED, LONGEST = 200_000, 64   # words that a worker remembers, and their length
+MOST_SENT = 100_000        # parts whose places are sent to every task; more are joined by a shuffle
+CACHED, LONGEST = 125_000, 64   # pieces that a worker remembers, and their length
 
 #: A space after a character that is no white space: byte-level patterns always split before it.
 CUT = re.compile("(?<=[^\\s\u180e])(?= )")
-BLURRED = re.compile("[\\s\u180e] ")
+#: ASCII and the letters of Latin-1, and the byte-level split pattern for texts of these characters.
+PLAIN = re.compile("[\\x00-\\x7fÀ-ÖØ-öø-ÿ]*")
+PIECE = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\sA-Za-z0-9À-ÖØ-öø-ÿ]+|\s+(?!\S)|\s+", re.ASCII)
 
-U32 = np.dtype("<u4")
-MIX, SLOT_BITS = np.int64(-7046029254386353131), 20   # multiplicative hashing of pairs
+U16, U32 = np.dtype("<u2"), np.dtype("<u4")
+SLOT_BITS = 16             # of the hash table of pairs
+
+
+def byte_letters() -> dict[int, int]:
+    """The character that stands for each byte in a byte-level vocabulary: printable ones for themselves, the others from 256 on."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return {b: b if b in own else next(others) for b in range(256)}
 
 
 class Encoder:
-    """The ids of texts, as bytes. Words are given to the library once and remembered."""
+    """The ids of texts, as bytes. Pieces of texts are given to the library once and remembered."""
 
     def __init__(self, spec: str, end_id: int):
         import os
@@ -71,95 +82,116 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.encode_special_tokens = True      # their strings in a text are ordinary text
+        self.model = self.tokenizer.model
         parts = json.loads(spec)
         split = parts.get("pre_tokenizer") or {}
-        self.by_words = (parts.get("normalizer") is None and split.get("type") == "ByteLevel"
-                         and split.get("use_regex", True) and not split.get("add_prefix_space", True))
+        self.by_pieces = (parts.get("normalizer") is None and split.get("type") == "ByteLevel" and split.get("use_regex", True)
+                          and not split.get("add_prefix_space", True) and all(t.get("special") for t in parts.get("added_tokens", [])))
         self.end = np.array([end_id], U32).tobytes()
-        self.known: dict[str, bytes] = {}
+        self.pieces, self.words = Remembered(self._piece), Remembered(self._word)
+        self.letters = byte_letters()
+        self.space = chr(self.letters[32])
 
     def library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, U32).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def words(self, text: str) -> list[str]:
-        if BLURRED.search(text):
-            return CUT.split(text)
-        first, *rest = text.split(" ")
-        return [first, *(" " + w for w in rest)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.by_words:
-            return [b + self.end for b in self.library(texts)]
-        known, out = self.known, []
-        for text in texts:
-            words = self.words(text)
-            if new := [w for w in set(words) if w not in known]:
-                if len(known) > CACHED:
-                    known.clear()
-                    new = list(set(words))
-                known.update(zip(new, self.library(new)))
-            out.append(b"".join(map(known.__getitem__, words)) + self.end)
-            for w in new:
-                if len(w) > LONGEST:
-                    del known[w]
-        return out
+    def _piece(self, piece: str) -> bytes:
+        if piece.isascii() and piece.isprintable():   # only the space has another letter
+            letters = piece.replace(" ", self.space)
+        else:
+            letters = piece.encode().decode("latin-1").translate(self.letters)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(letters)])
+
+    def _word(self, word: str) -> bytes:
+        return self._plain(word) if PLAIN.fullmatch(word) else self.library([word])[0]
+
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, PIECE.findall(text)))
+
+    def encode(self, text: str) -> bytes:
+        """The ids of one text and the end id."""
+        if not self.by_pieces:
+            return self.library([text])[0] + self.end
+        if PLAIN.fullmatch(text):
+            return self._plain(text) + self.end
+        return b"".join(map(self.words.__getitem__, CUT.split(text))) + self.end
+
+
+class Remembered(dict):
+    """Results of a function by argument: a bounded number of recent ones, and none of long arguments."""
+
+    def __init__(self, of):
+        self.of, self.older = of, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.older.get(key)
+        if value is None:
+            value = self.of(key)
+            if len(key) > LONGEST:
+                return value
+        if len(self) >= CACHED:   # those used since stay in reach
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
 
 
 def repair(ids: np.ndarray, ends: np.ndarray, n_terminals: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, last-of-document marks, rules, spans) of ids whose documents' last ones are marked."""
-    seq, ends = ids.astype(np.int64), ends.copy()
+    seq, ends = ids.astype(np.int32), ends.copy()
     rules, spans = [np.empty((0, 2), np.int64)], [np.empty(0, np.int64)]
-    made, floor = 0, None
+    made, ceiling = 0, None
     while len(seq) > 1:
-        key = (seq[:-1] << 32) | seq[1:]
-        key[ends[:-1]] = -1
+        # counts by hash are no less than the pairs' own, so few pairs need an exact count
+        u = seq.view(np.uint32)
+        slot = u[:-1] * np.uint32(0x9E3779B1) + u[1:] * np.uint32(0x85EBCA77)
+        slot = ((slot ^ (slot >> np.uint32(15))) >> np.uint32(32 - SLOT_BITS)).astype(np.int64)
+        slot[ends[:-1]] = 1 << SLOT_BITS
         # a run of one symbol holds its pair once for every two symbols, from the run's start
-        same = np.flatnonzero((key[1:] == key[:-1]) & (key[1:] >= 0)) + 1
+        alike = (seq[1:] == seq[:-1]) & ~ends[:-1]
+        same = np.flatnonzero(alike[1:] & alike[:-1]) + 1
         if len(same):
             cut = np.flatnonzero(np.diff(same) != 1) + 1
             begin = np.repeat(same[np.concatenate([[0], cut])], np.diff(np.concatenate([[0], cut, [len(same)]])))
-            key[same[(same - begin) % 2 == 0]] = -1
-        # counts by hash are no less than the pairs' own, so few pairs need an exact count
-        slot = ((key * MIX) >> np.int64(64 - SLOT_BITS)) & ((1 << SLOT_BITS) - 1)
-        real = key >= 0
-        rough = np.bincount(slot[real], minlength=1 << SLOT_BITS)
+            slot[same[(same - begin) % 2 == 0]] = 1 << SLOT_BITS
+        rough = np.bincount(slot, minlength=(1 << SLOT_BITS) + 1)
+        rough[-1] = 0
         top = int(rough.max())
         if top < LEAST:
             break
-        floor = max(LEAST, min(top // TOP, floor or top))
-        near = np.flatnonzero((rough >= floor)[slot] & real)
-        pairs, counts = np.unique(key[near], return_counts=True)
+        floor = max(LEAST, min(top // TOP, ceiling or top))
+        near = np.flatnonzero((rough >= floor)[slot])
+        key = (seq[near].astype(np.int64) << 32) | seq[near + 1]
+        pairs, counts = np.unique(key, return_counts=True)
         take = counts >= floor
-        if not take.any():
+        if not take.any():   # different pairs shared the slots
             if floor == LEAST:
                 break
-            floor = max(LEAST, floor // 2)
+            ceiling = max(LEAST, floor // 2)
             continue
-        pairs, counts = pairs[take], counts[take]
-        floor = None
-        rank = np.empty(len(pairs), np.int64)
+        pairs, counts, ceiling = pairs[take], counts[take], None
+        rank = np.empty(len(pairs), np.int32)
         rank[np.argsort(-counts, kind="stable")] = np.arange(len(pairs))
         # an occurrence gives way unless a neighbour that overlaps it has a better rank
-        hit = np.minimum(np.searchsorted(pairs, key[near]), len(pairs) - 1)
-        mine = np.full(len(key), len(pairs))
-        mine[near] = np.where(pairs[hit] == key[near], rank[hit], len(pairs))
-        better = np.concatenate([[len(pairs)], mine, [len(pairs)]])
-        chosen = np.flatnonzero((mine < len(pairs)) & (mine < better[:-2]) & (mine < better[2:]))
-        # the best pair keeps at least half its places, so each round makes a rule; rules used once are not worth it
-        used = np.bincount(mine[chosen], minlength=len(pairs))
-        chosen = chosen[used[mine[chosen]] > 1]
+        hit = np.minimum(np.searchsorted(pairs, key), len(pairs) - 1)
+        mine = np.full(len(seq) + 1, len(pairs), np.int32)   # of the pair at i: mine[i + 1]
+        mine[near + 1] = np.where(pairs[hit] == key, rank[hit], len(pairs))
+        at = near + 1
+        chosen = near[(mine[at] < len(pairs)) & (mine[at] < mine[at - 1]) & (mine[at] < mine[at + 1])]
+        # the best pair keeps its places, so each round makes a rule; rules used once are not worth it
+        used = np.bincount(mine[chosen + 1], minlength=len(pairs))
+        chosen = chosen[used[mine[chosen + 1]] > 1]
         if not len(chosen):
             break
         symbol = np.cumsum(used > 1) - 1 + n_terminals + made
-        by_rank = np.argsort(rank)
-        new = pairs[by_rank[used > 1]]
+        new = pairs[np.argsort(rank)[used > 1]]
         new = np.column_stack([new >> 32, new & 0xFFFFFFFF])
         have = np.concatenate(spans)
         size = lambda s: np.where(s < n_terminals, 1, have[np.maximum(s - n_terminals, 0)] if len(have) else 1)
         rules.append(new)
         spans.append(size(new[:, 0]) + size(new[:, 1]))
         made += len(new)
-        seq[chosen] = symbol[mine[chosen]]
+        seq[chosen] = symbol[mine[chosen + 1]]
         ends[chosen] = ends[chosen + 1]
         keep = np.ones(len(seq), bool)
         keep[chosen + 1] = False
@@ -171,11 +203,13 @@ class Shard:
     """A shard of the file format, read."""
 
     def __init__(self, row: dict):
-        of = lambda name: np.frombuffer(row[name], U32).astype(np.int64)
+        of = lambda name, kind=U32: np.frombuffer(row[name], kind).astype(np.int64)
         self.doc_ids, self.before, self.n_tokens = row["doc_ids"], row["before"], row["n_tokens"]
         self.n_terminals = row["n_terminals"]
         self.doc_tokens, self.doc_symbols = of("doc_tokens"), of("doc_symbols")
-        self.rules, self.spans, self.symbols = of("rules").reshape(-1, 2), of("spans"), of("symbols")
+        self.spans = of("spans")
+        kind = U16 if self.n_terminals + len(self.spans) <= 1 << 16 else U32
+        self.rules, self.symbols = of("rules", kind).reshape(-1, 2), of("symbols", kind)
 
     def _size(self, symbols: np.ndarray) -> np.ndarray:
         out = np.ones(len(symbols), np.int64)
@@ -254,8 +288,9 @@ def compress(coded: list[bytes], ids: list, n_terminals: int) -> dict:
     ends = np.zeros(len(raw), bool)
     ends[np.cumsum(sizes) - 1] = True
     symbols, ends, rules, spans = repair(raw, ends, n_terminals)
-    pack = lambda a: np.asarray(a).astype(U32).tobytes()
-    return {"n_tokens": len(raw), "doc_ids": ids, "n_terminals": n_terminals, "rules": pack(rules.ravel()), "spans": pack(spans), "symbols": pack(symbols),
+    pack = lambda a, kind=U32: np.asarray(a).astype(kind).tobytes()
+    kind = U16 if n_terminals + len(rules) <= 1 << 16 else U32
+    return {"n_tokens": len(raw), "doc_ids": ids, "n_terminals": n_terminals, "rules": pack(rules.ravel(), kind), "spans": pack(spans), "symbols": pack(symbols, kind),
             "doc_tokens": pack(np.concatenate([[0], np.cumsum(sizes)])), "doc_symbols": pack(np.concatenate([[0], np.flatnonzero(ends) + 1]))}
 
 
@@ -271,14 +306,18 @@ def write(docs: DataFrame, spec: str, end_id: int = 0, id: str = "doc_id", text:
     # the last key parts rows that are equal
     rows = rows.withColumn("h", F.xxhash64("t")).withColumn("rid", F.monotonically_increasing_id())
     rows = rows.repartitionByRange(parts, "id", "h", "rid").sortWithinPartitions("id", "h", "rid").select("id", "t")
-    shared = spark.sparkContext.broadcast(spec)
+    shared = spark.sparkContext.broadcast({"spec": spec})
+    arrow_batches(spark)
     schema = _schema(id_type)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value, end_id)
+        held = shared.value   # a worker has one: its next task finds the encoder and the pieces it knows
+        if end_id not in held:
+            held[end_id] = Encoder(held["spec"], end_id)
+        encoder = held[end_id]
         n_terminals = max(encoder.tokenizer.get_vocab_size(), end_id + 1)
         place, seq, before = TaskContext.get().partitionId(), 0, 0
-        coded, ids, held = [], [], 0
+        coded, ids, n = [], [], 0
 
         def close(kind: pa.DataType) -> pa.RecordBatch:
             row = {"range": place, "seq": seq, "before": before} | compress(coded, ids, n_terminals)
@@ -289,13 +328,13 @@ def write(docs: DataFrame, spec: str, end_id: int = 0, id: str = "doc_id", text:
         for batch in batches:
             kind = batch.schema.field("id").type
             for key, text in zip(batch.column("id"), batch.column("t")):
-                b = encoder.encode([text.as_py()])[0]
+                b = encoder.encode(text.as_py())
                 coded.append(b)
                 ids.append(key.as_py())
-                held += len(b) // 4
-                if held >= SHARD:
+                n += len(b) // 4
+                if n >= SHARD:
                     yield close(kind)
-                    coded, ids, seq, before, held = [], [], seq + 1, before + held, 0
+                    coded, ids, seq, before, n = [], [], seq + 1, before + n, 0
         if ids:
             yield close(kind)
 
@@ -305,14 +344,14 @@ def write(docs: DataFrame, spec: str, end_id: int = 0, id: str = "doc_id", text:
 def _bases(shards: DataFrame) -> DataFrame:
     """(range, base): ids before each part; one row for each task that wrote."""
     parts = shards.groupBy("range").agg(F.sum("n_tokens").alias("n"))
-    return parts.select("range", F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    bases = parts.select("range", F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    return F.broadcast(bases) if parts.count() <= MOST_SENT else bases
 
 
 def documents(shards: DataFrame, id: str = "doc_id") -> DataFrame:
     """(id, start, ids): each document's ids as the file's bytes, and how many ids stand before it."""
     id_type = shards.schema["doc_ids"].dataType.elementType
-    schema = T.StructType([T.StructField(id, id_type), T.StructField("range", T.IntegerType()),
-                           T.StructField("at", T.LongType()), T.StructField("ids", T.BinaryType())])
+    schema = T.StructType([T.StructField(id, id_type), T.StructField("start", T.LongType()), T.StructField("ids", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -321,12 +360,11 @@ def documents(shards: DataFrame, id: str = "doc_id") -> DataFrame:
                 keys = batch.column("doc_ids")[k].values
                 shard = Shard(row | {"doc_ids": keys})
                 coded = [ids.astype(U32).tobytes() for ids in shard.documents()]
-                at = shard.before + shard.doc_tokens[:-1]
-                yield pa.RecordBatch.from_arrays([keys, pa.array(np.full(len(coded), row["range"], np.int32)), pa.array(at), pa.array(coded, pa.binary())],
-                                                 names=schema.names)
+                start = row["base"] + shard.before + shard.doc_tokens[:-1]
+                yield pa.RecordBatch.from_arrays([keys, pa.array(start), pa.array(coded, pa.binary())], names=schema.names)
 
-    out = shards.mapInArrow(run, schema).join(_bases(shards), "range")
-    return out.select(id, (F.col("base") + F.col("at")).alias("start"), "ids")
+    # bases join the compressed rows, not the documents
+    return shards.join(_bases(shards), "range").mapInArrow(run, schema)
 
 
 def window(shards: DataFrame, first: int, count: int) -> DataFrame:

@@ -31,17 +31,17 @@ def shard(docs, n_terminals=300):
 @given(st.lists(st.sampled_from(["a", "The", "don't", " ", "  ", "\n", "\t", " \n", " ", "　", "\x1c", "\x85", "é", "東京", "x1", "...", "<|endoftext|>", "😀", "\x00", "᠎"]), max_size=30).map("".join))
 @settings(max_examples=300, deadline=None)
 def test_encoder_equals_library(text):
-    assert ENCODER.by_words
-    assert np.frombuffer(ENCODER.encode([text])[0], ts.U32).tolist() == library(text)
+    assert ENCODER.by_pieces
+    assert np.frombuffer(ENCODER.encode(text), ts.U32).tolist() == library(text)
 
 
 def test_other_tokenizers_encode_whole_texts():
     spec = open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read()
     other, texts = ts.Encoder(spec, 0), ["Hello  World don't", "", "a b\nc"]
-    assert not other.by_words
+    assert not other.by_pieces
     t = Tokenizer.from_str(spec)
     t.encode_special_tokens = True
-    assert [np.frombuffer(b, ts.U32).tolist() for b in other.encode(texts)] == [[*t.encode(x, add_special_tokens=False).ids, 0] for x in texts]
+    assert [np.frombuffer(b, ts.U32).tolist() for b in map(other.encode, texts)] == [[*t.encode(x, add_special_tokens=False).ids, 0] for x in texts]
 
 
 @given(st.lists(st.lists(st.integers(0, 4), max_size=120).map(lambda d: [*d, 0]), min_size=1, max_size=12), st.data())
@@ -76,8 +76,16 @@ def test_collisions_of_the_rough_counts(monkeypatch):
     assert [d.tolist() for d in s.documents()] == docs and len(s.rules)
 
 
-@pytest.mark.parametrize("size,rows", [(1, 3), (50, 2), (1 << 18, 20_000)])
-def test_tables(spark, docs_of, monkeypatch, size, rows):
+def test_wide_symbols():
+    """Vocabularies whose symbols need more than 16 bits."""
+    docs = [[70_000, 70_001, 0] * 40, [65_536, 1, 0]]
+    s = shard(docs, n_terminals=100_000)
+    assert [d.tolist() for d in s.documents()] == docs and s.tokens(2, 3).tolist() == [0, 70_000, 70_001] and len(s.rules)
+
+
+@pytest.mark.parametrize("size,rows,sent", [(1, 3, 0), (50, 2, 100), (1 << 18, 20_000, 100)])
+def test_tables(spark, docs_of, monkeypatch, size, rows, sent):
+    monkeypatch.setattr(ts, "MOST_SENT", sent)
     monkeypatch.setattr(ts, "SHARD", size)
     monkeypatch.setattr(ts, "ROWS_PER_RANGE", rows)
     texts = ["Hello world", "", None, "the cat the cat " * 200, "é東 ", "Hello world", "x" * 5000, "b"]
