@@ -149,3 +149,24 @@ def exact_percentile(df: DataFrame, value: str, q: float, keys: Sequence[str] =
         return res.agg(F.max("percentile").alias("percentile"))   # one row, also for no values
     return (df.select("_g").distinct().join(res, "_g", "left")
               .select(*[F.col(f"_g.k{i}").alias(k) for i, k in enumerate(out_keys)], "percentile"))
+
+
+def suffix_sums(per_value: DataFrame, value: str, sums: Sequence[str], buckets: int = 64) -> DataFrame:
+    """(value, sums): the totals of `sums` over all rows whose value is this one or greater.
+
+    `per_value` has one row for each value. Values fall into ordered buckets by
+    approximate quantiles; sums are taken inside a bucket and the totals of the
+    buckets above (a handful of rows) are added, so no task orders all values.
+    """
+    probs = [i / buckets for i in range(1, buckets)]
+    bounds = per_value.agg(F.percentile_approx(value, probs, 10000)).scalar()
+    b = per_value.select(value, *sums).withColumn("_bounds", bounds)
+    # one bucket, or no rows: no bounds
+    below = F.size(F.filter("_bounds", lambda x: x < F.col(value)))
+    b = b.withColumn("_b", F.when(F.col("_bounds").isNull(), 0).otherwise(below)).drop("_bounds")
+    above = Window.orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    totals = b.groupBy("_b").agg(*[F.sum(c).alias(c) for c in sums])
+    totals = totals.select("_b", *[F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"_above_{c}") for c in sums])
+    inside = Window.partitionBy("_b").orderBy(F.col(value).desc()).rowsBetween(Window.unboundedPreceding, 0)
+    out = b.select(value, "_b", *[F.sum(c).over(inside).alias(c) for c in sums]).join(totals, "_b")
+    return out.select(value, *[(F.col(c) + F.col(f"_above_{c}")).alias(c) for c in sums])

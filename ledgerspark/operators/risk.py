@@ -7,13 +7,14 @@ and AUC is the exact rank statistic of ``functions.stats.rank_auc``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.stats import exact_percentile, rank_auc
@@ -126,6 +127,45 @@ def risk_feature_importance(spark: SparkSession, model: PipelineModel,
     return df.orderBy(F.col("importance").desc(), "feature")
 
 
+def plain_score() -> Column:
+    """A fixed risk score of the features: losses and delay count, time between failures speaks against."""
+    return (F.col("packet_loss") * 2.0 + F.col("latency") * 0.05 - F.col("mtbf") * 0.0001) + (100.0 - F.col("uptime"))
+
+
+def _permuted(rows: DataFrame, feature: str, turn: int, features: Sequence[str], seed: int, blocks: int) -> DataFrame:
+    """The rows with one feature's values dealt anew: two hash orders of a block's rows, values of the one to rows of the other."""
+    def h(name: str) -> Column:
+        return F.md5(F.concat_ws("|", F.lit(f"{seed}|{turn}|{feature}|{name}"), F.col("service_area"), F.col("period").cast("string")))
+
+    block = F.pmod(F.conv(F.substring(h("block"), 1, 8), 16, 10).cast("long"), F.lit(blocks))
+    src = rows.withColumns({"_b": block, "_to": h("to"), "_from": h("from")})
+    taker = F.struct("_to", LABEL, *[F.col(f) for f in features if f != feature])
+    dealt = src.groupBy("_b").agg(F.sort_array(F.collect_list(taker)).alias("_rows"),      # a block's rows: bounded
+                                  F.sort_array(F.collect_list(F.struct("_from", F.col(feature).alias("value")))).alias("_values"))
+    each = dealt.select(F.explode(F.arrays_zip("_rows", "_values")).alias("e"))
+    return each.select(F.lit(feature).alias("feature"), F.lit(turn).alias("turn"), F.col(f"e._rows.{LABEL}").alias(LABEL),
+                       *[F.col("e._values.value").alias(f) if f == feature else F.col(f"e._rows.{f}").alias(f) for f in features])
+
+
+def permutation_importance(test: DataFrame, score: Callable[[DataFrame], DataFrame], features: Sequence[str] = FEATURES, turns: int = 3,
+                           seed: int = 11, block_rows: int = 4096) -> DataFrame:
+    """G5 for any score: (feature, auc, permuted_auc, importance) on the rows given, the mean over `turns`.
+
+    A feature's importance is what the AUC loses when its values are dealt anew
+    among the rows. Rows are dealt within blocks by hashes of (area, month) and the
+    seed, so the result depends neither on partitioning nor on one global order.
+    `score` adds `score` to a frame of features; the AUC is exact (`rank_auc`), NULL
+    with one class of labels. Rows are (area, month): one each.
+    """
+    rows = test.select("service_area", "period", LABEL, *features)
+    blocks = max(1, -(-rows.count() // block_rows))
+    frames = [_permuted(rows, f, t, features, seed, blocks) for f in features for t in range(turns)]
+    permuted = rank_auc(score(reduce(DataFrame.unionByName, frames)), "score", LABEL, keys=["feature", "turn"])
+    base = rank_auc(score(rows), "score", LABEL).select("auc").scalar()
+    means = permuted.groupBy("feature").agg(F.avg("auc").alias("permuted_auc"))
+    return means.select("feature", base.alias("auc"), "permuted_auc", (base - F.col("permuted_auc")).alias("importance"))
+
+
 def risk_watchlist(model: PipelineModel, labeled: DataFrame) -> DataFrame:
     """Each area's latest labelled month scored, highest risk first."""
     s = score(model, watch_months(labeled), "risk_score")

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.rules import DECOMMISSIONED, EVAL_LABELS, FINDINGS, LABELS, ladder, line_count, lines_where, safe_div
@@ -110,23 +110,58 @@ def triage_sample(classified: DataFrame, n: int = 3, order: str = "invoice_id")
                    .select("invoice_id", "predicted", note().alias("note")))
 
 
+def _finding_counts(invoices: DataFrame, *keys: str) -> DataFrame:
+    """(keys, before, n): lines by the finding that their own status gives.
+
+    Another status changes a line's finding to ghost or not at all, so these
+    counts are all that a re-audit needs: a CI that holds a third of the lines
+    is a few rows before any join.
+    """
+    before = ladder(F.col("billed_amount"), F.col("contracted_rate"), F.col("ci_status"), FINDINGS)
+    return invoices.groupBy(*keys, before.alias("before")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _changes(judged: DataFrame) -> DataFrame:
+    """(finding, n_invoice_status, n_cmdb_status, change) of (before, n, retired)."""
+    after = F.when(F.col("retired"), F.lit(FINDINGS[0])).otherwise(F.col("before"))
+    zero = F.lit(0).cast("long")
+    both = judged.groupBy("before", after.alias("after")).agg(F.sum("n").alias("n")).select(F.inline(F.array(
+        F.struct(F.col("before").alias("finding"), F.col("n").alias("b"), zero.alias("a")),
+        F.struct(F.col("after").alias("finding"), zero.alias("b"), F.col("n").alias("a")))))
+    g = both.groupBy("finding").agg(F.sum("b").alias("n_invoice_status"), F.sum("a").alias("n_cmdb_status"))
+    return g.withColumn("change", F.col("n_cmdb_status") - F.col("n_invoice_status"))
+
+
 def audit_cmdb_status(invoices: DataFrame, cmdb: DataFrame) -> DataFrame:
     """H7: re-audit with the CMDB's status (ghost if either record says decommissioned).
 
-    Every line contributes to its finding before and after in one pass
-    (inline of two structs), so there is one aggregate and no second join.
+    A CI that the CMDB lists more than once counts once: it is decommissioned if any record says so.
     """
-    c = cmdb.select("ci_id", F.col("status").alias("_cmdb_status"))
-    j = invoices.join(c, "ci_id", "left")
-    billed, contracted = F.col("billed_amount"), F.col("contracted_rate")
-    combined = F.when((F.col("ci_status") == DECOMMISSIONED)
-                      | (F.col("_cmdb_status") == DECOMMISSIONED), F.lit(DECOMMISSIONED)) \
-                .otherwise(F.col("ci_status"))
-    before = ladder(billed, contracted, F.col("ci_status"), FINDINGS)
-    after = ladder(billed, contracted, combined, FINDINGS)
-    both = j.select(F.inline(F.array(
-        F.struct(before.alias("finding"), F.lit(1).alias("b"), F.lit(0).alias("a")),
-        F.struct(after.alias("finding"), F.lit(0).alias("b"), F.lit(1).alias("a")))))
-    g = both.groupBy("finding").agg(F.sum("b").cast("long").alias("n_invoice_status"),
-                                    F.sum("a").cast("long").alias("n_cmdb_status"))
-    return g.withColumn("change", F.col("n_cmdb_status") - F.col("n_invoice_status"))
+    retired = cmdb.groupBy("ci_id").agg(F.coalesce(F.max(F.col("status") == DECOMMISSIONED), F.lit(False)).alias("retired"))
+    return _changes(_finding_counts(invoices, "ci_id").join(retired, "ci_id", "left").withColumn("retired", F.coalesce("retired", F.lit(False))))
+
+
+def status_spans(history: DataFrame) -> DataFrame:
+    """(ci_id, since, until, retired): the months for which a status holds, from (ci_id, status, valid_from).
+
+    A status holds from the month of `valid_from` until the next record's month
+    (`until` NULL: to the end). Of records of one month a decommissioning counts;
+    records that repeat a status are merged; records without a date are left out.
+    """
+    month = F.trunc("valid_from", "month").alias("since")
+    known = history.where(F.col("valid_from").isNotNull()).groupBy("ci_id", month).agg(
+        F.coalesce(F.max(F.col("status") == DECOMMISSIONED), F.lit(False)).alias("retired"))
+    of_ci = Window.partitionBy("ci_id").orderBy("since")   # at most a row a month
+    turns = known.withColumn("_was", F.lag("retired").over(of_ci)).where(F.col("_was").isNull() | (F.col("_was") != F.col("retired")))
+    return turns.select("ci_id", "since", F.lead("since").over(of_ci).alias("until"), "retired")
+
+
+def audit_status_as_of(invoices: DataFrame, history: DataFrame) -> DataFrame:
+    """H7 with the status of the invoice month: an as-of join over the status history.
+
+    Months before a CI's first record, and CIs without any, keep the invoice's status.
+    """
+    spans = status_spans(history).withColumnRenamed("ci_id", "_ci")
+    counts = _finding_counts(invoices, "ci_id", "period")
+    held = (F.col("ci_id") == F.col("_ci")) & (F.col("period") >= F.col("since")) & (F.col("until").isNull() | (F.col("period") < F.col("until")))
+    return _changes(counts.join(spans, held, "left").withColumn("retired", F.coalesce("retired", F.lit(False))))

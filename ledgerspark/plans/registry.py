@@ -21,6 +21,7 @@ from ledgerspark.operators import chargeback as E
 from ledgerspark.operators import descriptive as C
 from ledgerspark.operators import deviation as V
 from ledgerspark.operators import forecast as FC
+from ledgerspark.operators import learned as L
 from ledgerspark.operators import marts as M
 from ledgerspark.operators import quality as Q
 from ledgerspark.operators import risk as G
@@ -84,6 +85,8 @@ def q_source_profile(spark, sf):
     src = _ms(spark, sf).src
     out = None
     for name, df in src.items():
+        if name == "status_history":   # a view of the CMDB
+            continue
         r = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("source"), "rows")
         out = r if out is None else out.unionByName(r)
     return out
@@ -454,6 +457,12 @@ def q_risk_feature_importance(spark, sf):
     return rnd(G.risk_feature_importance(spark, _model(spark, sf)[1]), d6=("importance",))
 
 
+def q_risk_permutation_importance(spark, sf):
+    test = G.time_split(_labeled(spark, sf), _n_train(spark, sf)).where(F.col("split") == "test")
+    out = G.permutation_importance(test, lambda df: df.withColumn("score", G.plain_score()))
+    return rnd(out, d6=("auc", "permuted_auc", "importance"))
+
+
 def q_risk_watchlist(spark, sf):
     lab, model, _ = _model(spark, sf)
     return as_long(rnd(G.risk_watchlist(model, lab), d6=("risk_score",)), "position")
@@ -482,6 +491,32 @@ def q_triage_accuracy(spark, sf):
     return H.triage_accuracy(_ms(spark, sf).cube)
 
 
+def _train_and_later(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """The lines with their truth, of the training months and of those after."""
+    lines = H.with_truth(_ms(spark, sf).src.invoices)
+    months = _ms(spark, sf).cube.select("period").distinct()
+    cut = G.time_split(months, _n_train(spark, sf)).select(F.max("cut")).scalar()
+    return lines.where(F.col("period") < cut), lines.where(F.col("period") >= cut)
+
+
+def _thresholds(spark, sf):
+    ms = _ms(spark, sf)
+    ratios = ms.keep("triage_ratios", lambda: L.ratio_counts(_train_and_later(spark, sf)[0]))
+    return ms.keep("triage_thresholds", lambda: L.learn_thresholds(ratios))
+
+
+def q_triage_thresholds(spark, sf):
+    return _thresholds(spark, sf)
+
+
+def q_triage_learned_eval(spark, sf):
+    """The rules and the learnt thresholds on the months that nothing was learnt from."""
+    later = _train_and_later(spark, sf)[1]
+    both = {"rules": H.rule_classifier, "learned": L.learned_classifier(_thresholds(spark, sf))}
+    parts = [H.triage_eval(H.classify(later, c)).withColumn("classifier", F.lit(name)) for name, c in both.items()]
+    return parts[0].unionByName(parts[1])
+
+
 def q_triage_sample(spark, sf):
     return H.triage_sample(H.classify(_ms(spark, sf).src.invoices))
 
@@ -491,6 +526,14 @@ def q_audit_cmdb_status(spark, sf):
     return H.audit_cmdb_status(src.invoices, src.cmdb)
 
 
+def q_audit_status_as_of(spark, sf):
+    src = _ms(spark, sf).src
+    # raw tables keep one status a CI: it holds from the installation
+    history = src.status_history if src.status_history is not None else src.cmdb.select(
+        "ci_id", "status", F.col("install_date").alias("valid_from"))
+    return H.audit_status_as_of(src.invoices, history)
+
+
 # ---- streaming ------------------------------------------------------------------
 
 def _stream_paths(spark, sf, name):
@@ -612,6 +655,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "risk_auc": q_risk_auc,
     "risk_model_auc": q_risk_model_auc,
     "risk_feature_importance": q_risk_feature_importance,
+    "risk_permutation_importance": q_risk_permutation_importance,
     "risk_watchlist": q_risk_watchlist,
     "risk_separation": q_risk_separation,
     "triage_classify": q_triage_classify,
@@ -619,8 +663,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "triage_eval": q_triage_eval,
     "triage_confusion": q_triage_confusion,
     "triage_accuracy": q_triage_accuracy,
+    "triage_thresholds": q_triage_thresholds,
+    "triage_learned_eval": q_triage_learned_eval,
     "triage_sample": q_triage_sample,
     "audit_cmdb_status": q_audit_cmdb_status,
+    "audit_status_as_of": q_audit_status_as_of,
     "dq_checks": q_dq_checks,
     "triage_gate": q_triage_gate,
     "mart_presence": q_mart_presence,
@@ -631,3 +678,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 # Keys whose result comes from a trained model (MLlib trees): checked by rows only.
 ROWS_ONLY = ("risk_scores", "risk_model_auc", "risk_feature_importance", "risk_watchlist")
+
+# Keys that go beyond the reference's own results (variants, other mechanisms); the rest are its operators.
+BEYOND = ("source_rejects", "mart_refresh", "mart_refresh_log", "spc_history", "consumption_weights_exact", "chargeback_statement_exact",
+          "forecast_backtest", "forecast_backtest_by_area", "risk_frame", "risk_watch_months", "risk_permutation_importance",
+          "triage_thresholds", "triage_learned_eval", "audit_status_as_of", "stream_spc_alerts")

@@ -37,7 +37,8 @@ CONSUMPTION = _schema(("service_area", S), ("business_unit", S), ("units", D))
 # View names for SQL users (raw table stems of the source layout).
 VIEW_NAMES = {"invoices": "telecom_invoices", "incidents": "servicenow_incidents",
               "telemetry": "itom_telemetry", "cmdb": "servicenow_cmdb", "budget": "coupa_pos",
-              "gl": "sap_gl", "consumption": "consumption", "weights": "chargeback_weights"}
+              "gl": "sap_gl", "consumption": "consumption", "weights": "chargeback_weights",
+              "status_history": "cmdb_status_history"}
 
 # The raw table names (file stems) of the source layout.
 # Raw table name (file stem) -> declared schema. The weight matrix is wide with

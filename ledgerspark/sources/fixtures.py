@@ -63,6 +63,21 @@ def cmdb_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def status_history_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(ci_id, status, valid_from): active from the start; decommissioned and taken up again by the part's size."""
+    p = read_table(spark, sf_dir, "part")
+    size = F.col("p_size")
+    start = F.lit("1995-01-01").cast("date")
+
+    def turn(status, at):
+        return F.struct(F.lit(status).alias("status"), at.alias("valid_from"))
+
+    turns = F.array(turn("Active", F.lit("1990-01-01").cast("date")),
+                    F.when(size % 4 == 0, turn("Decommissioned", F.add_months(start, size))),
+                    F.when(size % 8 == 0, turn("Active", F.add_months(start, size + 24))))
+    return p.select(F.col("p_partkey").alias("ci_id"), F.inline(F.filter(turns, lambda t: t.isNotNull())))
+
+
 PART_BUCKET = 1024   # parts per ordered bucket of a hot (order, line) pair
 INVOICE_KEY = ["l_orderkey", "l_linenumber"]
 INVOICE_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
@@ -227,4 +242,5 @@ def fixture_sources(spark: SparkSession, sf_dir: str, ids: str = "window") -> So
         telemetry=telemetry_view(spark, sf_dir),
         budget=budget_view(inv),
         consumption=consumption_view(spark, sf_dir),
+        status_history=status_history_view(spark, sf_dir),
     )

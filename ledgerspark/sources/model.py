@@ -17,6 +17,7 @@ class Sources:
     consumption: DataFrame | None = None
     weights: DataFrame | None = None   # long (service_area, business_unit, weight)
     gl: DataFrame | None = None
+    status_history: DataFrame | None = None   # (ci_id, status, valid_from)
 
     def items(self):
         for f in fields(self):
