@@ -40,6 +40,7 @@ from .common import blank_if_null, read_table, stage, with_row_id
 LENGTH = 400
 SPAN = 200                 # start positions that share a suffix at first
 FINER = (5, 5, 8)          # each level divides them; together SPAN
+PASSAGE, PASSAGE_SPAN = 300, 100   # bytes of about fifty words, and start positions that share a suffix
 GRAM = 16                  # bytes hashed to choose suffixes
 PART = 1 << 20             # bytes of a text that are winnowed at once
 SAMPLE_DOCS, SAMPLE_RECORDS = 2000, 100_000
@@ -271,6 +272,19 @@ def covered(texts: DataFrame, length: int = LENGTH, span: int = SPAN, finer_by:
     return out
 
 
+def passages(texts: DataFrame, length: int = PASSAGE, span: int = PASSAGE_SPAN) -> DataFrame:
+    """(r), each once: texts (r, t) with a passage that stands elsewhere too.
+
+    The operator's first level alone: suffixes chosen among ``span`` neighbours, equal in the
+    ``length - span + 1`` bytes that follow. Every repeated string of ``length`` bytes is found, none
+    shorter than those bytes.
+    """
+    partitions, n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), texts.count()
+    sample = suffixes(texts.where(F.pmod(F.xxhash64("r"), F.lit(max(1, n // SAMPLE_DOCS))) == 0), length, span)
+    found = shared_records(suffixes(texts, length, span), sample_splitters(sample, 4 * partitions), partitions)
+    return found.where("shared and not edge").select("r").unionByName(settle(found).select("r")).distinct()
+
+
 def keep_masks(starts: np.ndarray, stops: np.ndarray, n: int) -> tuple[np.ndarray, int]:
     """Which bytes stay, and how many maximal runs go."""
     edge = np.zeros(n + 1, np.int64)
@@ -280,13 +294,21 @@ def keep_masks(starts: np.ndarray, stops: np.ndarray, n: int) -> tuple[np.ndarra
     return ~gone, int((gone[1:] & ~gone[:-1]).sum() + (gone[:1].sum() if n else 0))
 
 
-def dedup(docs: DataFrame, text: str = "text", carry: tuple[str, ...] = ("doc_id",), length: int = LENGTH) -> DataFrame:
-    """Carried columns, n_bytes, n_removed, n_spans and ``kept`` (binary: the bytes that stay) for every row."""
+def dedup(docs: DataFrame, text: str = "text", carry: tuple[str, ...] = ("doc_id",), length: int = LENGTH, passage: bool = False) -> DataFrame:
+    """Carried columns, n_bytes, n_removed, n_spans and ``kept`` (binary: the bytes that stay) for every row.
+
+    With ``passage`` also ``repeats``: whether the row holds a passage of about fifty words, too short to be
+    removed maybe, that stands elsewhere too (``passages``).
+    """
     spark = docs.sparkSession
     keyed = with_row_id(docs.select(*carry, blank_if_null(F.col(text)).alias("t")), "r")
     texts = bucketed(keyed, "r", int(spark.conf.get("spark.sql.shuffle.partitions")), "texts")
     ranges = covered(texts.select("r", "t"), length).groupBy("r").agg(F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops"))
-    schema = ", ".join(f"{c} {texts.schema[c].dataType.simpleString()}" for c in carry) + ", n_bytes long, n_removed long, n_spans long, kept binary"
+    rows = texts.join(ranges, "r", "left")
+    if passage:
+        rows = rows.join(passages(texts.select("r", "t")).withColumn("repeats", F.lit(True)), "r", "left").withColumn("repeats", F.coalesce("repeats", F.lit(False)))
+    extra = ("repeats",) if passage else ()
+    schema = ", ".join(f"{c} {texts.schema[c].dataType.simpleString()}" for c in carry) + ", n_bytes long, n_removed long, n_spans long, kept binary" + (", repeats boolean" if passage else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -303,13 +325,13 @@ def dedup(docs: DataFrame, text: str = "text", carry: tuple[str, ...] = ("doc_id
                 spans.append(runs)
                 kept.append(left)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carry), pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
-                                              pa.array(spans, pa.int64()), pa.array(kept, pa.binary())],
-                                             names=[*carry, "n_bytes", "n_removed", "n_spans", "kept"])
+                                              pa.array(spans, pa.int64()), pa.array(kept, pa.binary()), *(batch.column(c) for c in extra)],
+                                             names=[*carry, "n_bytes", "n_removed", "n_spans", "kept", *extra])
 
-    return texts.join(ranges, "r", "left").select(*carry, "t", "starts", "stops").mapInArrow(run, schema)
+    return rows.select(*carry, "t", "starts", "stops", *extra).mapInArrow(run, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"), passage=True)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
-                      F.octet_length("kept").cast("long").alias("n_kept"), F.decode(F.col("kept"), F.lit("UTF-8")).alias("kept_text"))
+                      F.octet_length("kept").cast("long").alias("n_kept"), "repeats")

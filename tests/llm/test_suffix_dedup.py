@@ -83,3 +83,31 @@ def test_query(spark, sf_small):
     want = brute([r.text for r in rows], 400)
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in sd.query(spark, sf_small).collect()}
     assert [got[r.doc_id] for r in rows] == [(a, b, c, hashlib.sha256(k).hexdigest()) for a, b, c, k in want]
+
+
+def test_passages(spark, sf_small):
+    """Every row with a 300-byte string that stands elsewhere is marked, none without a shared 201-byte string."""
+    rng = np.random.default_rng(9)
+
+    def prose(n):
+        return "".join(rng.choice(list("abcdefgh é\n"), n))
+
+    passage = prose(320)
+    texts = [prose(700) + passage, passage[:310] + prose(90), prose(500), prose(150), "", None, "z" * 250, "z" * 700, prose(400) + passage[:180] + prose(50)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id for r in sd.dedup(rows, passage=True).where("repeats").collect()}
+    assert {0, 1, 7} <= got <= {0, 1, 6, 7}
+    assert sd.dedup(rows.limit(0), passage=True).count() == 0
+
+    rows = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text").collect()
+
+    def holders(n):
+        at = {}
+        for r in rows:
+            raw = (r.text or "").encode()
+            for i in range(len(raw) - n + 1):
+                at.setdefault(raw[i:i + n], set()).add((r.doc_id, i))
+        return {d for s in at.values() if len(s) > 1 for d, _ in s}
+
+    got = {r.doc_id for r in sd.query(spark, sf_small).where("repeats").collect()}
+    assert holders(sd.PASSAGE) <= got <= holders(sd.PASSAGE - sd.PASSAGE_SPAN + 1)
