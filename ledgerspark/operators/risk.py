@@ -8,7 +8,6 @@ and AUC is the exact rank statistic of ``functions.stats.rank_auc``.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
@@ -132,19 +131,26 @@ def plain_score() -> Column:
     return (F.col("packet_loss") * 2.0 + F.col("latency") * 0.05 - F.col("mtbf") * 0.0001) + (100.0 - F.col("uptime"))
 
 
-def _permuted(rows: DataFrame, feature: str, turn: int, features: Sequence[str], seed: int, blocks: int) -> DataFrame:
-    """The rows with one feature's values dealt anew: two hash orders of a block's rows, values of the one to rows of the other."""
+def _permuted(rows: DataFrame, turns: int, features: Sequence[str], seed: int, blocks: int) -> DataFrame:
+    """(feature, turn, label, features): the rows with one feature's values dealt anew, for each feature and turn.
+
+    A block's rows have two hash orders; values of the one go to the rows of the other.
+    """
+    grid = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(t).alias("turn")) for f in features for t in range(turns)])
+
     def h(name: str) -> Column:
-        return F.md5(F.concat_ws("|", F.lit(f"{seed}|{turn}|{feature}|{name}"), F.col("service_area"), F.col("period").cast("string")))
+        return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("turn").cast("string"), "feature", F.lit(name), "service_area", F.col("period").cast("string")))
 
-    block = F.pmod(F.conv(F.substring(h("block"), 1, 8), 16, 10).cast("long"), F.lit(blocks))
-    src = rows.withColumns({"_b": block, "_to": h("to"), "_from": h("from")})
-    taker = F.struct("_to", LABEL, *[F.col(f) for f in features if f != feature])
-    dealt = src.groupBy("_b").agg(F.sort_array(F.collect_list(taker)).alias("_rows"),      # a block's rows: bounded
-                                  F.sort_array(F.collect_list(F.struct("_from", F.col(feature).alias("value")))).alias("_values"))
-    each = dealt.select(F.explode(F.arrays_zip("_rows", "_values")).alias("e"))
-    return each.select(F.lit(feature).alias("feature"), F.lit(turn).alias("turn"), F.col(f"e._rows.{LABEL}").alias(LABEL),
-                       *[F.col("e._values.value").alias(f) if f == feature else F.col(f"e._rows.{f}").alias(f) for f in features])
+    own = F.coalesce(*[F.when(F.col("feature") == f, F.col(f)) for f in features])
+    src = rows.select("*", F.explode(grid).alias("_g")).select(*rows.columns, "_g.*")
+    src = src.withColumns({"_b": F.pmod(F.conv(F.substring(h("block"), 1, 8), 16, 10).cast("long"), F.lit(blocks)),
+                           "_to": h("to"), "_from": h("from"), "_own": own})
+    dealt = src.groupBy("feature", "turn", "_b").agg(      # a block's rows: bounded
+        F.sort_array(F.collect_list(F.struct("_to", LABEL, *features))).alias("_rows"),
+        F.sort_array(F.collect_list(F.struct("_from", F.col("_own").alias("value")))).alias("_values"))
+    each = dealt.select("feature", "turn", F.explode(F.arrays_zip("_rows", "_values")).alias("e"))
+    value = lambda f: F.when(F.col("feature") == f, F.col("e._values.value")).otherwise(F.col(f"e._rows.{f}"))
+    return each.select("feature", "turn", F.col(f"e._rows.{LABEL}").alias(LABEL), *[value(f).alias(f) for f in features])
 
 
 def permutation_importance(test: DataFrame, score: Callable[[DataFrame], DataFrame], features: Sequence[str] = FEATURES, turns: int = 3,
@@ -159,8 +165,7 @@ def permutation_importance(test: DataFrame, score: Callable[[DataFrame], DataFra
     """
     rows = test.select("service_area", "period", LABEL, *features)
     blocks = max(1, -(-rows.count() // block_rows))
-    frames = [_permuted(rows, f, t, features, seed, blocks) for f in features for t in range(turns)]
-    permuted = rank_auc(score(reduce(DataFrame.unionByName, frames)), "score", LABEL, keys=["feature", "turn"])
+    permuted = rank_auc(score(_permuted(rows, turns, features, seed, blocks)), "score", LABEL, keys=["feature", "turn"])
     base = rank_auc(score(rows), "score", LABEL).select("auc").scalar()
     means = permuted.groupBy("feature").agg(F.avg("auc").alias("permuted_auc"))
     return means.select("feature", base.alias("auc"), "permuted_auc", (base - F.col("permuted_auc")).alias("importance"))

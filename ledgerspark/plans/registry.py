@@ -559,14 +559,14 @@ def q_stream_monthly_spend(spark, sf):
 
 
 def q_stream_spc_alerts(spark, sf):
-    """C6 on a stream of scorecard rows, a year a file and a file a batch: the stream learns the baseline itself."""
+    """C6 on a stream of scorecard rows, some two years a file and a file a batch: the stream learns the baseline itself."""
     ms = _ms(spark, sf)
 
     def feed() -> tuple[str, list]:
         path = f"{_app_folder(spark, sf, 'scorecard_feed')}/rows"
         months = sorted(r[0] for r in ms.sam.select("period").distinct().collect())   # one value a month
-        for k in range(0, len(months), 12):
-            ms.sam.where(F.col("period").isin(months[k:k + 12])).coalesce(1).write.mode("append").parquet(path)
+        for k in range(0, len(months), 28):
+            ms.sam.where(F.col("period").isin(months[k:k + 28])).coalesce(1).write.mode("append").parquet(path)
         return path, months
 
     path, months = ms.once("scorecard_feed", feed)
