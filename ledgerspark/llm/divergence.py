@@ -1,10 +1,10 @@
 """How far apart the sources of a language stand in their words (operator 13).
 
-Tasks fold whole documents into stripes, in the mapper: a hash table from a term to the number of
-documents that hold it and its occurrences by source. A table that reaches ``CELLS`` entries is spilled:
-its stripes are emitted and folding starts anew. Stripes of a term meet by key and are merged as they
-stream by, first those of a sixteenth of the tasks, then of all, so a term of every document is a few
-stripes when it reaches one task. A language keeps the terms of at least ``least`` of its documents.
+Tasks fold whole documents into stripes, in the mapper: hash tables from a term to the number of documents
+that hold it and, source by source, to its occurrences. Tables that reach ``CELLS`` entries are spilled:
+their cells are emitted and folding starts anew. So a term of every document is as few rows as there are
+tasks, spills and sources, however many documents hold it. Cells meet by term and are added up to one
+stripe each. A language keeps the terms of at least ``least`` of its documents.
 
 A kept term's share of a group's words is smoothed and held in whole billionths:
 p = 1 + floor(10^9 (count + 5) / (N + 5 V)), for N occurrences of the V kept terms in the group. All
@@ -33,13 +33,12 @@ from pyspark.sql import functions as F
 
 from .common import blank_if_null, read_table, stage
 
-CELLS = 400_000        # entries of a task's table before it spills
+CELLS = 1_000_000      # entries of a task's tables before they spill
 PIECE = 1 << 20        # bytes of a text that are words at once
-SALTS = 16
 DEALT, SOURCES = 250_000, 256
 SMOOTH, UNIT = 5, 1_000_000_000
 
-STRIPE = "lang string, term string, df long, sources array<string>, counts array<long>"
+CELL = "lang string, term string, source string, n long"   # without a source: n documents
 
 #: Letters in lower case; ASCII that is no letter becomes a space; bytes beyond ASCII stay.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 else 32 for c in range(256))
@@ -56,78 +55,51 @@ def words(text: str) -> Iterator[list[bytes]]:
         at = end
 
 
-def _rows(stripes: Iterator[tuple[str, bytes, int, list, list]]) -> Iterator[pa.RecordBatch]:
-    """Stripes as batches."""
-    names, types = ("lang", "term", "df", "sources", "counts"), (pa.string(), pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()))
-    held: list = []
-    for s in stripes:
-        held.append(s)
-        if len(held) == 10_000:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), types)], names=names)
-            held = []
-    if held:
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), types)], names=names)
-
-
 def fold(docs: DataFrame) -> DataFrame:
-    """(lang, source, text) -> stripes, several of a term: one for each task and spill that saw it."""
+    """(lang, source, text) -> cells of stripes, several of a term: some for each task and spill that saw it."""
 
-    def stripes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        table: dict[str, dict[bytes, list]] = {}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the stripes of a language lie side by side: documents of each term (source None), occurrences by source
+        tables: dict[tuple[str, str | None], Counter] = {}
         cells = 0
 
-        def emit() -> Iterator[tuple]:
-            for lang, terms in table.items():
-                for term, (df, by) in terms.items():
-                    yield lang, term.decode(), df, list(by), list(by.values())
+        def emit() -> Iterator[pa.RecordBatch]:
+            for (lang, source), table in tables.items():
+                terms = pa.array(list(table), pa.binary()).cast(pa.string())
+                n = pa.array(np.fromiter(table.values(), np.int64, len(table)))
+                whole = pa.RecordBatch.from_arrays([pa.array([lang] * len(terms), pa.string()), terms, pa.array([source] * len(terms), pa.string()), n],
+                                                   names=["lang", "term", "source", "n"])
+                for at in range(0, len(terms), 50_000):
+                    yield whole.slice(at, 50_000)
 
         for batch in batches:
             for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                counts: Counter = Counter()
+                spread, counts = (tables.setdefault(k, Counter()) for k in ((lang, None), (lang, source)))
+                cells -= len(spread) + len(counts)
+                held: set[bytes] = set()
                 for some in words(text.as_py()):
                     counts.update(some)
-                terms = table.setdefault(lang, {})
-                for term, n in counts.items():
-                    if (stripe := terms.get(term)) is None:
-                        terms[term] = [1, {source: n}]
-                        cells += 1
-                    else:
-                        stripe[0] += 1
-                        by = stripe[1]
-                        if source in by:
-                            by[source] += n
-                        else:
-                            by[source] = n
-                            cells += 1
+                    held.update(some)
+                spread.update(held)
+                cells += len(spread) + len(counts)
                 if cells >= CELLS:
                     yield from emit()
-                    table.clear()
+                    tables.clear()
                     cells = 0
         yield from emit()
 
-    return docs.mapInArrow(lambda batches: _rows(stripes(batches)), STRIPE)
+    return docs.mapInArrow(run, CELL)
 
 
-def merge(stripes: DataFrame, *salt: Column, least: int = 0) -> DataFrame:
-    """One stripe of each term (of each salt), those of ``least`` documents or more. Stripes stream by; one term is held at a time."""
+def merge(cells: DataFrame, least: int) -> DataFrame:
+    """(lang, term, df, sources, counts): one stripe of each term of ``least`` documents or more.
 
-    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        key, df, by = None, 0, {}
-        for batch in batches:
-            for lang, term, n, sources, counts in zip(*(batch.column(c).to_pylist() for c in range(5))):
-                if (lang, term) != key:
-                    if key and df >= least:
-                        yield *key, df, list(by), list(by.values())
-                    key, df, by = (lang, term), 0, {}
-                df += n
-                for s, c in zip(sources, counts):
-                    by[s] = by.get(s, 0) + c
-        if key and df >= least:
-            yield *key, df, list(by), list(by.values())
-
-    # salts of a term may meet in a partition: then they are one already
-    near = stripes.repartition("lang", "term", *salt).sortWithinPartitions("lang", "term")
-    return near.mapInArrow(lambda batches: _rows(merged(batches)), STRIPE)
+    One shuffle, by term: cells are added up there, then gathered; a stripe has an entry a source.
+    """
+    sums = cells.repartition("lang", "term").groupBy("lang", "term", "source").agg(F.sum("n").alias("n"))
+    cell = F.when(F.col("source").isNotNull(), F.struct("source", "n"))
+    stripes = sums.groupBy("lang", "term").agg(F.max(F.when(F.col("source").isNull(), F.col("n"))).alias("df"), F.collect_list(cell).alias("cells"))
+    return stripes.where(F.col("df") >= least).select("lang", "term", "df", F.col("cells.source").alias("sources"), F.col("cells.n").alias("counts"))
 
 
 def share(count: Column, total: Column, kept: Column) -> Column:
@@ -194,8 +166,7 @@ def pair_sums(kept: DataFrame, groups: DataFrame) -> DataFrame:
 def audit(docs: DataFrame, least: int = 30, top: int = 50, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
     """(lang, source, part, item, value, rank): both parts, in the form of the query."""
     docs = docs.select(blank_if_null(F.col(lang)).alias("lang"), blank_if_null(F.col(source)).alias("source"), blank_if_null(F.col(text)).alias("text"))
-    some = merge(fold(docs), F.pmod(F.spark_partition_id(), F.lit(SALTS)))
-    kept = stage(merge(some, least=least), "divergence-stripes")
+    kept = stage(merge(fold(docs), least), "divergence-stripes")
     cells = kept.select("lang", "term", F.aggregate("counts", F.lit(0).cast("long"), lambda a, c: a + c).alias("all"),
                         F.explode(F.arrays_zip("sources", "counts")).alias("e")).select("lang", "term", "all", F.col("e.sources").alias("source"), F.col("e.counts").alias("count"))
     totals = cells.groupBy("lang", "source").agg(F.sum("count").alias("total"))
