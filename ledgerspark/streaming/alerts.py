@@ -1,9 +1,8 @@
 """SPC alerts from a stream that learns its own baseline.
 
 ``alert_stream`` keeps one state per (area, metric): the moments of the baseline
-(count, sum and sum of squares, exact integers of ten digits, so they merge in any
-order) and the values that came before the baseline was complete. When the
-watermark passes the baseline's end it is complete: what waited is scored, and
+(count, sum and sum of squares, exact integers, so they merge in any order) and the
+values that came before the baseline was complete. When the watermark passes the baseline's end it is complete: what waited is scored, and
 from then on every value is scored as it arrives. So the alerts are those of
 ``spc_history`` on the same rows, wherever the stream is cut into micro-batches
 and whenever it is restarted; state holds the moments and at most the rows of
@@ -20,7 +19,6 @@ import datetime as dt
 import sys
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
-from decimal import ROUND_HALF_UP, Decimal
 from fractions import Fraction
 from typing import Any
 
@@ -35,12 +33,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])   # executors need n
 
 SCORED = (f"{AREA} string, metric string, period date, value double, baseline_mean double, "
           "baseline_std double, baseline_n long, z double, breach boolean")
-SCALE = 10   # digits of a value that count
+SCALE = 20   # digits of a value that count: all that a double of the metrics' size has
 
 
 def as_units(value: float) -> int:
-    """A value in units of its tenth digit."""
-    return int(Decimal(repr(value)).scaleb(SCALE).quantize(Decimal(1), ROUND_HALF_UP))
+    """A value in units of its last digit that counts."""
+    return round(Fraction(value) * 10 ** SCALE)
 
 
 def baseline(n: int, s1: int, s2: int) -> tuple[float, float | None]:
