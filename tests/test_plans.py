@@ -8,7 +8,8 @@ import pytest
 from ledgerspark.operators import marts as M
 from ledgerspark.plans.marts import marts_for
 from ledgerspark.plans.registry import QUERIES
-from ledgerspark.sources.fixtures import fixture_sources
+from ledgerspark.sources.fixtures import fixture_sources, lines_view
+from ledgerspark.sources.sinks import children
 
 # Keys whose construction itself runs a write or a stream (checked in test_oracle).
 SIDE_EFFECT = {"mart_roundtrip", "export_csv", "stream_invoice_audit", "stream_monthly_spend", "stream_spc_alerts",
@@ -77,3 +78,19 @@ def test_lines_are_joined_once(spark, sf_small):
     ms = marts_for(spark, sf_small)
     for df in (ms.cube, ms.spend, ms.src.telemetry, ms.src.invoices, ms.src.budget):
         assert "lineitem" not in plan(df)
+
+
+def test_numbering_moves_the_lines_once(spark, sf_small):
+    p = plan(lines_view(spark, sf_small))
+    # the offsets meet the lines where the window put them: the lines are not dealt again by the keys of a null-safe join
+    assert "hashpartitioning(_part" in p and "hashpartitioning(coalesce(" not in p
+
+
+@pytest.mark.parametrize("key, staged", [("triage_sample", set()), ("audit_cmdb_status", set()), ("triage_thresholds", {"stg_cube", "triage_ratios", "triage_thresholds"}),
+                                         ("mart_refresh_log", {"stg_cube"})])
+def test_what_reads_lines_stages_nothing_else(spark, sf_small, key, staged):
+    folder = f"{sf_small}{'/.' * (1 + ['triage_sample', 'audit_cmdb_status', 'triage_thresholds', 'mart_refresh_log'].index(key))}"   # a mart set of its own
+    QUERIES[key](spark, folder)
+    ms = marts_for(spark, folder)
+    assert set(children(spark, ms.store)) == staged | {"stg_lines"}
+    ms.cleanup()
