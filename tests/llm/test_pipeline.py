@@ -1,5 +1,7 @@
 """The pipeline's stages on a table with every awkward case, each against what its input implies."""
 
+import math
+
 import numpy as np
 import pytest
 import tiktoken
@@ -80,3 +82,22 @@ def test_awkward_rows(spark, sf_small):
             if name == "near_dedup" and data:
                 assert sorted(r.doc_id for r in docs.where("doc_id in (1, 2)").collect()) == [1]
         assert (docs.count() > 0) == bool(data)
+
+
+def test_mix_follows_the_temperature(spark, sf_small):
+    sizes = {"hot": 300, "mid": 120} | {f"s{i}": 30 for i in range(10)}
+    def mixed(sizes):
+        rows = [(f"{s}-{i}", "w " * 40, s, "en", 80) for s, n in sizes.items() for i in range(n)]
+        docs = spark.createDataFrame(rows, "doc_id string, text string, source string, lang string, n_chars int")
+        out = cp.source_mix(spark, docs, sf_small).toPandas()
+        return out.groupby("source").doc_id.count(), out.groupby("source").doc_id.nunique(), out
+    used, _, out = mixed(sizes)
+    # a source's part is its share to one exponent for all, also among those that are not cut
+    a = [math.log(used["hot"] / used["mid"]) / math.log(300 / 120), math.log(used["mid"] / used["s0"]) / math.log(120 / 30)]
+    assert abs(a[0] - a[1]) < 0.05 and 0.2 < a[0] < 0.9
+    q = used / used.sum()
+    assert abs(-(q * q.map(math.log)).sum() / math.log(len(q)) - 0.95) < 0.01
+    assert abs(len(out) - sum(sizes.values())) <= len(sizes) and out.groupby("doc_id").size().max() == 2
+    # one document in a source of its own neither empties the corpus nor is lost
+    used, different, out = mixed(sizes | {"tiny": 1})
+    assert used["tiny"] in (1, 2) and different.sum() >= 0.8 * (sum(sizes.values()) + 1) and out.groupby("doc_id").size().max() <= 2
