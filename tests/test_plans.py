@@ -94,3 +94,19 @@ def test_what_reads_lines_stages_nothing_else(spark, sf_small, key, staged):
     ms = marts_for(spark, folder)
     assert set(children(spark, ms.store)) == staged | {"stg_lines"}
     ms.cleanup()
+
+
+def test_what_only_sums_lines_numbers_none(spark, sf_small):
+    folder = f"{sf_small}{'/.' * 5}"   # a mart set of its own
+    rows = sorted(QUERIES["allocation_leakage"](spark, folder).collect())
+    ms = marts_for(spark, folder)
+    assert set(children(spark, ms.store)) == {"stg_measures", "stg_incidents", "stg_cube", "stg_telemetry_monthly", "stg_consumption", "stg_spend", "fct_service_area_monthly"}
+    assert "_hot" not in plan(ms.feeds.measures) and not {"invoice_id", "ci_id"} & set(ms.feeds.measures.columns)
+    summed = {name: sorted(df.collect(), key=str) for name, df in {"cube": ms.cube, "sam": ms.sam, "consumption": ms.consumption}.items()}
+    ms.cleanup()
+    again = marts_for(spark, folder)   # with the lines staged first the sums are taken from them
+    again.invoices
+    assert sorted(QUERIES["allocation_leakage"](spark, folder).collect()) == rows
+    assert "stg_lines" in children(spark, again.store) and "stg_measures" not in children(spark, again.store)
+    assert summed == {name: sorted(df.collect(), key=str) for name, df in {"cube": again.cube, "sam": again.sam, "consumption": again.consumption}.items()}
+    again.cleanup()
