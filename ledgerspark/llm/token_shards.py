@@ -37,6 +37,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +53,8 @@ LEAST = 16                 # a pair that stands less often is left: its rule cos
 TOP = 8                    # a round takes pairs of at least an eighth of the highest count
 ROWS_PER_RANGE = 20_000    # documents of a task
 MOST_SENT = 100_000        # parts whose places are sent to every task; more are joined by a shuffle
-CACHED, LONGEST = 125_000, 64   # pieces that a worker remembers, and their length
+TOGETHER = 1 << 20         # characters of texts that are encoded together
+CACHED, LONGEST = 200_000, 64   # pieces that a worker remembers (met once; more often), and their length
 
 #: A space after a character that is no white space: byte-level patterns always split before it.
 CUT = re.compile("(?<=[^\\s\u180e])(?= )")
@@ -60,6 +62,9 @@ CUT = re.compile("(?<=[^\\s\u180e])(?= )")
 PLAIN = re.compile("[\\x00-\\x7fÀ-ÖØ-öø-ÿ]*")
 PIECE = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\sA-Za-z0-9À-ÖØ-öø-ÿ]+|\s+(?!\S)|\s+", re.ASCII)
 
+#: Kinds of bytes of such texts: white space, letters (all bytes beyond ASCII), digits, others.
+KIND = np.array([0 if b in b" \t\n\r\f\v" else 1 if b >= 128 or chr(b).isalpha() else 2 if chr(b).isdigit() else 3 for b in range(256)], np.uint8)
+
 U16, U32 = np.dtype("<u2"), np.dtype("<u4")
 SLOT_BITS = 16             # of the hash table of pairs
 
@@ -117,25 +122,82 @@ class Encoder:
         return b"".join(map(self.words.__getitem__, CUT.split(text))) + self.end
 
 
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """`encode` of each text. Texts of plain characters share the work: each piece that they hold is looked up once."""
+        plain = [k for k, text in enumerate(texts) if self.by_pieces and text and PLAIN.fullmatch(text)]
+        if not plain:
+            return [self.encode(text) for text in texts]
+        coded = [texts[k].encode() for k in plain]
+        begins = np.cumsum([0, *map(len, coded)])
+        text = b"".join(coded)
+        starts = piece_starts(np.frombuffer(text, np.uint8), begins)
+        bounds = np.append(starts, len(text))
+        pieces = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(text)]).dictionary_encode()
+        known = list(map(self.pieces.__getitem__, pieces.dictionary.to_numpy(zero_copy_only=False)))
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        which = pieces.indices.to_numpy()
+        counts = sizes[which]
+        ids = ragged_gather(np.frombuffer(b"".join(known), U32), (np.cumsum(sizes) - sizes)[which], counts).tobytes()
+        ends = 4 * np.append(0, np.cumsum(counts))[np.searchsorted(bounds, begins)]
+        done = {k: ids[a:b] + self.end for k, a, b in zip(plain, ends[:-1].tolist(), ends[1:].tolist())}
+        return [done[k] if k in done else self.encode(text) for k, text in enumerate(texts)]
+
+
+def piece_starts(text: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Where the matches of `PIECE` begin in the bytes of texts, none empty, that begin at `begins` (and end at its last)."""
+    n = len(text)
+    text = np.append(text, np.zeros(2, np.uint8))
+    kind = KIND[text]
+    own = np.zeros(n + 2, bool)   # where a text begins
+    own[begins] = own[n + 1] = True
+    start = own.copy()
+    start[1:n] |= kind[1:n] != kind[:n - 1]
+    # the last of some white space before other characters stands apart, a space goes with what follows
+    last = np.flatnonzero((kind[:n] == 0) & start[1:n + 1] & ~own[1:n + 1])
+    start[last] = True
+    start[last[text[last] == 32] + 1] = False
+    # an apostrophe that begins a piece takes the letters of a contraction
+    at = np.flatnonzero((text[:n] == 39) & start[:n] & ~own[1:n + 1])
+    one, two = text[at + 1], np.where(own[at + 2], 0, text[at + 2])
+    short = np.isin(one, list(b"stmd"))
+    long = ((one == 114) | (one == 118)) & (two == 101) | (one == 108) & (two == 108)   # re, ve, ll
+    start[at[short | long] + 1] = False
+    start[at[short] + 2] = True
+    start[at[long] + 3] = True
+    return np.flatnonzero(start[:n])
+
+
 class Remembered(dict):
-    """Results of a function by argument: a bounded number of recent ones, and none of long arguments."""
+    """Results of a function by argument, a bounded number and none of long arguments.
+
+    Arguments met again are held apart from those met once, so that many rare ones do not displace the frequent.
+    """
 
     def __init__(self, of):
-        self.of, self.older = of, {}
+        self.of, self.once = of, {}
 
     def __missing__(self, key: str) -> bytes:
-        value = self.older.get(key)
+        value = self.once.pop(key, None)
         if value is None:
             value = self.of(key)
-            if len(key) > LONGEST:
-                return value
-        if len(self) >= CACHED:   # those used since stay in reach
-            self.older = dict(self)
+            if len(key) <= LONGEST:
+                if len(self.once) >= CACHED:
+                    self.once = newer_half(self.once)
+                self.once[key] = value
+            return value
+        if len(self) >= CACHED:
+            kept = newer_half(self)
             self.clear()
+            self.update(kept)
         self[key] = value
         return value
 
 
+def newer_half(d: dict) -> dict:
+    """The entries of the second half; frequent ones that go are soon met twice again."""
+    return dict(islice(d.items(), len(d) // 2, None))
+
+
 def repair(ids: np.ndarray, ends: np.ndarray, n_terminals: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, last-of-document marks, rules, spans) of ids whose documents' last ones are marked."""
     seq, ends = ids.astype(np.int32), ends.copy()
@@ -160,9 +222,9 @@ def repair(ids: np.ndarray, ends: np.ndarray, n_terminals: int) -> tuple[np.ndar
         if top < LEAST:
             break
         floor = max(LEAST, min(top // TOP, ceiling or top))
-        near = np.flatnonzero((rough >= floor)[slot])
+        near = np.flatnonzero(np.take(rough >= floor, slot))
         key = (seq[near].astype(np.int64) << 32) | seq[near + 1]
-        pairs, counts = np.unique(key, return_counts=True)
+        pairs, which, counts = np.unique(key, return_inverse=True, return_counts=True)
         take = counts >= floor
         if not take.any():   # different pairs shared the slots
             if floor == LEAST:
@@ -173,9 +235,10 @@ def repair(ids: np.ndarray, ends: np.ndarray, n_terminals: int) -> tuple[np.ndar
         rank = np.empty(len(pairs), np.int32)
         rank[np.argsort(-counts, kind="stable")] = np.arange(len(pairs))
         # an occurrence gives way unless a neighbour that overlaps it has a better rank
-        hit = np.minimum(np.searchsorted(pairs, key), len(pairs) - 1)
+        ranks = np.full(len(take), len(pairs), np.int32)
+        ranks[take] = rank
         mine = np.full(len(seq) + 1, len(pairs), np.int32)   # of the pair at i: mine[i + 1]
-        mine[near + 1] = np.where(pairs[hit] == key, rank[hit], len(pairs))
+        mine[near + 1] = np.take(ranks, which)
         at = near + 1
         chosen = near[(mine[at] < len(pairs)) & (mine[at] < mine[at - 1]) & (mine[at] < mine[at + 1])]
         # the best pair keeps its places, so each round makes a rule; rules used once are not worth it
@@ -195,7 +258,8 @@ def repair(ids: np.ndarray, ends: np.ndarray, n_terminals: int) -> tuple[np.ndar
         ends[chosen] = ends[chosen + 1]
         keep = np.ones(len(seq), bool)
         keep[chosen + 1] = False
-        seq, ends = seq[keep], ends[keep]
+        left = np.flatnonzero(keep)
+        seq, ends = np.take(seq, left), np.take(ends, left)
     return seq, ends, np.concatenate(rules), np.concatenate(spans)
 
 
@@ -324,17 +388,26 @@ def write(docs: DataFrame, spec: str, end_id: int = 0, id: str = "doc_id", text:
             types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(kind), pa.int32(), *[pa.binary()] * 5]
             return pa.RecordBatch.from_arrays([pa.array([row[f.name]], t) for f, t in zip(schema.fields, types)], names=schema.names)
 
-        kind = pa.int64()
-        for batch in batches:
-            kind = batch.schema.field("id").type
-            for key, text in zip(batch.column("id"), batch.column("t")):
-                b = encoder.encode(text.as_py())
-                coded.append(b)
-                ids.append(key.as_py())
-                n += len(b) // 4
-                if n >= SHARD:
-                    yield close(kind)
-                    coded, ids, seq, before, n = [], [], seq + 1, before + n, 0
+        def encoded() -> Iterator[tuple]:
+            keys, texts, chars = [], [], 0
+            for batch in batches:
+                of = batch.schema.field("id").type
+                for key, text in zip(batch.column("id"), batch.column("t")):
+                    keys.append((of, key.as_py()))
+                    texts.append(text.as_py())
+                    chars += len(texts[-1])
+                    if chars >= TOGETHER:
+                        yield from zip(keys, encoder.encode_all(texts))
+                        keys, texts, chars = [], [], 0
+            yield from zip(keys, encoder.encode_all(texts))
+
+        for (kind, key), b in encoded():
+            coded.append(b)
+            ids.append(key)
+            n += len(b) // 4
+            if n >= SHARD:
+                yield close(kind)
+                coded, ids, seq, before, n = [], [], seq + 1, before + n, 0
         if ids:
             yield close(kind)
 

@@ -122,3 +122,35 @@ def test_query(spark, sf_small):
         g = got[r.doc_id]
         assert (g.start, g.n_tokens, g.ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
+
+
+ODD = ["a", "The", "don't", "'s", "'", "''", "'re", "'ve", "'ll", "'l", "'r", "x", "re", " ", "  ", "\n", "\t", " \n", "\r\f\v", "é", "Öß", "×", "12", "1é", "...", "_", "\x1c", "\x85", "\x00", "\xa0", "東京", "😀"]
+
+
+@given(st.lists(st.lists(st.sampled_from(ODD), max_size=20).map("".join), max_size=12))
+@settings(max_examples=500, deadline=None)
+def test_texts_encoded_together_equal_library(texts):
+    assert [np.frombuffer(b, ts.U32).tolist() for b in ENCODER.encode_all(texts)] == [library(t) for t in texts]
+    plain = [t for t in texts if t and ts.PLAIN.fullmatch(t)]
+    if plain:
+        coded = [t.encode() for t in plain]
+        begins = np.cumsum([0, *map(len, coded)])
+        starts = [*ts.piece_starts(np.frombuffer(b"".join(coded), np.uint8), begins).tolist(), int(begins[-1])]
+        assert [b"".join(coded)[a:b].decode() for a, b in zip(starts, starts[1:])] == [p for t in plain for p in ts.PIECE.findall(t)]
+
+
+def test_texts_share_their_pieces(monkeypatch):
+    """A piece of many texts is looked up once, and one met again outlasts any number of those met once."""
+    asked = []
+    seen = ts.Remembered(lambda k: asked.append(k) or k.encode())
+    monkeypatch.setattr(ts, "CACHED", 10)
+    for k in range(100):
+        assert (seen["often"], seen[f"rare {k}"]) == (b"often", f"rare {k}".encode())
+        assert len(seen) <= 10 and len(seen.once) <= 10
+    assert asked.count("often") == 1
+    e = ts.Encoder(SPEC, 0)
+    looked = []
+    e.pieces = ts.Remembered(lambda k: looked.append(k) or e._piece(k))
+    monkeypatch.setattr(ts, "CACHED", 0)   # nothing outlasts a lookup
+    assert e.encode_all(["one two one two", " two one two"])[1] == ENCODER.encode(" two one two")
+    assert sorted(looked) == [" one", " two", "one"]
