@@ -53,8 +53,8 @@ LEAST = 16                 # a pair that stands less often is left: its rule cos
 TOP = 8                    # a round takes pairs of at least an eighth of the highest count
 ROWS_PER_RANGE = 20_000    # documents of a task
 MOST_SENT = 100_000        # parts whose places are sent to every task; more are joined by a shuffle
-TOGETHER = 1 << 20         # characters of texts that are encoded together
-CACHED, LONGEST = 200_000, 64   # pieces that a worker remembers (met once; more often), and their length
+TOGETHER = 1 << 21         # characters of texts that are encoded together
+CACHED, LONGEST = 150_000, 64   # pieces that a worker remembers (met once; more often), and their length
 
 #: A space after a character that is no white space: byte-level patterns always split before it.
 CUT = re.compile("(?<=[^\\s\u180e])(?= )")
@@ -222,9 +222,18 @@ def repair(ids: np.ndarray, ends: np.ndarray, n_terminals: int) -> tuple[np.ndar
         if top < LEAST:
             break
         floor = max(LEAST, min(top // TOP, ceiling or top))
-        near = np.flatnonzero(np.take(rough >= floor, slot))
+        often = rough >= floor
+        near = np.flatnonzero(np.take(often, slot))
         key = (seq[near].astype(np.int64) << 32) | seq[near + 1]
-        pairs, which, counts = np.unique(key, return_inverse=True, return_counts=True)
+        # nearly all occurrences in a slot are of one pair: only the others are told apart by a sort
+        which = np.take(np.cumsum(often) - 1, np.take(slot, near))
+        pairs = np.zeros(np.count_nonzero(often), np.int64)
+        pairs[which] = key
+        other = np.flatnonzero(key != np.take(pairs, which))
+        more, code = np.unique(key[other], return_inverse=True)
+        which[other] = len(pairs) + code
+        pairs = np.concatenate([pairs, more])
+        counts = np.bincount(which, minlength=len(pairs))
         take = counts >= floor
         if not take.any():   # different pairs shared the slots
             if floor == LEAST:
@@ -233,7 +242,7 @@ def repair(ids: np.ndarray, ends: np.ndarray, n_terminals: int) -> tuple[np.ndar
             continue
         pairs, counts, ceiling = pairs[take], counts[take], None
         rank = np.empty(len(pairs), np.int32)
-        rank[np.argsort(-counts, kind="stable")] = np.arange(len(pairs))
+        rank[np.lexsort((pairs, -counts))] = np.arange(len(pairs))
         # an occurrence gives way unless a neighbour that overlaps it has a better rank
         ranks = np.full(len(take), len(pairs), np.int32)
         ranks[take] = rank
@@ -294,7 +303,9 @@ class Shard:
     def documents(self) -> Iterator[np.ndarray]:
         """The ids of each document."""
         # each rule is expanded once, then symbols look theirs up
-        used, index = np.unique(self.symbols, return_inverse=True)
+        seen = np.zeros(self.n_terminals + len(self.spans), bool)
+        seen[self.symbols] = True
+        used, index = np.flatnonzero(seen), (np.cumsum(seen) - 1)[self.symbols]
         sizes = self._size(used)
         ids = ragged_gather(self.expand(used), np.cumsum(sizes) - sizes, sizes) if len(used) else used
         starts = np.cumsum(sizes) - sizes
