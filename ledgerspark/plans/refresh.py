@@ -11,7 +11,8 @@ months again and writes the same bytes.
 A month is written in as many files as its rows need, rows dealt by their hash and
 sorted, so a retry or another partitioning of the source gives equal files and a
 month that holds a third of the rows is spread. Rows without a month are a
-partition of their own. One refresh at a time may write a mart.
+partition of their own. One refresh at a time may write a mart. Months are written
+some at a time, so what is shuffled and sorted for one batch is gone before the next.
 """
 
 from __future__ import annotations
@@ -21,10 +22,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.sources.sinks import children, read_mart, remove
+from ledgerspark.sources.sinks import COMPRESSION, children, read_mart, remove, shuffles_freed
 
 ROWS_PER_FILE = 2_000_000
 MOST_LITERALS = 1000      # months named in a filter; more are joined
+ROWS_PER_BATCH = 4_000_000   # rows of months that are written together, at least
+MOST_BATCHES = 8          # about: a source that is not kept by month is read once a batch
 
 ACTIONS = ("new", "changed", "kept", "gone")
 
@@ -67,6 +70,19 @@ def _months(df: DataFrame, months: list, by: str) -> DataFrame:
     return df.join(wanted, df[by].eqNullSafe(F.col("_by")), "left_semi")
 
 
+def batches(months: list, by: str) -> list[list]:
+    """Months (rows of the log) in batches of about `ROWS_PER_BATCH` rows or an eighth of all; one empty batch for none."""
+    most = max(ROWS_PER_BATCH, sum(r["rows"] for r in months) / MOST_BATCHES)
+    out, held = [[]], 0
+    for r in sorted(months, key=lambda r: (r[by] is not None, r[by])):
+        if out[-1] and held + r["rows"] > most:
+            out.append([])
+            held = 0
+        out[-1].append(r[by])
+        held += r["rows"]
+    return out
+
+
 def refresh(source: DataFrame, path: str, build: Callable[[DataFrame], DataFrame] = lambda df: df,
             by: str = "period") -> tuple[DataFrame, DataFrame]:
     """Bring the mart at `path` up to date with `source`; (the mart, the log).
@@ -83,12 +99,15 @@ def refresh(source: DataFrame, path: str, build: Callable[[DataFrame], DataFrame
     # the comparison is written too: what follows reads it, and the log stays as it was
     compare(month_digests(source, by), before, by).coalesce(1).write.mode("overwrite").parquet(f"{path}.log/{version}")
     log = spark.read.schema(f"{schema}, action string").parquet(f"{path}.log/{version}")
-    todo = [r[by] for r in log.where("action IN ('new', 'changed')").select(by).collect()]   # one value a month
-    mart = build(_months(source, todo, by))
+    todo = log.where("action IN ('new', 'changed')").select(by, "rows").collect()   # one row a month
     files = log.select(F.col(by).alias("_by"), F.greatest(F.lit(1), F.ceil(F.col("rows") / ROWS_PER_FILE)).cast("int").alias("_files"))
-    dealt = mart.join(files, mart[by].eqNullSafe(F.col("_by"))).withColumn("_file", F.pmod(row_hash(mart), F.col("_files")))
-    dealt = dealt.repartition(by, "_file").sortWithinPartitions(by, "_file", *(c for c in mart.columns if c != by)).select(*mart.columns)
-    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    for months in batches(todo, by):
+        mart = build(_months(source, months, by))
+        dealt = mart.join(files, mart[by].eqNullSafe(F.col("_by"))).withColumn("_file", F.pmod(row_hash(mart), F.col("_files")))
+        dealt = dealt.repartition(by, "_file").sortWithinPartitions(by, "_file", *(c for c in mart.columns if c != by)).select(*mart.columns)
+        with shuffles_freed(spark):
+            (dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", COMPRESSION)
+                  .partitionBy(by).parquet(path))
     for r in log.where("action = 'gone'").select(by).collect():
         remove(spark, f"{path}/{by}={'__HIVE_DEFAULT_PARTITION__' if r[by] is None else r[by]}")
     log.where("action <> 'gone'").select(by, "rows", "total", "mixed").coalesce(1).write.mode("overwrite").parquet(f"{path}.manifest/{version}")

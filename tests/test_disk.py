@@ -1,0 +1,107 @@
+"""What is on disk at a time: slices and batches give the same rows, and what a write shuffled goes with it."""
+
+import datetime as dt
+import time
+
+from pyspark.sql import functions as F
+
+from ledgerspark.operators import marts as M
+from ledgerspark.plans import marts as P
+from ledgerspark.plans import refresh as R
+from ledgerspark.plans.registry import QUERIES
+from ledgerspark.sources import sinks
+from ledgerspark.sources.fixtures import INVOICE_KEY, invoices_of, lines_view, slice_of
+
+INV = ("invoice_id string, ci_id string, vendor string, service_area string, period date, "
+       "contracted_rate double, billed_amount double, ci_status string, planted_error string")
+MONTHS = [None, *(dt.date(2025, m, 1) for m in range(1, 7))]
+
+
+def shuffles(spark) -> set[str]:
+    """The shuffles that have files in this (local) session."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")
+    return {name.split("/")[-1].split("_")[1] for name in files.split() if "/shuffle_" in name and name.endswith(".data")}
+
+
+def left_by(spark, run) -> set[str]:
+    before = shuffles(spark)
+    run()
+    for _ in range(50):   # files are removed beside the work
+        if not shuffles(spark) - before:
+            break
+        time.sleep(0.1)
+    return shuffles(spark) - before
+
+
+def invoices(spark, n=700):
+    return spark.createDataFrame([(f"i{k}", "c", "v", "A", MONTHS[k % 7], 10.0, 10.0 + k, "Active", None) for k in range(n)], INV)
+
+
+def rows(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_a_write_leaves_no_shuffle(spark, tmp_path):
+    df = invoices(spark).groupBy("period").agg(F.sum("billed_amount").alias("s"))
+    was = spark.conf.get(sinks.CLEANUP, None)
+    assert not left_by(spark, lambda: sinks.write_mart(df, f"{tmp_path}/m", ["period"]))
+    assert spark.conf.get(sinks.CLEANUP, None) == was and not sinks._FREEING
+    assert rows(sinks.read_mart(spark, f"{tmp_path}/m", df.schema)) == rows(df)
+
+
+def test_the_setting_is_put_back_by_the_last_write(spark):
+    was = spark.conf.get(sinks.CLEANUP, None)
+    with sinks.shuffles_freed(spark):
+        with sinks.shuffles_freed(spark):
+            pass
+        assert spark.conf.get(sinks.CLEANUP) == "true"
+    assert spark.conf.get(sinks.CLEANUP, None) == was
+
+
+def test_refresh_in_batches_of_months(spark, tmp_path, monkeypatch):
+    src, path = invoices(spark), f"{tmp_path}/m"
+    whole, _ = R.refresh(src, f"{tmp_path}/whole", M.invoice_audit)
+    monkeypatch.setattr(R, "ROWS_PER_BATCH", 250)   # two of the seven months of 100 rows
+    read, months = [], R._months
+    monkeypatch.setattr(R, "_months", lambda df, some, by: (read.append(some), months(df, some, by))[1])
+    assert not left_by(spark, lambda: R.refresh(src, path, M.invoice_audit))
+    assert read == [MONTHS[0:2], MONTHS[2:4], MONTHS[4:6], MONTHS[6:]]
+    del read[:]
+    mart, log = R.refresh(src.withColumn("vendor", F.when(F.col("period") < F.lit(MONTHS[4]), "w").otherwise(F.col("vendor"))), path, M.invoice_audit)
+    assert read == [MONTHS[1:3], MONTHS[3:4]]
+    assert {r.period: r.action for r in log.collect()} == {m: "changed" if m in MONTHS[1:4] else "kept" for m in MONTHS}
+    assert rows(mart.drop("vendor")) == rows(whole.drop("vendor")) and mart.where("vendor = 'w'").count() == 300
+
+
+def test_batches_hold_an_eighth(spark):
+    months = [{"period": m, "rows": 80_000_000} for m in MONTHS]
+    assert R.batches(months, "period") == [[m] for m in MONTHS]
+    assert R.batches([dict(r, rows=1000) for r in months], "period") == [MONTHS]
+    assert R.batches([], "period") == [[]]
+
+
+def test_slices_number_as_all_lines_do(spark, sf_small, monkeypatch):
+    li = spark.read.parquet(f"{sf_small}/lineitem.parquet")
+    parts = [slice_of(li, INVOICE_KEY, (k, 3)) for k in range(3)]
+    assert sum(p.count() for p in parts) == li.count() and all(p.count() > li.count() / 6 for p in parts)
+    assert rows(lines_view(spark, sf_small)) == sorted(r for k in range(3) for r in rows(lines_view(spark, sf_small, (k, 3))))
+
+
+def test_staging_in_slices(spark, sf_small, monkeypatch):
+    folder = f"{sf_small}{'/.' * 6}"   # a mart set of its own
+    whole = P.marts_for(spark, sf_small)
+    assert whole.feeds.parts == 1
+    monkeypatch.setattr(P, "PART_BYTES", sinks.size_of(spark, f"{sf_small}/lineitem.parquet") // 3)
+    ms = P.marts_for(spark, folder)
+    assert ms.feeds.parts == 4
+    written = []
+    monkeypatch.setattr(P, "write_mart", lambda df, path, *a: (written.append(path.split("/")[-1]), sinks.write_mart(df, path, *a))[1])
+    assert not left_by(spark, lambda: ms.invoices)
+    assert written == ["stg_lines"] * 4
+    assert rows(ms.invoices) == rows(invoices_of(lines_view(spark, sf_small)))
+    assert rows(ms.consumption) == rows(whole.consumption) and ms.consumption.schema == whole.consumption.schema
+    assert rows(ms.cube) == rows(whole.cube)
+    assert rows(QUERIES["mart_refresh_log"](spark, folder)) == rows(QUERIES["mart_refresh_log"](spark, sf_small))
+    ms.cleanup()
+    assert rows(P.marts_for(spark, folder).invoices) == rows(whole.invoices)   # staged again, with nothing left of before
+    P.marts_for(spark, folder).cleanup()
