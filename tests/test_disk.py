@@ -105,3 +105,13 @@ def test_staging_in_slices(spark, sf_small, monkeypatch):
     ms.cleanup()
     assert rows(P.marts_for(spark, folder).invoices) == rows(whole.invoices)   # staged again, with nothing left of before
     P.marts_for(spark, folder).cleanup()
+
+
+def test_presence_sums_no_consumption(spark, sf_small):
+    folder = f"{sf_small}{'/.' * 7}"   # a mart set of its own
+    got = {r.mart: (r.rows, r.present) for r in QUERIES["mart_presence"](spark, folder).collect()}
+    ms = P.marts_for(spark, folder)
+    assert set(sinks.children(spark, ms.store)) == {"stg_lines", "stg_incidents", "stg_cube", "stg_telemetry_monthly", "stg_spend", *P.MART_NAMES[1:]}
+    assert got == {name: (df.count(), True) for name, df in ms.all().items()} and got["fct_invoice_audit"][0] == ms.invoices.count()
+    assert rows(ms.consumption) == rows(P.marts_for(spark, sf_small).consumption) and "stg_consumption" in sinks.children(spark, ms.store)
+    ms.cleanup()
