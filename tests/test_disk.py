@@ -1,6 +1,7 @@
 """What is on disk at a time: slices and batches give the same rows, and what a write shuffled goes with it."""
 
 import datetime as dt
+import gzip
 import time
 
 from pyspark.sql import functions as F
@@ -45,6 +46,7 @@ def test_a_write_leaves_no_shuffle(spark, tmp_path):
     df = invoices(spark).groupBy("period").agg(F.sum("billed_amount").alias("s"))
     was = spark.conf.get(sinks.CLEANUP, None)
     assert not left_by(spark, lambda: sinks.write_mart(df, f"{tmp_path}/m", ["period"]))
+    assert not left_by(spark, lambda: sinks.export_csv({"one": df, "two": df.select("s")}, f"{tmp_path}/csv"))
     assert spark.conf.get(sinks.CLEANUP, None) == was and not sinks._FREEING
     assert rows(sinks.read_mart(spark, f"{tmp_path}/m", df.schema)) == rows(df)
 
@@ -99,6 +101,8 @@ def test_staging_in_slices(spark, sf_small, monkeypatch):
     assert not left_by(spark, lambda: ms.invoices)
     assert written == ["stg_lines"] * 4
     assert rows(ms.invoices) == rows(invoices_of(lines_view(spark, sf_small)))
+    assert not left_by(spark, lambda: ms.consumption)
+    assert written[-2:] == ["stg_consumption"] * 2
     assert rows(ms.consumption) == rows(whole.consumption) and ms.consumption.schema == whole.consumption.schema
     assert rows(ms.cube) == rows(whole.cube)
     assert rows(QUERIES["mart_refresh_log"](spark, folder)) == rows(QUERIES["mart_refresh_log"](spark, sf_small))
@@ -115,3 +119,14 @@ def test_presence_sums_no_consumption(spark, sf_small):
     assert got == {name: (df.count(), True) for name, df in ms.all().items()} and got["fct_invoice_audit"][0] == ms.invoices.count()
     assert rows(ms.consumption) == rows(P.marts_for(spark, sf_small).consumption) and "stg_consumption" in sinks.children(spark, ms.store)
     ms.cleanup()
+
+
+def test_export_is_gzipped_csv_of_all_rows(spark, tmp_path):
+    df = invoices(spark)
+    counts = {r.mart: r.rows for r in sinks.export_csv({"lines": df, "none": df.limit(0)}, str(tmp_path)).collect()}
+    assert counts == {"lines": 700, "none": 0}
+    files = list((tmp_path / "lines").glob("part-*"))
+    assert files and all(f.name.endswith(".csv.gz") for f in files)
+    text = [gzip.decompress(f.read_bytes()).decode().splitlines() for f in files]
+    assert {t[0] for t in text} == {",".join(df.columns)} and sum(len(t) - 1 for t in text) == 700
+    assert rows(sinks.read_export(spark, str(tmp_path), "lines", df.schema)) == rows(df)
